@@ -1,0 +1,17 @@
+"""Date normalisation that lets cleaning drop bad text instead of failing the job."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def safe_to_date(value: Column, fmt: str | None = None) -> Column:
+    """``to_date`` that yields null on unparsable text even under ANSI mode.
+
+    Dates and timestamps pass through ``to_date`` unchanged (timestamp_ntz is
+    truncated without a time-zone shift); strings go through ``try_to_date``.
+    """
+    if fmt is None:
+        return F.try_to_date(value)
+    return F.try_to_date(value, F.lit(fmt))
