@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.plans.joins import join_bounded
 from quarry.plans.ranking import exact_median, global_row_number
 
 TRIALS = (1, 2, 3)
@@ -47,9 +48,8 @@ def trial_summary(
         aggs.append(F.round(F.avg(materialise), SECONDS_PLACES).alias("average_materialisation_seconds"))
     stats = df.groupBy(config).agg(*aggs)
     medians = exact_median(df.select(config, seconds), [config], seconds, "median_seconds")
-    # Both sides hold one row per configuration; AQE picks the join from
-    # their measured sizes.
-    return stats.join(medians, config, "left").select(
+    # One row per configuration on both sides: broadcast once that is checked.
+    return join_bounded(stats, medians, config, "left").select(
         config,
         F.round("median_seconds", SECONDS_PLACES).alias("median_seconds"),
         "minimum_seconds",
