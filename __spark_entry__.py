@@ -443,7 +443,8 @@ def oracle_sql() -> dict[str, str]:
         "json_roundtrip": tx + _TOP,
         "clean_cached_country_metrics": tx + _COUNTRY,
         "report_roundtrip_check": (
-            "SELECT * FROM (VALUES ('country_metrics', 0, 0), ('category_trends', 0, 0), ('top_customers', 0, 0))"
+            "SELECT report, CAST(missing_rows AS BIGINT) AS missing_rows, CAST(extra_rows AS BIGINT) AS extra_rows"
+            " FROM (VALUES ('country_metrics', 0, 0), ('category_trends', 0, 0), ('top_customers', 0, 0))"
             " v(report, missing_rows, extra_rows)"
         ),
         "category_region_sales": sales + _CRS + " ORDER BY category, region",
