@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,25 +15,45 @@ DEFAULT_BROADCAST_ROWS = 2_000_000
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has no more than ``max_rows`` rows.
 
-    Runs ``limit(max_rows + 1).count()``: a bounded job that stops reading as
-    soon as the bound is exceeded, so it is cheap on large inputs too.
+    Runs ``limit(max_rows + 1).count()``: every task stops after
+    ``max_rows + 1`` rows, so on a large table the check reads at most one
+    pass of the (pruned) columns and usually far less.
     """
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def bounded_sides(frames: Mapping[str, DataFrame], max_rows: int = DEFAULT_BROADCAST_ROWS) -> dict[str, bool]:
+    """:func:`has_at_most` for several frames in a single Spark job."""
+    names = list(frames)
+    if not names:
+        return {}
+    parts = [frames[n].limit(max_rows + 1).select(F.lit(i).alias("__side")) for i, n in enumerate(names)]
+    union = parts[0]
+    for part in parts[1:]:
+        union = union.unionByName(part)
+    counts = {r["__side"]: r["count"] for r in union.groupBy("__side").count().collect()}
+    return {n: counts.get(i, 0) <= max_rows for i, n in enumerate(names)}
+
+
+def broadcast_if(df: DataFrame, small: bool) -> DataFrame:
+    return F.broadcast(df) if small else df
+
+
 def join_bounded(
     left: DataFrame,
     right: DataFrame,
     on: str | list[str] | Column,
     how: str = "inner",
     max_rows: int = DEFAULT_BROADCAST_ROWS,
+    small: bool | None = None,
 ) -> DataFrame:
     """``left.join(right)``, broadcasting ``right`` only after proving it is small.
 
-    Beyond ``max_rows`` the join is left to Catalyst/AQE (sort-merge, with AQE
-    skew splitting of hot keys, or a runtime switch to broadcast once shuffle
-    statistics show a side is small).
+    ``small`` passes a verdict already established (e.g. by
+    :func:`bounded_sides`). Beyond ``max_rows`` the join is left to
+    Catalyst/AQE: a sort-merge join whose skewed partitions AQE splits, or a
+    runtime switch to broadcast once shuffle statistics show a side is small.
     """
-    if has_at_most(right, max_rows):
-        right = F.broadcast(right)
-    return left.join(right, on, how)
+    if small is None:
+        small = has_at_most(right, max_rows)
+    return left.join(broadcast_if(right, small), on, how)

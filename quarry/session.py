@@ -51,6 +51,7 @@ def build_session(
     cores = int(cpus) if cpus else (os.cpu_count() or 8)
     conf = {
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.shuffle.partitions": str(shuffle_partitions or cores),
         "spark.sql.adaptive.enabled": "true",

@@ -14,24 +14,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.plans.joins import join_bounded
+from quarry.plans.joins import bounded_sides, join_bounded
+from quarry.plans.parallelism import spread
+from quarry.sources import schemas
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One benchmark table, read with its declared schema (no inference job) when known."""
+    reader = spark.read
+    if name in schemas.TABLES:
+        reader = reader.schema(schemas.TABLES[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """orders x customer x nation as (transaction_id, date, customer_id, product_category, amount, country)."""
-    orders = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority"
+    orders = spread(
+        table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
     )
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    customer_country = join_bounded(customer, nation, customer.c_nationkey == nation.n_nationkey).select(
-        "c_custkey", "n_name"
+    unhinted = customer.join(nation, customer.c_nationkey == nation.n_nationkey).select("c_custkey", "n_name")
+    small = bounded_sides({"nation": nation, "customer": unhinted})
+    customer_country = join_bounded(
+        customer, nation, customer.c_nationkey == nation.n_nationkey, small=small["nation"]
+    ).select("c_custkey", "n_name")
+    joined = join_bounded(
+        orders, customer_country, orders.o_custkey == customer_country.c_custkey, small=small["customer"]
     )
-    joined = join_bounded(orders, customer_country, orders.o_custkey == customer_country.c_custkey)
     key = F.col("o_orderkey")
     return joined.select(
         key.alias("transaction_id"),
@@ -50,21 +60,33 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem x part x supplier x nation x region as (transaction_id, category, region, amount, quantity)."""
-    lineitem = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"
+    lineitem = spread(
+        table(spark, sf_dir, "lineitem").select(
+            "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"
+        )
     )
     part = table(spark, sf_dir, "part").select("p_partkey", "p_type")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     region = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    nation_region = join_bounded(nation, region, nation.n_regionkey == region.r_regionkey).select(
-        "n_nationkey", "r_name"
-    )
-    supplier_region = join_bounded(
-        supplier, nation_region, supplier.s_nationkey == nation_region.n_nationkey
-    ).select("s_suppkey", "r_name")
-    with_part = join_bounded(lineitem, part, lineitem.l_partkey == part.p_partkey)
-    joined = join_bounded(with_part, supplier_region, with_part.l_suppkey == supplier_region.s_suppkey)
+
+    def nation_region(small_region: bool | None = None) -> DataFrame:
+        return join_bounded(nation, region, nation.n_regionkey == region.r_regionkey, small=small_region or False).select(
+            "n_nationkey", "r_name"
+        )
+
+    def supplier_region(nr: DataFrame, small_nr: bool | None = None) -> DataFrame:
+        return join_bounded(supplier, nr, supplier.s_nationkey == nr.n_nationkey, small=small_nr or False).select(
+            "s_suppkey", "r_name"
+        )
+
+    # One job proves (or refutes) the size bound of every dimension side.
+    unhinted = nation_region()
+    small = bounded_sides({"region": region, "nation": unhinted, "supplier": supplier_region(unhinted), "part": part})
+    nr = nation_region(small["region"])
+    sr = supplier_region(nr, small["nation"])
+    with_part = join_bounded(lineitem, part, lineitem.l_partkey == part.p_partkey, small=small["part"])
+    joined = join_bounded(with_part, sr, with_part.l_suppkey == sr.s_suppkey, small=small["supplier"])
     return joined.select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("transaction_id"),
         F.col("p_type").alias("category"),
