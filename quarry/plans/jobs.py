@@ -160,3 +160,32 @@ def word_count_job(lines: DataFrame, expected: DataFrame | None = None) -> tuple
 def record_gate(df: DataFrame, expected_rows: int | DataFrame, check: str = "record_count") -> DataFrame:
     """Expected-record-count gate as a one-row result."""
     return count_gate(df, expected_rows, check)
+
+
+def study_table(
+    measurements: DataFrame,
+    baseline: str | None = None,
+    trials: Sequence[int] = (1, 2, 3),
+) -> DataFrame:
+    """One wide row per configuration of a timing study.
+
+    config, trial_<n>_seconds..., median_seconds, minimum_seconds,
+    maximum_seconds[, average_materialisation_seconds], result_rows
+    [, improvement_percent] -- from a long (config, trial, seconds, ...) table
+    such as :func:`partition_study` or :func:`reuse_study` returns.
+    """
+    from quarry.operators.measure import trial_improvement, trial_pivot, trial_summary
+    from quarry.plans.joins import join_bounded
+
+    has_materialise = "materialise_seconds" in measurements.columns
+    summary = trial_summary(measurements, materialise="materialise_seconds" if has_materialise else None)
+    table = join_bounded(trial_pivot(measurements, trials=trials), summary, "config")
+    if "result_rows" in measurements.columns:
+        rows = measurements.groupBy("config").agg(F.max("result_rows").alias("result_rows"))
+        table = join_bounded(table, rows, "config")
+    if baseline is not None:
+        improvement = trial_improvement(summary, baseline).select("config", "improvement_percent")
+        table = join_bounded(table, improvement, "config")
+    keep = ["config", *[f"trial_{t}_seconds" for t in trials], "median_seconds", "minimum_seconds", "maximum_seconds"]
+    keep += [c for c in ("average_materialisation_seconds", "result_rows", "improvement_percent") if c in table.columns]
+    return table.select(*keep).orderBy("config")
