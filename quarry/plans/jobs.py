@@ -189,3 +189,64 @@ def study_table(
     keep = ["config", *[f"trial_{t}_seconds" for t in trials], "median_seconds", "minimum_seconds", "maximum_seconds"]
     keep += [c for c in ("average_materialisation_seconds", "result_rows", "improvement_percent") if c in table.columns]
     return table.select(*keep).orderBy("config")
+
+
+def _as_checks(df: DataFrame, check: str, checked: str, violations) -> DataFrame:
+    return df.select(
+        F.lit(check).alias("check"), F.col(checked).cast("bigint").alias("checked_rows"), violations.cast("bigint").alias("violations")
+    )
+
+
+def study_checks(
+    study: DataFrame,
+    expected_configs: Sequence[str],
+    expected_result_rows: int | None = None,
+    trials: Sequence[int] = (1, 2, 3),
+) -> DataFrame:
+    """check, checked_rows, violations for a study table (see :func:`study_table`).
+
+    Configuration set equals ``expected_configs`` (both directions), every
+    trial and the median are positive, and each configuration produced
+    ``expected_result_rows`` result rows.
+    """
+    from quarry.operators.quality import bounds_check, expected_key_diff
+
+    spark = study.sparkSession
+    expected = spark.createDataFrame([(str(c),) for c in expected_configs], "config string")
+    diff = expected_key_diff(study.select(F.col("config").cast("string").alias("config")), expected, "config")
+    key_check = _as_checks(
+        diff.agg(F.count(F.lit(1)).alias("n")), "configurations_match_expected", "n", F.col("n")
+    )
+    rules = {
+        "trials_positive": F.greatest(*[F.col(f"trial_{t}_seconds") <= 0 for t in trials]) == F.lit(False),
+        "median_positive": F.col("median_seconds") > 0,
+    }
+    if expected_result_rows is not None:
+        rules["result_rows_expected"] = F.col("result_rows") == F.lit(expected_result_rows)
+    bounds = bounds_check(study, rules).select(F.col("rule").alias("check"), "checked_rows", "violations")
+    return key_check.unionByName(bounds)
+
+
+def verify_partition_study(
+    input_lines: DataFrame,
+    dataset: DataFrame,
+    study: DataFrame,
+    expected_records: int,
+    expected_configs: Sequence[int] = PARTITION_COUNTS,
+) -> DataFrame:
+    """Input lines are valid JSON, the dataset has the expected record count, the study is complete."""
+    from quarry.operators.quality import json_line_validity
+
+    validity = _as_checks(json_line_validity(input_lines, "value"), "input_lines_valid_json", "total_lines", F.col("invalid_lines"))
+    gate = _as_checks(
+        count_gate(dataset, expected_records), "record_count", "actual_rows", F.when(F.col("passed"), 0).otherwise(1)
+    )
+    return validity.unionByName(gate).unionByName(study_checks(study, [str(c) for c in expected_configs]))
+
+
+def verify_reuse_study(study: DataFrame, iterations: int, groups_per_iteration: int, strategies: Sequence[str] = STRATEGIES):
+    """Checks of a reuse study plus the ranking of its strategies by median (fastest first)."""
+    from quarry.operators.measure import trial_ranking
+
+    checks = study_checks(study, strategies, iterations * groups_per_iteration)
+    return checks, trial_ranking(study)

@@ -34,3 +34,36 @@ def test_cli_generate_reports_and_partition_study(spark, out_dir):
     write_json(synth.generate_sales(spark, 400), f"{out_dir}/sales")
     assert main(["partition-study", "--input", f"{out_dir}/sales", "--output", f"{out_dir}/p.csv", "--partitions", "2", "4"]) == 0
     assert read_csv(spark, f"{out_dir}/p.csv").count() == 2
+
+
+def test_study_checks_catch_missing_configs_and_bad_rows(spark):
+    m = spark.createDataFrame(
+        [("none", t, 1.0 + t, 0.0, 30) for t in (1, 2, 3)] + [("cache", t, 0.5, 0.1, 29) for t in (1, 2, 3)],
+        "config string, trial int, seconds double, materialise_seconds double, result_rows bigint",
+    )
+    checks, ranking = jobs.verify_reuse_study(jobs.study_table(m, baseline="none"), 3, 10)
+    got = {r.check: r.violations for r in checks.collect()}
+    assert got == {
+        "configurations_match_expected": 1,  # memory_and_disk missing
+        "trials_positive": 0,
+        "median_positive": 0,
+        "result_rows_expected": 1,
+    }
+    assert [r.config for r in ranking.orderBy("rank").collect()] == ["cache", "none"]
+
+
+def test_verify_partition_study(spark, out_dir):
+    sales = synth.generate_sales(spark, 300)
+    write_json(sales, f"{out_dir}/s")
+    from quarry.sources.files import read_json_lines, read_text_lines
+
+    data = read_json_lines(spark, f"{out_dir}/s", schemas.SALES)
+    study = jobs.study_table(jobs.partition_study(data, (2, 4), trials=3))
+    checks = jobs.verify_partition_study(read_text_lines(spark, f"{out_dir}/s"), data, study, 300, (2, 4))
+    assert {r.check: r.violations for r in checks.collect()} == {
+        "input_lines_valid_json": 0,
+        "record_count": 0,
+        "configurations_match_expected": 0,
+        "trials_positive": 0,
+        "median_positive": 0,
+    }
