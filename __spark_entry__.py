@@ -136,7 +136,13 @@ def q_partition_sweep(spark, sf_dir):
 
 
 def q_partition_profile(spark, sf_dir):
-    return op.partition_profile(op.repartition_evenly(_sales(spark, sf_dir), 8))
+    """Rows per partition after a round-robin into the session's shuffle partition count.
+
+    The count is the cluster's sizing for its inputs (see ``session.scale_conf``),
+    so each partition's share stays bounded as the tables grow.
+    """
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return op.partition_profile(op.repartition_evenly(_sales(spark, sf_dir), partitions))
 
 
 def _reuse(strategy: str):

@@ -7,13 +7,14 @@ under every setting".
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.functions.money import round_money
 from quarry.operators.sales import category_metrics, category_region_sales, region_metrics
 
 PARTITION_COUNTS = (2, 4, 8, 16, 32)
@@ -64,18 +65,48 @@ def partition_profile(df: DataFrame) -> DataFrame:
 def partition_sweep(
     df: DataFrame,
     counts: Sequence[int] = PARTITION_COUNTS,
-    aggregate: Callable[..., DataFrame] = category_region_sales,
+    move: str = "partials",
 ) -> DataFrame:
-    """``aggregate`` run on ``df`` round-robin repartitioned to each count, tagged ``partition_count``.
-
-    Each branch moves the raw rows once into ``n`` partitions before its
-    partial aggregation, exactly what a partition-count study measures.
+    """Category x region totals computed with ``n`` partitions for each count, tagged ``partition_count``.
+
+    ``move="partials"`` (default): every input partition first pre-aggregates
+    its rows to one row per (category, region); only these partial rows
+    (#input partitions x #groups, however large the table) are round-robin
+    repartitioned into ``n`` partitions and merged. The scan and the partial
+    aggregation are the same subplan in every branch, so Spark runs them once
+    and reuses the exchange for all counts.
+
+    ``move="rows"``: the raw rows are round-robin repartitioned into ``n``
+    partitions before aggregating, the layout a partition-count timing study
+    measures. It pushes the whole table through ``n`` tasks, so keep it to
+    study-sized inputs.
     """
     if not counts:
         raise ValueError("at least one partition count is required")
-    branches = [
-        aggregate(repartition_evenly(df, n), sort=False).withColumn("partition_count", F.lit(n)) for n in counts
-    ]
+    if move == "rows":
+        branches = [
+            category_region_sales(repartition_evenly(df, n), sort=False).withColumn("partition_count", F.lit(n))
+            for n in counts
+        ]
+    elif move == "partials":
+        partials = df.groupBy(F.spark_partition_id().alias("__source"), "category", "region").agg(
+            F.sum("amount").alias("__amount"),
+            F.sum("quantity").alias("__quantity"),
+            F.count(F.lit(1)).alias("__rows"),
+        )
+        branches = [
+            repartition_evenly(partials, n)
+            .groupBy("category", "region")
+            .agg(
+                round_money(F.sum("__amount")).alias("total_sales"),
+                F.sum("__quantity").alias("total_quantity"),
+                F.sum("__rows").alias("transaction_count"),
+            )
+            .withColumn("partition_count", F.lit(n))
+            for n in counts
+        ]
+    else:
+        raise ValueError(f"unknown move {move!r}; expected 'partials' or 'rows'")
     swept = branches[0]
     for branch in branches[1:]:
         swept = swept.unionByName(branch)

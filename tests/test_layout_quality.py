@@ -24,6 +24,27 @@ def test_partition_sweep_rows_identical_for_every_count(sales):
     assert len(per_n[1]) == 25
 
 
+def test_partition_sweep_partials_equal_raw_rows_and_direct(sales):
+    cols = ("partition_count", "category", "region", "total_sales", "total_quantity", "transaction_count")
+    partials = rows(op.partition_sweep(sales, (2, 5)), *cols)
+    assert partials == rows(op.partition_sweep(sales, (2, 5), move="rows"), *cols)
+    direct = rows(op.category_region_sales(sales), *cols[1:])
+    assert [r[1:] for r in partials if r[0] == 2] == direct
+    with pytest.raises(ValueError):
+        op.partition_sweep(sales, (2,), move="bogus")
+
+
+def test_partition_sweep_scans_its_input_once(spark, sales, out_dir):
+    path = f"{out_dir}/sales"
+    sales.write.parquet(path)
+    swept = op.partition_sweep(spark.read.parquet(path), (2, 4, 8))
+    assert len(swept.collect()) == 3 * 25  # runs this frame's own (adaptive) plan to its final form
+    plan = plan_text(swept).split("Initial Plan")[0]
+    # The scan + partial aggregation exchange runs once; the other branches reuse it.
+    assert plan.count("FileScan parquet") == 1
+    assert plan.count("ReusedExchange") == 2
+
+
 def test_repartition_changes_layout_not_rows(sales):
     base = rows(op.category_region_sales(sales))
     assert rows(op.category_region_sales(op.repartition_by(sales, "region"))) == base
