@@ -1,8 +1,9 @@
 """Statistics over a long measurement table (config, trial, seconds).
 
 Everything is a DataFrame aggregation, so a table of millions of timings is
-summarised on the cluster; the exact median never collects a configuration's
-timings into one task (:func:`quarry.plans.exact_median`).
+summarised on the cluster. The exact median holds a configuration's timings
+in one aggregation buffer only after a check proves the configuration small;
+otherwise it never collects them into one task (:func:`quarry.plans.exact_median`).
 """
 
 from __future__ import annotations
@@ -12,8 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.plans.joins import join_bounded
-from quarry.plans.ranking import exact_median, global_row_number
+from quarry.plans.ranking import DEFAULT_GROUP_ROWS, exact_median, global_row_number, groups_at_most
 
 TRIALS = (1, 2, 3)
 # Timings are reported with six decimals.
@@ -35,9 +35,17 @@ def trial_summary(
     config: str = "config",
     seconds: str = "seconds",
     materialise: str | None = None,
+    max_group_rows: int | None = DEFAULT_GROUP_ROWS,
 ) -> DataFrame:
     """config, median_seconds, minimum_seconds, maximum_seconds, average_seconds, measurement_count
-    (+ average_materialisation_seconds when ``materialise`` is given)."""
+    (+ average_materialisation_seconds when ``materialise`` is given).
+
+    When every configuration is proven to hold at most ``max_group_rows``
+    timings, the exact median is one more aggregate in the same aggregation.
+    Otherwise it comes from the range-partitioned :func:`exact_median`,
+    joined on the configuration: both sides are aggregates already hash
+    partitioned on it, so the join adds no shuffle of its own.
+    """
     aggs = [
         F.min(seconds).alias("minimum_seconds"),
         F.max(seconds).alias("maximum_seconds"),
@@ -46,15 +54,17 @@ def trial_summary(
     ]
     if materialise is not None:
         aggs.append(F.round(F.avg(materialise), SECONDS_PLACES).alias("average_materialisation_seconds"))
-    stats = df.groupBy(config).agg(*aggs)
-    medians = exact_median(df.select(config, seconds), [config], seconds, "median_seconds")
-    # One row per configuration on both sides: broadcast once that is checked.
-    return join_bounded(stats, medians, config, "left").select(
+    if max_group_rows is not None and groups_at_most(df, [config], max_group_rows):
+        stats = df.groupBy(config).agg(F.median(seconds).alias("median_seconds"), *aggs)
+    else:
+        medians = exact_median(df.select(config, seconds), [config], seconds, "median_seconds", max_group_rows=None)
+        stats = df.groupBy(config).agg(*aggs).join(medians, config, "left")
+    return stats.select(
         config,
         F.round("median_seconds", SECONDS_PLACES).alias("median_seconds"),
         "minimum_seconds",
         "maximum_seconds",
-        *[c for c in stats.columns if c not in (config, "minimum_seconds", "maximum_seconds")],
+        *[c for c in stats.columns if c not in (config, "median_seconds", "minimum_seconds", "maximum_seconds")],
     )
 
 

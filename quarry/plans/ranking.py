@@ -13,11 +13,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.plans.joins import join_bounded
+from quarry.plans.joins import DEFAULT_BROADCAST_ROWS, has_at_most, join_bounded
 from quarry.plans.storage import ensure_checkpoint_dir
 
 _PID = "__pid"
 
+# Spark's exact ``median`` aggregate keeps a group's values (with counts) in one
+# aggregation buffer. Up to this many rows per group that buffer stays at a
+# few tens of MB, so bounded groups take that single aggregation; larger ones
+# take the range-partitioned route below.
+DEFAULT_GROUP_ROWS = 1_000_000
+
+
+def groups_at_most(df: DataFrame, group_cols: list[str], max_rows: int) -> bool:
+    """True when no group of ``df`` holds more than ``max_rows`` rows (one aggregate job)."""
+    over = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("__rows")).where(F.col("__rows") > max_rows)
+    return over.limit(1).count() == 0
+
 
 def range_checkpoint(df: DataFrame, order_cols: list[str]) -> DataFrame:
     """Range-partition on ``order_cols``, checkpoint, and tag each row's partition id.
@@ -32,12 +44,22 @@ def range_checkpoint(df: DataFrame, order_cols: list[str]) -> DataFrame:
     return ranged.withColumn(_PID, F.spark_partition_id())
 
 
-def global_row_number(df: DataFrame, order_cols: list[str], name: str = "rank") -> DataFrame:
+def global_row_number(
+    df: DataFrame,
+    order_cols: list[str],
+    name: str = "rank",
+    max_single_task_rows: int | None = DEFAULT_BROADCAST_ROWS,
+) -> DataFrame:
     """1-based position of each row in the total order ``order_cols`` (ties broken arbitrarily).
 
-    Same result as ``row_number()`` over an unpartitioned window, but no task
-    ever holds more than one range partition.
+    Same result as ``row_number()`` over an unpartitioned window. That window
+    is used as is only when a check proves ``df`` has at most
+    ``max_single_task_rows`` rows (e.g. one row per configuration); beyond
+    that no task ever holds more than one range partition.
     """
+    ordering = [F.col(c) for c in order_cols]
+    if max_single_task_rows is not None and has_at_most(df, max_single_task_rows):
+        return df.withColumn(name, F.row_number().over(Window.orderBy(*ordering)).cast("long"))
     tagged = range_checkpoint(df, order_cols)
     sizes = tagged.groupBy(_PID).agg(F.count(F.lit(1)).alias("__rows"))
     # One row per partition: the prefix sum runs over #partitions rows only.
@@ -56,9 +78,14 @@ def exact_median(
     group_cols: list[str],
     value_col: str,
     name: str = "median",
+    max_group_rows: int | None = DEFAULT_GROUP_ROWS,
 ) -> DataFrame:
     """Exact per-group median (linear interpolation, as ``median``/``percentile(0.5)``).
 
+    When a check proves every group holds at most ``max_group_rows`` rows,
+    Spark's ``median`` aggregate is used directly. Otherwise (or with
+    ``max_group_rows=None``):
+
     1. Pre-aggregate duplicates to ``(group, value, n)`` (map-side combine).
     2. Range-partition on ``(group, value)`` and checkpoint.
     3. Count rows per (partition, group): at most #groups + #partitions rows.
@@ -68,6 +95,8 @@ def exact_median(
     Nulls are ignored; NaN sorts above every number, as in Spark.
     """
     groups = list(group_cols)
+    if max_group_rows is not None and groups_at_most(df, groups, max_group_rows):
+        return df.groupBy(*groups).agg(F.median(value_col).alias(name))
     counted = (
         df.where(F.col(value_col).isNotNull())
         .groupBy(*groups, value_col)

@@ -6,16 +6,20 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from quarry import operators as op
-from quarry.plans.ranking import exact_median, global_row_number
+from quarry.plans.ranking import exact_median, global_row_number, groups_at_most
 
+# None forces the range-partitioned route; the default takes Spark's median once groups are proven small.
+ROUTES = [None, 1_000_000]
 
-def test_exact_median_matches_brute_force_with_a_hot_group(spark):
+
+@pytest.mark.parametrize("max_group_rows", ROUTES)
+def test_exact_median_matches_brute_force_with_a_hot_group(spark, max_group_rows):
     rnd = random.Random(7)
     data = [("hot", float(rnd.randint(0, 500))) for _ in range(3000)]
     data += [("a", 1.0), ("a", 2.0), ("b", 5.0), ("c", 1.0), ("c", 1.0), ("c", 3.0), ("c", 9.0)]
     data += [("d", None), ("d", 4.0)]
     df = spark.createDataFrame(data, "g string, v double").repartition(5)
-    got = {r.g: r.median for r in exact_median(df, ["g"], "v").collect()}
+    got = {r.g: r.median for r in exact_median(df, ["g"], "v", max_group_rows=max_group_rows).collect()}
     by = {}
     for g, v in data:
         if v is not None:
@@ -27,16 +31,24 @@ def test_exact_median_matches_brute_force_with_a_hot_group(spark):
 @given(st.lists(st.tuples(st.sampled_from("xyz"), st.integers(-5, 5)), min_size=1, max_size=60))
 def test_exact_median_property(spark, data):
     df = spark.createDataFrame([(g, float(v)) for g, v in data], "g string, v double")
-    got = {r.g: r.median for r in exact_median(df, ["g"], "v").collect()}
     by = {}
     for g, v in data:
         by.setdefault(g, []).append(float(v))
-    assert got == {g: statistics.median(vs) for g, vs in by.items()}
+    expected = {g: statistics.median(vs) for g, vs in by.items()}
+    for route in ROUTES:
+        assert {r.g: r.median for r in exact_median(df, ["g"], "v", max_group_rows=route).collect()} == expected
+
 
+def test_groups_at_most(spark):
+    df = spark.createDataFrame([("a",)] * 5 + [("b",)] * 2, "g string")
+    assert groups_at_most(df, ["g"], 5) and not groups_at_most(df, ["g"], 4)
 
-def test_global_row_number_is_a_dense_total_order(spark):
+
+@pytest.mark.parametrize("max_single_task_rows", [None, 10_000])
+def test_global_row_number_is_a_dense_total_order(spark, max_single_task_rows):
     df = spark.createDataFrame([(i % 7, i) for i in range(500)], "a int, b int").repartition(9)
-    out = sorted((r.rank, r.a, r.b) for r in global_row_number(df, ["a", "b"]).collect())
+    ranked = global_row_number(df, ["a", "b"], max_single_task_rows=max_single_task_rows)
+    out = sorted((r.rank, r.a, r.b) for r in ranked.collect())
     assert [r[0] for r in out] == list(range(1, 501))
     assert [(a, b) for _, a, b in out] == sorted((i % 7, i) for i in range(500))
 
@@ -52,8 +64,12 @@ def trials(spark):
     return spark.createDataFrame(data, "config string, trial int, seconds double")
 
 
-def test_summary_improvement_best_ranking(spark, trials):
-    summary = op.trial_summary(trials)
+@pytest.mark.parametrize("max_group_rows", ROUTES)
+def test_summary_improvement_best_ranking(spark, trials, max_group_rows):
+    summary = op.trial_summary(trials, max_group_rows=max_group_rows)
+    assert summary.columns == [
+        "config", "median_seconds", "minimum_seconds", "maximum_seconds", "average_seconds", "measurement_count"
+    ]
     got = {r.config: (r.median_seconds, r.minimum_seconds, r.maximum_seconds) for r in summary.collect()}
     assert got == {"a": (2.0, 1.0, 3.0), "b": (5.0, 4.0, 6.0), "c": (5.0, 5.0, 7.0)}
     imp = {r.config: r.improvement_percent for r in op.trial_improvement(summary, "b").collect()}
@@ -92,5 +108,5 @@ def test_hot_group_is_spread_over_range_partitions(spark):
     per_part = tagged.where(F.col("g") == "hot").groupBy("__pid").count().collect()
     assert len(per_part) >= 2
     assert max(r["count"] for r in per_part) < 3000
-    got = {r.g: r.median for r in exact_median(df, ["g"], "v").where("g = 'hot'").collect()}
+    got = {r.g: r.median for r in exact_median(df, ["g"], "v", max_group_rows=None).where("g = 'hot'").collect()}
     assert got == {"hot": 1499.5}
