@@ -36,14 +36,11 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    unhinted = customer.join(nation, customer.c_nationkey == nation.n_nationkey).select("c_custkey", "n_name")
-    small = bounded_sides({"nation": nation, "customer": unhinted})
-    customer_country = join_bounded(
-        customer, nation, customer.c_nationkey == nation.n_nationkey, small=small["nation"]
-    ).select("c_custkey", "n_name")
-    joined = join_bounded(
-        orders, customer_country, orders.o_custkey == customer_country.c_custkey, small=small["customer"]
-    )
+    # Star-join chain: every broadcast candidate is a base table, so one job
+    # proves (or refutes) all the size bounds.
+    small = bounded_sides({"customer": customer, "nation": nation})
+    joined = join_bounded(orders, customer, orders.o_custkey == customer.c_custkey, small=small["customer"])
+    joined = join_bounded(joined, nation, joined.c_nationkey == nation.n_nationkey, small=small["nation"])
     key = F.col("o_orderkey")
     return joined.select(
         key.alias("transaction_id"),
@@ -69,24 +66,14 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     region = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-
-    def nation_region(small_region: bool | None = None) -> DataFrame:
-        return join_bounded(nation, region, nation.n_regionkey == region.r_regionkey, small=small_region or False).select(
-            "n_nationkey", "r_name"
-        )
-
-    def supplier_region(nr: DataFrame, small_nr: bool | None = None) -> DataFrame:
-        return join_bounded(supplier, nr, supplier.s_nationkey == nr.n_nationkey, small=small_nr or False).select(
-            "s_suppkey", "r_name"
-        )
-
-    # One job proves (or refutes) the size bound of every dimension side.
-    unhinted = nation_region()
-    small = bounded_sides({"region": region, "nation": unhinted, "supplier": supplier_region(unhinted), "part": part})
-    nr = nation_region(small["region"])
-    sr = supplier_region(nr, small["nation"])
-    with_part = join_bounded(lineitem, part, lineitem.l_partkey == part.p_partkey, small=small["part"])
-    joined = join_bounded(with_part, sr, with_part.l_suppkey == sr.s_suppkey, small=small["supplier"])
+    # Star-join chain over the line items: each dimension is a base table whose
+    # size bound one job proves for all four; a dimension beyond the bound is
+    # joined by sort-merge (AQE splits skewed partitions).
+    small = bounded_sides({"part": part, "supplier": supplier, "nation": nation, "region": region})
+    joined = join_bounded(lineitem, part, lineitem.l_partkey == part.p_partkey, small=small["part"])
+    joined = join_bounded(joined, supplier, joined.l_suppkey == supplier.s_suppkey, small=small["supplier"])
+    joined = join_bounded(joined, nation, joined.s_nationkey == nation.n_nationkey, small=small["nation"])
+    joined = join_bounded(joined, region, joined.n_regionkey == region.r_regionkey, small=small["region"])
     return joined.select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("transaction_id"),
         F.col("p_type").alias("category"),
