@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from quarry.functions.money import round_money
 from quarry.operators.sales import category_metrics, category_region_sales, region_metrics
-from quarry.plans.parallelism import spread
 
 PARTITION_COUNTS = (2, 4, 8, 16, 32)
 
@@ -115,19 +114,13 @@ def partition_sweep(
 
 
 def persist_with(df: DataFrame, strategy: str) -> DataFrame:
-    """``df`` under a reuse strategy; persisted frames are first spread over the cores.
-
-    A persisted frame is read once per later action, and each read has one
-    task per cached partition: a small single-split input is round-robin
-    spread first so that both the fill and every read run in parallel. A large
-    input already has a partition per split and is persisted as it is.
-    """
+    """``df`` under a reuse strategy, keeping its partitioning (one cached block per partition)."""
     if strategy == "none":
         return df
     if strategy == "cache":
-        return spread(df).cache()
+        return df.cache()
     if strategy == "memory_and_disk":
-        return spread(df).persist(StorageLevel.MEMORY_AND_DISK)
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
     raise ValueError(f"unknown reuse strategy {strategy!r}; expected one of {STRATEGIES}")
 
 
