@@ -12,6 +12,9 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     input is smaller than cores x split size (or stored as a few huge row
     groups), so this extra shuffle is small whenever it happens; on a large
     input it is a no-op and no shuffle is added.
+
+    Apply it to a scan-like frame: finding the partition count of a frame
+    whose adaptive plan holds shuffles runs those shuffles first.
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < target:
