@@ -69,11 +69,14 @@ def main(argv: list[str] | None = None) -> int:
     from quarry.operators.clean import clean_transactions
     from quarry.plans import jobs
     from quarry.plans.storage import scratch_path
-    from quarry.session import build_session
+    from quarry.session import build_session, size_for_input
     from quarry.sources import schemas, synth
     from quarry.sources.files import read_csv, read_json_lines, write_csv, write_json
 
     spark = build_session(app_name=f"quarry-{args.command}")
+    if getattr(args, "input", None):
+        # Shuffle partitions and split size follow the input's size.
+        size_for_input(spark, args.input)
     if args.command == "generate-transactions":
         write_csv(synth.generate_transactions(spark, args.records, args.anchor, args.partitions), args.output)
     elif args.command == "generate-sales":

@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 
 def scale_conf(input_bytes: int, cores: int) -> dict[str, str]:
@@ -31,6 +32,24 @@ def scale_conf(input_bytes: int, cores: int) -> dict[str, str]:
     }
 
 
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Total size of the files under ``path`` on any Hadoop file system.
+
+    A distributed file listing: the ``binaryFile`` source with only its
+    ``length`` column selected never reads file contents.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return int(files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0])
+
+
+def size_for_input(spark: SparkSession, path: str) -> dict[str, str]:
+    """Apply :func:`scale_conf` for the input at ``path`` (runtime SQL settings; returns them)."""
+    conf = scale_conf(input_bytes(spark, path), spark.sparkContext.defaultParallelism)
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    return conf
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "quarry",

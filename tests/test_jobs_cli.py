@@ -1,3 +1,6 @@
+import pathlib
+
+import pytest
 from pyspark.sql import functions as F
 
 from quarry.__main__ import main
@@ -26,7 +29,36 @@ def test_partition_study_measures_every_count(spark):
     assert {r.config: r.result_rows for r in table.collect()} == {"2": 25, "4": 25}
 
 
-def test_cli_generate_reports_and_partition_study(spark, out_dir):
+SIZED = ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+
+@pytest.fixture()
+def restore_sizing(spark):
+    saved = {k: spark.conf.get(k, None) for k in SIZED}
+    yield
+    for k, v in saved.items():
+        if v is None:
+            spark.conf.unset(k)
+        else:
+            spark.conf.set(k, v)
+
+
+def test_input_sizing_from_a_distributed_listing(spark, out_dir, restore_sizing):
+    from quarry.session import input_bytes, scale_conf, size_for_input
+
+    write_json(synth.generate_sales(spark, 400, partitions=3), f"{out_dir}/sales")
+    data_files = [p for p in pathlib.Path(f"{out_dir}/sales").rglob("*") if p.is_file() and p.name[0] not in "._"]
+    on_disk = sum(p.stat().st_size for p in data_files)
+    assert input_bytes(spark, f"{out_dir}/sales") == on_disk
+    conf = size_for_input(spark, f"{out_dir}/sales")
+    assert spark.conf.get("spark.sql.shuffle.partitions") == conf["spark.sql.shuffle.partitions"]
+    cores = spark.sparkContext.defaultParallelism
+    assert conf["spark.sql.shuffle.partitions"] == str(2 * cores)  # small input: two waves of tasks
+    # 100 TB on 8000 cores: capped at 100k partitions, which AQE then coalesces or splits.
+    assert scale_conf(100 * 2**40, 8000)["spark.sql.shuffle.partitions"] == "100000"
+
+
+def test_cli_generate_reports_and_partition_study(spark, out_dir, restore_sizing):
     assert main(["generate-transactions", "--records", "3000", "--output", f"{out_dir}/tx.csv"]) == 0
     assert main(["reports", "--input", f"{out_dir}/tx.csv", "--output", f"{out_dir}/out", "--reuse", "cache"]) == 0
     country = read_csv(spark, f"{out_dir}/out/country_metrics", jobs.COUNTRY_METRICS)
