@@ -7,35 +7,77 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A broadcast side is shipped to every executor and held in memory there.
-# Two million narrow rows stay well under Spark's 8 GB broadcast limit.
+# A broadcast side is shipped to every executor and held in memory there, so
+# both its row count and the bytes of its values are bounded (Spark's hard
+# limit is 8 GB; these keep the built hash table to a few hundred MB).
 DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
 
+# Fixed widths in bytes of the values of fixed-size types.
+_FIXED_WIDTHS = {
+    "boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "bigint": 8, "float": 4, "double": 8,
+    "date": 4, "timestamp": 8, "timestamp_ntz": 8,
+}
 
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has no more than ``max_rows`` rows.
 
-    An exact count: every task counts its own rows and only one partial count
-    per task crosses the shuffle (``limit(max_rows + 1)`` would instead move up
-    to ``max_rows + 1`` rows from every task into a single reducer). On a
-    base-table scan the count reads no column data: Parquet answers it from
-    the row-group footers.
-    """
-    return df.count() <= max_rows
+def row_bytes(df: DataFrame) -> Column:
+    """Bytes of one row's values: fixed widths plus the exact length of variable-width values."""
+    sizes: list[Column] = []
+    fixed = 0
+    for field in df.schema.fields:
+        name = field.dataType.simpleString()
+        if name in _FIXED_WIDTHS:
+            fixed += _FIXED_WIDTHS[name]
+        elif name.startswith("decimal"):
+            fixed += 16
+        elif name in ("string", "binary"):
+            sizes.append(F.coalesce(F.octet_length(F.col(field.name)), F.lit(0)))
+        else:
+            sizes.append(F.coalesce(F.octet_length(F.to_json(F.struct(F.col(field.name)))), F.lit(0)))
+    total = F.lit(fixed).cast("bigint")
+    for size in sizes:
+        total = total + size
+    return total
+
+
+def has_at_most(df: DataFrame, max_rows: int, max_bytes: int | None = None) -> bool:
+    """True when ``df`` has no more than ``max_rows`` rows (and ``max_bytes`` bytes of values, if given)."""
+    return bounded_sides({"df": df}, max_rows, max_bytes)["df"]
 
 
-def bounded_sides(frames: Mapping[str, DataFrame], max_rows: int = DEFAULT_BROADCAST_ROWS) -> dict[str, bool]:
-    """:func:`has_at_most` for several frames in a single Spark job (one small row per frame comes back)."""
+def bounded_sides(
+    frames: Mapping[str, DataFrame],
+    max_rows: int = DEFAULT_BROADCAST_ROWS,
+    max_bytes: int | None = DEFAULT_BROADCAST_BYTES,
+) -> dict[str, bool]:
+    """Whether each frame has at most ``max_rows`` rows and ``max_bytes`` bytes of values: one Spark job.
+
+    Exact counts and sizes: every task aggregates its own rows and only one
+    partial row per task and frame crosses the shuffle (``limit(max_rows + 1)``
+    would instead move up to ``max_rows + 1`` rows from every task into a
+    single reducer). Only variable-width columns are read for the size;
+    without ``max_bytes`` a base-table count reads no column data at all.
+    """
     names = list(frames)
     if not names:
         return {}
-    tagged = [frames[n].select(F.lit(i).alias("__side")) for i, n in enumerate(names)]
+    tagged = [
+        frames[n].select(
+            F.lit(i).alias("__side"),
+            (row_bytes(frames[n]) if max_bytes is not None else F.lit(0).cast("bigint")).alias("__bytes"),
+        )
+        for i, n in enumerate(names)
+    ]
     union = tagged[0]
     for part in tagged[1:]:
         union = union.unionByName(part)
-    # Partial counts per task and side; one exchange for all sides.
-    counts = {r["__side"]: r["__rows"] for r in union.groupBy("__side").agg(F.count(F.lit(1)).alias("__rows")).collect()}
-    return {n: counts.get(i, 0) <= max_rows for i, n in enumerate(names)}
+    measured = union.groupBy("__side").agg(F.count(F.lit(1)).alias("__rows"), F.sum("__bytes").alias("__bytes"))
+    sizes = {r["__side"]: (r["__rows"], r["__bytes"]) for r in measured.collect()}
+    verdict = {}
+    for i, n in enumerate(names):
+        rows, size = sizes.get(i, (0, 0))
+        verdict[n] = rows <= max_rows and (max_bytes is None or (size or 0) <= max_bytes)
+    return verdict
 
 
 def broadcast_if(df: DataFrame, small: bool) -> DataFrame:
@@ -49,14 +91,15 @@ def join_bounded(
     how: str = "inner",
     max_rows: int = DEFAULT_BROADCAST_ROWS,
     small: bool | None = None,
+    max_bytes: int | None = DEFAULT_BROADCAST_BYTES,
 ) -> DataFrame:
     """``left.join(right)``, broadcasting ``right`` only after proving it is small.
 
     ``small`` passes a verdict already established (e.g. by
-    :func:`bounded_sides`). Beyond ``max_rows`` the join is left to
+    :func:`bounded_sides`). Beyond ``max_rows`` rows or ``max_bytes`` bytes the join is left to
     Catalyst/AQE: a sort-merge join whose skewed partitions AQE splits, or a
     runtime switch to broadcast once shuffle statistics show a side is small.
     """
     if small is None:
-        small = has_at_most(right, max_rows)
+        small = has_at_most(right, max_rows, max_bytes)
     return left.join(broadcast_if(right, small), on, how)

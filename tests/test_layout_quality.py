@@ -124,6 +124,19 @@ def test_assert_passed_raises_on_violation(spark):
         op.assert_passed(check, F.col("violations") > 0)
 
 
+def test_size_check_bounds_rows_and_bytes(spark):
+    from quarry.plans.joins import bounded_sides, row_bytes
+
+    df = spark.createDataFrame([(1, "ab", 2.0), (2, None, 3.0), (3, "\u00e9", None)], "k int, s string, v double")
+    # fixed widths 4 + 8 per row, plus the UTF-8 bytes of the strings (2 + 0 + 2)
+    assert df.agg(F.sum(row_bytes(df))).first()[0] == 3 * 12 + 4
+    wide = spark.createDataFrame([("x" * 1000,)] * 5, "s string")
+    got = bounded_sides({"df": df, "wide": wide}, max_rows=10, max_bytes=1000)
+    assert got == {"df": True, "wide": False}
+    assert bounded_sides({"wide": wide}, max_rows=10, max_bytes=None) == {"wide": True}
+    assert not has_at_most(df, 2) and has_at_most(df, 3)
+
+
 def test_join_bounded_broadcasts_only_small_sides(spark):
     big = spark.range(1000).withColumnRenamed("id", "k")
     small = spark.range(10).withColumnRenamed("id", "k")

@@ -46,7 +46,7 @@ def test_small_dimensions_broadcast_and_large_ones_do_not(spark, monkeypatch):
     # Below every table's size, nothing is broadcast on our say-so; Spark's own
     # size estimate is switched off so the fallback (sort-merge) shows.
     monkeypatch.setattr(joins, "DEFAULT_BROADCAST_ROWS", 3)
-    monkeypatch.setattr(tables.bounded_sides, "__defaults__", (3,))
+    monkeypatch.setattr(tables.bounded_sides, "__defaults__", (3, joins.DEFAULT_BROADCAST_BYTES))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         plan = plan_text(tables.sales(spark, SF_SMALL))
