@@ -21,6 +21,8 @@ from quarry.sources.files import read_csv, read_json_lines, read_parquet, read_t
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 BASELINE_CONFIG = "view"  # measurements mapping: events.event_type "view" is the baseline
+# The configurations the measurements mapping must contain (the event types).
+EXPECTED_CONFIGS = ["click", "error", "purchase", "signup", "view"]
 ITERATIONS = 3
 
 
@@ -190,6 +192,24 @@ def q_trial_ranking(spark, sf_dir):
     return op.trial_ranking(_summary(spark, sf_dir))
 
 
+def _study(spark, sf_dir):
+    """Wide study table: one total per (config, trial), then trials, median/min/max and improvement."""
+    totals = op.trial_totals(tables.measurements(spark, sf_dir))
+    return jobs.study_table(totals, baseline=BASELINE_CONFIG)
+
+
+def q_study_table(spark, sf_dir):
+    """The study table written as one CSV file (one row per configuration) and read back with its schema."""
+    study = _study(spark, sf_dir)
+    path = write_csv(study, scratch_path(spark, "study_table"), single_file=True)
+    return read_csv(spark, path, study.schema)
+
+
+def q_study_checks(spark, sf_dir):
+    """Study checks: configuration set both ways, positive trials and medians."""
+    return jobs.study_checks(_study(spark, sf_dir), EXPECTED_CONFIGS).withColumnRenamed("check", "check_name")
+
+
 # --------------------------------------------------------------------------- quality
 
 def q_row_counts(spark, sf_dir):
@@ -283,6 +303,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "trial_pivot": q_trial_pivot,
         "trial_best": q_trial_best,
         "trial_ranking": q_trial_ranking,
+        "study_table": q_study_table,
+        "study_checks": q_study_checks,
         "row_counts": q_row_counts,
         "record_count_gate": q_record_count_gate,
         "json_validity": q_json_validity,
@@ -433,6 +455,50 @@ SELECT CAST(id AS BIGINT) AS transaction_id,
 FROM (SELECT l_orderkey * 10 + l_linenumber AS id FROM lineitem)"""
 
 
+_STUDY = f"""
+m AS (
+  SELECT event_type AS config, CAST(event_id % 3 + 1 AS INTEGER) AS trial, value AS seconds FROM events
+),
+t AS (SELECT config, trial, round(sum(seconds), 2) AS seconds FROM m GROUP BY config, trial),
+s AS (
+  SELECT config, round(median(seconds), 6) AS median_seconds, min(seconds) AS minimum_seconds,
+         max(seconds) AS maximum_seconds
+  FROM t GROUP BY config
+),
+p AS (
+  SELECT config,
+    max(CASE WHEN trial = 1 THEN seconds END) AS trial_1_seconds,
+    max(CASE WHEN trial = 2 THEN seconds END) AS trial_2_seconds,
+    max(CASE WHEN trial = 3 THEN seconds END) AS trial_3_seconds
+  FROM t GROUP BY config
+),
+b AS (SELECT median_seconds AS base FROM s WHERE config = '{BASELINE_CONFIG}'),
+study AS (
+  SELECT p.config, p.trial_1_seconds, p.trial_2_seconds, p.trial_3_seconds,
+         s.median_seconds, s.minimum_seconds, s.maximum_seconds,
+         CASE WHEN s.config = '{BASELINE_CONFIG}' THEN 0.0
+              ELSE round((b.base - s.median_seconds) / b.base * 100, 2) END AS improvement_percent
+  FROM p JOIN s ON p.config = s.config LEFT JOIN b ON TRUE
+)"""
+
+_EXPECTED_CONFIGS = ", ".join(f"('{c}')" for c in EXPECTED_CONFIGS)
+
+_STUDY_CHECKS = f"""WITH {_STUDY.strip()},
+e AS (SELECT * FROM (VALUES {_EXPECTED_CONFIGS}) v(config)),
+diff AS (
+  SELECT config FROM e WHERE config NOT IN (SELECT config FROM study)
+  UNION ALL
+  SELECT DISTINCT config FROM study WHERE config NOT IN (SELECT config FROM e)
+)
+SELECT 'configurations_match_expected' AS check_name, count(*) AS checked_rows, count(*) AS violations FROM diff
+UNION ALL
+SELECT 'trials_positive', count(*),
+       count(*) FILTER (WHERE NOT coalesce(NOT (trial_1_seconds <= 0 OR trial_2_seconds <= 0 OR trial_3_seconds <= 0), false))
+FROM study
+UNION ALL
+SELECT 'median_positive', count(*), count(*) FILTER (WHERE NOT coalesce(median_seconds > 0, false)) FROM study"""
+
+
 def oracle_sql() -> dict[str, str]:
     tx = f"WITH {_TX.strip()}\n"
     sales = f"WITH {_SALES.strip()}\n"
@@ -484,6 +550,8 @@ def oracle_sql() -> dict[str, str]:
         "trial_ranking": measure
         + "SELECT CAST(row_number() OVER (ORDER BY median_seconds, config) AS INTEGER) AS rank, config, median_seconds\n"
         "FROM summary",
+        "study_table": f"WITH {_STUDY.strip()}\nSELECT * FROM study ORDER BY config",
+        "study_checks": _STUDY_CHECKS,
         "row_counts": f"WITH {_TX.strip()}, {_SALES.strip()}\n"
         "SELECT 'transactions_loaded' AS stage, count(*) AS rows FROM tx\n"
         "UNION ALL SELECT 'transactions_clean', count(*) FROM clean\n"
