@@ -11,6 +11,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.plans.joins import join_bounded
+
 
 def row_counts(frames: Mapping[str, DataFrame]) -> DataFrame:
     """stage, rows: one count per named frame (a single job with one branch per frame)."""
@@ -85,13 +87,16 @@ def expected_counts_check(
     key: str = "word",
     count: str = "count",
 ) -> DataFrame:
-    """key, expected_count, actual_count for every expectation that does not hold (absent = failure)."""
-    got = actual.select(key, F.col(count).alias("actual_count"))
-    return (
-        expected.select(key, F.col("expected_count").cast("bigint").alias("expected_count"))
-        .join(got, key, "left")
-        .where(~F.col("actual_count").eqNullSafe(F.col("expected_count")))
-    )
+    """key, expected_count, actual_count for every expectation that does not hold (absent = failure).
+
+    ``actual`` may be vocabulary-sized: a semi-join against the (size-checked,
+    broadcast) expected keys first keeps only the counts that are asked
+    about, where they already are; only those few rows meet the expectations.
+    """
+    want = expected.select(key, F.col("expected_count").cast("bigint").alias("expected_count"))
+    keys = want.select(key)
+    asked = join_bounded(actual.select(key, F.col(count).alias("actual_count")), keys, key, "left_semi")
+    return want.join(asked, key, "left").where(~F.col("actual_count").eqNullSafe(F.col("expected_count")))
 
 
 def roundtrip_diff(original: DataFrame, read_back: DataFrame) -> DataFrame:

@@ -59,6 +59,15 @@ def test_top_k_never_sorts_everything(plans):
     assert "TakeOrderedAndProject" in plans["top_customers"]
 
 
+def test_expected_word_counts_only_count_the_expected_words(plans):
+    # The semi-join against the broadcast expectations sits below the count,
+    # so the vocabulary is never built, shuffled or broadcast for the check.
+    plan = plans["expected_counts"]
+    semi = plan.index("LeftSemi")
+    assert "BuildRight" in plan[semi : semi + 40]
+    assert plan.index("partial_count") < semi
+
+
 def test_no_local_checkpoints_or_machine_local_folders():
     root = pathlib.Path(__file__).resolve().parents[1]
     sources = [p for p in root.glob("quarry/**/*.py")] + [root / "__spark_entry__.py", root / "bench.py"]
