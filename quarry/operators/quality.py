@@ -55,12 +55,18 @@ def json_line_validity(lines: DataFrame, column: str = "value") -> DataFrame:
 
 
 def expected_key_diff(actual: DataFrame, expected: DataFrame, key: str) -> DataFrame:
-    """key, status: keys expected but absent ("missing") and present but not expected ("unexpected")."""
-    have = actual.select(key).distinct()
-    want = expected.select(key).distinct()
-    missing = want.join(have, key, "left_anti").withColumn("status", F.lit("missing"))
-    unexpected = have.join(want, key, "left_anti").withColumn("status", F.lit("unexpected"))
-    return missing.unionByName(unexpected)
+    """key, status: keys expected but absent ("missing") and present but not expected ("unexpected").
+
+    Both key sets are deduplicated first (map-side, so a hot key collapses
+    before the shuffle) and compared in one full outer join: each side is
+    shuffled and sorted once. Null keys never match, as in an anti-join.
+    """
+    have = actual.select(key).distinct().withColumn("__have", F.lit(True))
+    want = expected.select(key).distinct().withColumn("__want", F.lit(True))
+    both = have.join(want, key, "full_outer")
+    return both.where(F.col("__have").isNull() | F.col("__want").isNull()).select(
+        key, F.when(F.col("__have").isNull(), F.lit("missing")).otherwise(F.lit("unexpected")).alias("status")
+    )
 
 
 def bounds_check(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
@@ -100,12 +106,22 @@ def expected_counts_check(
 
 
 def roundtrip_diff(original: DataFrame, read_back: DataFrame) -> DataFrame:
-    """missing_rows, extra_rows: multiset difference both ways between a result and its read-back."""
+    """missing_rows, extra_rows: multiset difference both ways between a result and its read-back.
+
+    One aggregation over both frames: each distinct row's copies are counted
+    on either side (partial counts per task, so a row repeated many times
+    collapses before the shuffle) and the surplus of each side is summed.
+    Rows compare as in ``exceptAll``: nulls equal nulls.
+    """
     cols = original.columns
-    back = read_back.select(*cols)
-    missing = original.exceptAll(back).agg(F.count(F.lit(1)).alias("missing_rows"))
-    extra = back.exceptAll(original).agg(F.count(F.lit(1)).alias("extra_rows")).scalar()
-    return missing.select("missing_rows", extra.alias("extra_rows"))
+    tagged = original.select(*cols, F.lit(1).alias("__o"), F.lit(0).alias("__b")).unionByName(
+        read_back.select(*cols, F.lit(0).alias("__o"), F.lit(1).alias("__b"))
+    )
+    per_row = tagged.groupBy(*cols).agg(F.sum("__o").alias("__o"), F.sum("__b").alias("__b"))
+    return per_row.agg(
+        F.coalesce(F.sum(F.greatest(F.col("__o") - F.col("__b"), F.lit(0))), F.lit(0)).cast("bigint").alias("missing_rows"),
+        F.coalesce(F.sum(F.greatest(F.col("__b") - F.col("__o"), F.lit(0))), F.lit(0)).cast("bigint").alias("extra_rows"),
+    )
 
 
 def assert_passed(check: DataFrame, violation: Column) -> None:

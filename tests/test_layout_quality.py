@@ -93,6 +93,26 @@ def test_expected_key_diff_both_directions(spark):
     assert rows(op.expected_key_diff(actual, expected, "k")) == [(3, "missing"), (5, "unexpected")]
 
 
+def test_expected_key_diff_nulls_and_duplicates(spark):
+    actual = spark.createDataFrame([(1,), (1,), (None,), (7,), (7,)], "k int")
+    expected = spark.createDataFrame([(1,), (None,), (4,), (4,)], "k int")
+    got = sorted(op.expected_key_diff(actual, expected, "k").collect(), key=lambda r: (r.status, str(r.k)))
+    # null keys never match (as in an anti-join): one missing, one unexpected
+    assert [(r.k, r.status) for r in got] == [(4, "missing"), (None, "missing"), (7, "unexpected"), (None, "unexpected")]
+
+
+def test_roundtrip_diff_matches_except_all(spark):
+    a = spark.createDataFrame([(1, "x"), (1, "x"), (1, "x"), (2, None), (3, "nan")], "i int, s string")
+    b = spark.createDataFrame([(1, "x"), (2, None), (2, None), (4, "y")], "i int, s string")
+    r = op.roundtrip_diff(a, b).first()
+    assert (r.missing_rows, r.extra_rows) == (a.exceptAll(b).count(), b.exceptAll(a).count()) == (3, 2)
+    nan = spark.createDataFrame([(float("nan"),), (1.0,)], "v double")
+    assert tuple(op.roundtrip_diff(nan, nan).first()) == (0, 0)
+    empty = a.limit(0)
+    assert tuple(op.roundtrip_diff(empty, empty).first()) == (0, 0)
+    assert tuple(op.roundtrip_diff(a, empty).first()) == (5, 0)
+
+
 def test_bounds_check_counts_violations_and_nulls(spark):
     df = spark.createDataFrame([(1, 2.0), (0, 1.0), (2, None), (3, -1.0)], "trial int, seconds double")
     out = {r.rule: (r.checked_rows, r.violations) for r in op.bounds_check(
