@@ -50,6 +50,7 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--output", required=True)
     s.add_argument("--partitions", type=int, nargs="+", default=[2, 4, 8, 16, 32])
     s.add_argument("--trials", type=int, default=3)
+    s.add_argument("--move", choices=["partials", "rows"], default="partials")
 
     c = sub.add_parser("reuse-study")
     c.add_argument("--input", required=True)
@@ -93,7 +94,7 @@ def main(argv: list[str] | None = None) -> int:
             df.show(5, False)
     elif args.command == "partition-study":
         sales = read_json_lines(spark, args.input, schemas.SALES)
-        table = jobs.study_table(jobs.partition_study(sales, args.partitions, args.trials))
+        table = jobs.study_table(jobs.partition_study(sales, args.partitions, args.trials, args.move))
         write_csv(table, args.output, single_file=True)
         table.show(truncate=False)
     elif args.command == "reuse-study":

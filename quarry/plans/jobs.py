@@ -17,12 +17,10 @@ from quarry.operators.layout import (
     partition_sweep,
     persist_with,
     repartition_by,
-    repartition_evenly,
     run_reuse_workload,
 )
 from quarry.operators.quality import count_gate, expected_counts_check
 from quarry.operators.reports import category_trends, country_metrics, top_customers
-from quarry.operators.sales import category_region_sales
 from quarry.operators.text import word_count
 from quarry.sources.files import read_csv, read_json_lines, read_parquet, write_csv, write_json, write_parquet
 
@@ -97,9 +95,13 @@ def partition_study(
     sales: DataFrame,
     counts: Sequence[int] = PARTITION_COUNTS,
     trials: int = 3,
+    move: str = "partials",
 ) -> DataFrame:
     """Time category x region totals at each partition count: (config, trial, seconds, result_rows).
 
+    Each timed run is one branch of :func:`partition_sweep` (``move`` as
+    there: "partials" moves per-partition partial aggregates into ``n``
+    partitions, "rows" moves the raw rows and suits study-sized inputs only).
     Every count is run once untimed to warm up, then ``trials`` times in an
     order that reverses each trial. Timings are a handful of driver-side
     numbers; they become a DataFrame for the measurement operators.
@@ -107,17 +109,17 @@ def partition_study(
     if trials <= 0 or any(n <= 0 for n in counts):
         raise ValueError("trials and partition counts must be greater than zero")
     spark = sales.sparkSession
-    category_region_sales(repartition_evenly(sales, 4)).write.format("noop").mode("overwrite").save()
+    partition_sweep(sales, (4,), move).write.format("noop").mode("overwrite").save()
     order = list(counts)
     rows = []
     for trial in range(1, trials + 1):
         for n in order:
-            result = category_region_sales(repartition_evenly(sales, n))
+            result = partition_sweep(sales, (n,), move)
             seconds = _timed(lambda r=result: r.write.format("noop").mode("overwrite").save())
             rows.append((str(n), trial, seconds))
         order.reverse()
     schema = "config string, trial int, seconds double"
-    result_rows = partition_sweep(sales, counts).groupBy(F.col("partition_count").cast("string").alias("config")).count()
+    result_rows = partition_sweep(sales, counts, move).groupBy(F.col("partition_count").cast("string").alias("config")).count()
     return spark.createDataFrame(rows, schema).join(result_rows.withColumnRenamed("count", "result_rows"), "config", "left")
 
 

@@ -21,9 +21,10 @@ def test_study_table_shape_and_improvement(spark):
     assert rows["cache"].average_materialisation_seconds == 0.5
 
 
-def test_partition_study_measures_every_count(spark):
+@pytest.mark.parametrize("move", ["partials", "rows"])
+def test_partition_study_measures_every_count(spark, move):
     sales = synth.generate_sales(spark, 500, partitions=2)
-    m = jobs.partition_study(sales, (2, 4), trials=3)
+    m = jobs.partition_study(sales, (2, 4), trials=3, move=move)
     assert m.count() == 6
     table = jobs.study_table(m)
     assert {r.config: r.result_rows for r in table.collect()} == {"2": 25, "4": 25}
