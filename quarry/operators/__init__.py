@@ -1,6 +1,6 @@
 """DataFrame -> DataFrame operators."""
 
-from quarry.operators.clean import clean_transactions, drop_incomplete, keep_positive
+from quarry.operators.clean import clean_transactions, drop_incomplete, is_clean, is_complete, keep_positive
 from quarry.operators.layout import (
     PARTITION_COUNTS,
     STRATEGIES,
@@ -51,6 +51,8 @@ __all__ = [
     "country_metrics",
     "customer_spend",
     "drop_incomplete",
+    "is_clean",
+    "is_complete",
     "expected_counts_check",
     "expected_key_diff",
     "json_line_validity",

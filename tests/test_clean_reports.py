@@ -96,3 +96,21 @@ def test_positive_filter_reaches_the_scan(spark, out_dir):
 
 def test_nan_is_not_a_number(spark):
     assert math.isnan(spark.range(1).select(F.lit(float("nan")).alias("x")).first().x)
+
+
+def test_complete_predicate_equals_na_drop_and_is_pushed(spark, out_dir):
+    data = [
+        (1, "a", 1.0, 2.0), (2, None, 1.0, 2.0), (3, "c", float("nan"), 2.0), (4, "d", 1.0, float("nan")),
+        (5, "e", None, 2.0), (None, "f", 1.0, 2.0), (7, "g", -1.0, 0.0),
+    ]
+    df = spark.createDataFrame(data, "i int, s string, x double, y float")
+    def norm(frame):  # NaN != NaN in Python, so compare it as text
+        return [tuple("NaN" if isinstance(v, float) and math.isnan(v) else v for v in r) for r in rows(frame)]
+
+    assert norm(op.drop_incomplete(df)) == norm(df.na.drop(how="any"))
+    assert norm(op.drop_incomplete(df, ["i", "x"])) == norm(df.na.drop(how="any", subset=["i", "x"]))
+    df.write.parquet(f"{out_dir}/t")
+    plan = plan_text(op.drop_incomplete(spark.read.parquet(f"{out_dir}/t")))
+    assert "AtLeastNNonNulls" not in plan
+    for column in ("i", "s", "x", "y"):
+        assert f"IsNotNull({column})" in plan
