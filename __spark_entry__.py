@@ -213,10 +213,10 @@ def q_study_checks(spark, sf_dir):
 # --------------------------------------------------------------------------- quality
 
 def q_row_counts(spark, sf_dir):
+    """Rows loaded and kept by cleaning (one pass over the transactions), and sales rows."""
     raw = tables.transactions(spark, sf_dir)
-    return op.row_counts(
-        {"transactions_loaded": raw, "transactions_clean": op.clean_transactions(raw), "sales": _sales(spark, sf_dir)}
-    )
+    transactions = op.counts_where(raw, {"transactions_loaded": F.lit(True), "transactions_clean": op.is_clean(raw)})
+    return transactions.unionByName(op.row_counts({"sales": _sales(spark, sf_dir)}))
 
 
 def q_record_count_gate(spark, sf_dir):

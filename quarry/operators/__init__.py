@@ -26,6 +26,7 @@ from quarry.operators.quality import (
     assert_passed,
     bounds_check,
     count_gate,
+    counts_where,
     expected_counts_check,
     expected_key_diff,
     json_line_validity,
@@ -48,6 +49,7 @@ __all__ = [
     "category_trends",
     "clean_transactions",
     "count_gate",
+    "counts_where",
     "country_metrics",
     "customer_spend",
     "drop_incomplete",

@@ -130,6 +130,14 @@ def test_count_gate_and_row_counts(spark, sales):
     assert counts == {"all": 2000, "few": 7}
 
 
+def test_counts_where_one_pass(spark):
+    df = spark.createDataFrame([(1,), (2,), (None,), (4,)], "x int")
+    got = {r.stage: r.rows for r in op.counts_where(df, {"all": F.lit(True), "big": F.col("x") > 1}).collect()}
+    assert got == {"all": 4, "big": 2}  # a null predicate counts as not kept
+    with pytest.raises(ValueError):
+        op.counts_where(df, {})
+
+
 def test_roundtrip_diff_counts_multiset_differences(spark):
     a = spark.createDataFrame([(1,), (1,), (2,)], "x int")
     b = spark.createDataFrame([(1,), (2,), (3,)], "x int")
