@@ -114,3 +114,31 @@ def test_hot_join_key_beyond_the_bound_is_split_not_funnelled(spark):
         expected[cust % 25] = expected.get(cust % 25, 0) + 1
     assert got == expected
     assert "BroadcastHashJoin" not in plan and "SortMergeJoin(skew=true)" in plan
+
+
+def test_rebalance_spreads_a_hot_key_that_hash_repartitioning_keeps_in_one_task(spark):
+    """The cached report pipeline co-locates by country with REBALANCE: a hot country is split."""
+    from pyspark.sql import functions as F
+
+    from quarry import operators as op
+
+    n = 30000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("c"), (F.col("id") % 40).cast("string"))).alias("country"),
+        F.sha2(F.col("id").cast("string"), 256).alias("payload"),  # incompressible, so sizes are real
+    )
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    saved = spark.conf.get(key, None)
+    spark.conf.set(key, "4k")  # makes this small input as lopsided, in bytes, as a hot key at scale
+    try:
+        spread = {}
+        for rebalance in (False, True):
+            laid_out = op.repartition_by(df, "country", rebalance=rebalance).select(
+                "country", F.spark_partition_id().alias("p"), F.length("payload").alias("w")
+            )
+            hot = laid_out.where("country = 'hot'").groupBy("p").agg(F.count(F.lit(1)).alias("n"), F.sum("w")).collect()
+            spread[rebalance] = sorted(r.n for r in hot)
+    finally:
+        spark.conf.unset(key) if saved is None else spark.conf.set(key, saved)
+    assert spread[False] == [n // 3]  # plain hash partitioning: the whole hot key in one task
+    assert len(spread[True]) > 1 and sum(spread[True]) == n // 3 and max(spread[True]) < n // 3
