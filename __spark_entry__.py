@@ -19,6 +19,20 @@ from quarry.plans.storage import scratch_path
 from quarry.sources import schemas, synth, tables
 from quarry.sources.files import read_csv, read_json_lines, read_parquet, read_text_lines, write_csv, write_json, write_parquet, write_text
 
+# The training-data operators and their pipeline are optional: without their folders the rest still works.
+try:
+    import quarry.llm.queries as llm
+except ModuleNotFoundError as missing:
+    if missing.name not in ("quarry.llm", "quarry.llm.queries"):
+        raise
+    llm = None
+try:
+    import corpus_pipeline
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "quarry.llm"):
+        raise
+    corpus_pipeline = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 BASELINE_CONFIG = "view"  # measurements mapping: events.event_type "view" is the baseline
 # The configurations the measurements mapping must contain (the event types).
@@ -313,6 +327,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "gen_transactions": q_gen_transactions,
         "gen_sales": q_gen_sales,
         "range_double_sum": q_range_double_sum,
+        **(llm.queries() if llm else {}),
+        **({"pipeline": corpus_pipeline.run} if corpus_pipeline else {}),
     }
 
 
