@@ -10,8 +10,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe
-from quarry.llm.common import spread_small, table
+from quarry.llm import bpe, langid
+from quarry.llm.common import held_out, spread_small, table
 
 TOKENIZER_FILE = "word_bpe_49k.json"
 
@@ -40,6 +40,22 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every text, learned from the documents outside fold 2 of 4."""
+    docs = table(spark, sf_dir, "documents")
+    out = held_out(F.col("doc_id"), 4, 2)
+    model = langid.fit(docs, ~out)
+    done = langid.predict(spread_small(docs.select("doc_id", "text")), model)
+    return done.select(
+        "doc_id",
+        out.alias("held_out"),
+        F.col("language.lang").alias("lang_pred"),
+        F.col("language.score").alias("score"),
+        F.col("language.nats").alias("nats_per_char"),
+        F.col("language.rejected").alias("rejected"),
+    )
+
+
 def importable(spark: SparkSession) -> None:
     """Let Python workers import this package wherever the driver found it (no-op if they already can)."""
     root = str(Path(__file__).resolve().parents[2])
@@ -58,7 +74,7 @@ def _query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSess
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op9_bpe]
+    found = [op9_bpe, op10_language]
     return {run.__name__: _query(run) for run in found}
 
 
