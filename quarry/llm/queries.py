@@ -10,7 +10,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, langid
+from quarry.llm import bpe, langid, simhash
 from quarry.llm.common import held_out, spread_small, table
 
 TOKENIZER_FILE = "word_bpe_49k.json"
@@ -27,6 +27,12 @@ def _sha256(col) -> F.Column:
     return F.sha2(F.coalesce(col, F.lit("")), 256)
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document: 3-word shingles, 2 or fewer differing bits."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("simhash"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text by the tokenisation automaton, decoded again; their digests."""
     docs = spread_small(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -74,7 +80,7 @@ def _query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSess
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op9_bpe, op10_language]
+    found = [op1_simhash, op9_bpe, op10_language]
     return {run.__name__: _query(run) for run in found}
 
 
