@@ -10,9 +10,17 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, langid, simhash
+from quarry.llm import bpe, langid, simhash, urls
 from quarry.llm.common import held_out, spread_small, table
 
+# The rules of the URL query, as host, path start and action.
+URL_RULES = [
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+]
 TOKENIZER_FILE = "word_bpe_49k.json"
 
 
@@ -33,6 +41,13 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("simhash"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op2_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's URL judged by the rules; a URL that no rule fits is allowed."""
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, action string")
+    found = urls.judge(table(spark, sf_dir, "pages").select("page_id", "url"), rules)
+    return found.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text by the tokenisation automaton, decoded again; their digests."""
     docs = spread_small(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -80,9 +95,27 @@ def _query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSess
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_simhash, op9_bpe, op10_language]
+    found = [op1_simhash, op2_urls, op9_bpe, op10_language]
     return {run.__name__: _query(run) for run in found}
 
 
+_URLS_SQL = """
+WITH u AS (
+  SELECT page_id,
+         coalesce(translate(regexp_extract(url, '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+         coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages
+),
+r(h, p, action) AS (VALUES """ + ", ".join(f"('{h}', '{p}', '{a}')" for h, p, a in URL_RULES) + """),
+best AS (
+  SELECT page_id, arg_max(h || p, length(h || p)) AS rule, arg_max(action, length(h || p)) AS action
+  FROM (SELECT DISTINCT page_id, host, path FROM u) JOIN r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+  GROUP BY page_id
+)
+SELECT u.page_id, u.host, u.path, best.rule, coalesce(best.action, 'allow') AS verdict
+FROM u LEFT JOIN best ON u.page_id = best.page_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_urls": _URLS_SQL}
