@@ -593,4 +593,6 @@ def oracle_sql() -> dict[str, str]:
         "gen_transactions": _GEN_TX,
         "gen_sales": _GEN_SALES,
         "range_double_sum": "SELECT CAST(sum(CAST(o_orderkey AS DECIMAL(38,0)) * 2) AS DECIMAL(38,0)) AS doubled_sum FROM orders",
+        **(llm.oracle_sql() if llm else {}),
+        **({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline and corpus_pipeline.ORACLE_SQL else {}),
     }
