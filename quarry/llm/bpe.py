@@ -37,7 +37,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ROOT = 0
-CACHE_WORDS = 600_000  # words whose ids a worker remembers; emptied when full
+CACHE_WORDS = 250_000  # words whose ids a worker remembers; emptied when full
+DECODE_ROWS = 200  # rows decoded at a time, which bounds a worker's scratch memory
 END = "</w>"
 STOP = "\x00"  # the letter that spells END; no byte stands for it
 
@@ -225,9 +226,10 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", out_col: str = "i
         enc = _encoder(path, shipped)
         for texts in batches:
             parts = [enc.encode(t.as_py()) for t in texts]
-            ends = np.cumsum([0] + [len(p) // 4 for p in parts])
+            ends = np.cumsum([0] + [len(p) // 4 for p in parts]).astype(np.int32)
             flat = np.frombuffer(b"".join(parts), np.int32)
-            yield pa.LargeListArray.from_arrays(ends, flat).cast(pa.list_(pa.int32()))
+            del parts
+            yield pa.ListArray.from_arrays(ends, flat)
 
     udf = F.arrow_udf(_typed(run), "array<int>")
     return docs.withColumn(out_col, udf(F.col(text_col)))
@@ -248,19 +250,29 @@ def decode(df: DataFrame, path: str, ids_col: str = "ids", out_col: str = "decod
             names[i] = label
         labels = pa.array(names, pa.string())
         for ids in batches:
-            ids = pc.fill_null(ids, pa.scalar([], ids.type))
-            flat = ids.flatten()
-            bad = pc.fill_null(pc.or_(pc.less(flat, 0), pc.greater_equal(flat, len(names))), True)
-            picked = labels.take(pc.if_else(bad, None, flat))
-            lists = pa.LargeListArray.from_arrays(np.cumsum([0, *pc.list_value_length(ids).to_pylist()]), picked.cast(pa.large_string()))
-            if picked.null_count:
-                lists = pa.array([[x for x in row if x is not None] for row in lists.to_pylist()], pa.large_list(pa.large_string()))
-            yield pc.binary_join(lists, pa.scalar(" ", pa.large_string())).cast(pa.string())
+            rows = [_joined(ids.slice(at, DECODE_ROWS), labels) for at in range(0, len(ids), DECODE_ROWS)]
+            yield pa.concat_arrays(rows) if rows else pa.array([], pa.string())
 
     udf = F.arrow_udf(_typed(run), "string")
     return df.withColumn(out_col, udf(F.col(ids_col)))
 
 
+def _joined(ids: pa.Array, labels: pa.Array) -> pa.Array:
+    ids = pc.fill_null(ids, pa.scalar([], ids.type))
+    flat = ids.flatten()
+    bad = pc.fill_null(pc.or_(pc.less(flat, 0), pc.greater_equal(flat, len(labels))), True)
+    picked = labels.take(pc.if_else(bad, None, flat))
+    if picked.null_count:
+        lengths = pc.list_value_length(ids).to_pylist()
+        values, at, rows = picked.to_pylist(), 0, []
+        for n in lengths:
+            rows.append(" ".join([x for x in values[at : at + n] if x is not None]))
+            at += n
+        return pa.array(rows, pa.string())
+    ends = np.concatenate([[0], np.cumsum(pc.list_value_length(ids).to_numpy(zero_copy_only=False))]).astype(np.int32)
+    return pc.binary_join(pa.ListArray.from_arrays(ends, picked), pa.scalar(" ", pa.string()))
+
+
 def _typed(run):
     """Give the closure the hints that tell Spark it is an iterator UDF."""
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}

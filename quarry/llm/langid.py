@@ -13,7 +13,6 @@ what its predicted language shows at that length.
 
 from __future__ import annotations
 
-import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.hashes import SortedHashes
+from quarry.llm.points import folded
 
 UND = "und"
 DOCS_PER_LANG = 2000  # bound of the fitting sample, in documents a language (expected value; whole texts)
@@ -30,37 +30,14 @@ REJECT_Z = 12.0
 CHUNK = 1 << 19  # characters scored at a time
 BITS = np.uint64(21)  # of a code point
 
-_letters: list[np.ndarray] = []
-
-
-def letter_table() -> np.ndarray:
-    """For every code point: its lower-case letter, or a space if it is no letter."""
-    if not _letters:
-        out = np.full(sys.maxunicode + 1, 32, np.uint32)
-        for c in range(sys.maxunicode + 1):
-            ch = chr(c)
-            if ch.isalpha():
-                low = ch.lower()
-                out[c] = ord(low) if len(low) == 1 else c
-        _letters.append(out)
-    return _letters[0]
-
-
 def letters(text: str | None) -> np.ndarray:
     """Lower-case letters of the whole text, other runs as one space, two spaces before and one behind.
 
     Empty if the text is null or has no letter.
     """
-    if not text:
-        return np.empty(0, np.uint32)
-    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    points = letter_table()[points]
-    space = points == 32
-    keep = ~space
-    keep[1:] |= ~space[:-1]
-    points = points[keep]
-    if not len(points) or (len(points) == 1 and points[0] == 32):
-        return np.empty(0, np.uint32)
+    points = folded(text, "isalpha")
+    if not len(points):
+        return points
     pad = np.array([32], np.uint32)
     lead = [pad] if points[0] == 32 else [pad, pad]
     return np.concatenate([*lead, points] + ([] if points[-1] == 32 else [pad]))
