@@ -56,3 +56,13 @@ def spread_small(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def numbered(docs: DataFrame, id_col: str, text_col: str, *others: str) -> DataFrame:
+    """``row``, ``id``, ``text`` and ``others``: ``row`` is the id where ids prove unique, integral and not null, else a written row number."""
+    typed = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *others)
+    if typed.schema["id"].dataType.simpleString() in ("bigint", "int", "smallint", "tinyint"):
+        repeated = typed.groupBy("id").agg(F.count("*").alias("n")).where((F.col("n") > 1) | F.col("id").isNull())
+        if repeated.isEmpty():
+            return typed.select(F.col("id").cast("long").alias("row"), "id", "text", *others)
+    return saved(typed.select(F.monotonically_increasing_id().alias("row"), "id", "text", *others), "numbered")

@@ -21,9 +21,10 @@ class SortedHashes:
     def __init__(self, keys: np.ndarray):
         """``keys``: distinct packed keys in any order; ``order`` gives their place in the sorted array."""
         hashed = mix(np.asarray(keys, np.uint64))
-        self.order = np.argsort(hashed, kind="stable")
+        self.order = np.argsort(hashed, kind="stable")  # may be dropped once values are in place
+        self.size = len(hashed)
         self.hashes = hashed[self.order]
-        bits = min(24, max(4, int(np.ceil(np.log2(len(hashed) + 1))) + 2))
+        bits = min(24, max(4, int(np.ceil(np.log2(len(hashed) + 1))) + 1))
         self.shift = np.uint64(64 - bits)
         edges = np.arange((1 << bits) + 1, dtype=np.uint64)
         tops = (self.hashes >> self.shift).astype(np.int64)
@@ -33,7 +34,7 @@ class SortedHashes:
     def rows(self, keys: np.ndarray) -> np.ndarray:
         """Row of every packed key in the sorted array, -1 where it is absent."""
         out = np.full(len(keys), -1, np.int32)
-        if len(self.order) == 0 or len(keys) == 0:
+        if self.size == 0 or len(keys) == 0:
             return out
         hashed = mix(keys)
         top = (hashed >> self.shift).astype(np.int64)

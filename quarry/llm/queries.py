@@ -10,7 +10,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, contamination, langid, simhash, substrings, urls
+from quarry.llm import bpe, contamination, langid, ppm, simhash, substrings, urls
 from quarry.llm.common import held_out, spread_small, table
 
 # The rules of the URL query, as host, path start and action.
@@ -54,6 +54,14 @@ def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", _sha256(F.col("kept")).alias("kept_sha256"))
 
 
+def op5_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PPM and unigram scores of every text, learned from the documents outside fold 2 of 7."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = held_out(F.col("doc_id"), 7, 2)
+    found = ppm.score(docs, ~out)
+    return found.select("doc_id", out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every benchmark item found in a document, with its least edit distance."""
     docs = spread_small(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -107,7 +115,7 @@ def _query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSess
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_simhash, op2_urls, op3_substrings, op8_decontamination, op9_bpe, op10_language]
+    found = [op1_simhash, op2_urls, op3_substrings, op5_ppm, op8_decontamination, op9_bpe, op10_language]
     return {run.__name__: _query(run) for run in found}
 
 

@@ -31,60 +31,12 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import saved
-from quarry.llm.hashes import MIX
+from quarry.llm.common import numbered
+from quarry.llm.words import finish, powers, word_hashes
 
 SEED_WORDS = 10  # words of a seed
-BLOCK = 1 << 22  # bytes of a text hashed at a time
-# Odd bases of the polynomial hashes modulo 2^64 (bytes in a word, words in a window).
-BYTE_BASE, WORD_BASE = 0xD1342543DE82EF95, 0xAF251AF3B0F025B5
-
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-
-def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base^0..n and their inverses modulo 2^64, kept by the worker and grown by doubling."""
-    known = _powers.get(base)
-    if known is None or len(known[0]) <= n:
-        size = max(1 << 16, 1 << int(n + 1).bit_length())
-        out = []
-        for b in (base, pow(base, -1, 1 << 64)):
-            p = np.full(size, b, np.uint64)
-            p[0] = 1
-            out.append(np.cumprod(p, dtype=np.uint64))
-        known = _powers[base] = (out[0], out[1])
-    return known
-
-
-def _finish(h: np.ndarray) -> np.ndarray:
-    h = h ^ (h >> np.uint64(32))
-    h = h * MIX
-    return h ^ (h >> np.uint64(29))
-
-
-def word_hashes(raw: bytes) -> np.ndarray:
-    """A 64-bit hash of every white-space separated word of a text."""
-    if len(raw) > BLOCK:  # cut at white space near the block's end
-        at, parts = 0, []
-        while at < len(raw):
-            end = min(len(raw), at + BLOCK)
-            while end < len(raw) and raw[end] not in b" \t\n\r\v\f":
-                end += 1
-            parts.append(_word_hashes(raw[at:end]))
-            at = end
-        return np.concatenate(parts)
-    return _word_hashes(raw)
-
-
-def _word_hashes(raw: bytes) -> np.ndarray:
-    letters = np.frombuffer(raw, np.uint8)
-    solid = (letters != 32) & ((letters < 9) | (letters > 13))
-    edges = np.flatnonzero(np.diff(np.concatenate([[False], solid, [False]]).view(np.int8)))
-    starts, ends = edges[::2], edges[1::2]
-    up, down = powers(BYTE_BASE, len(raw))
-    sums = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum((letters.astype(np.uint64) + np.uint64(1)) * up[: len(raw)], out=sums[1:])
-    return _finish((sums[ends] - sums[starts]) * down[starts])
+# Fixed value: odd base of the polynomial hash of windows modulo 2^64.
+WORD_BASE = 0xAF251AF3B0F025B5
 
 
 def window_hashes(words: np.ndarray, width: int) -> np.ndarray:
@@ -95,7 +47,7 @@ def window_hashes(words: np.ndarray, width: int) -> np.ndarray:
     up, down = powers(WORD_BASE, len(words))
     sums = np.zeros(len(words) + 1, np.uint64)
     np.cumsum(words * up[: len(words)], out=sums[1:])
-    return _finish((sums[width:] - sums[:-width]) * down[:n])
+    return finish((sums[width:] - sums[:-width]) * down[:n])
 
 
 def elected(words: np.ndarray, width: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -157,16 +109,6 @@ def _candidates(words: np.ndarray, alone: pa.Scalar, width: int, seed: int) -> n
     return np.flatnonzero(~single[chosen]) if len(chosen) else chosen
 
 
-def numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``row``, ``id``, ``text``: ``row`` is the id where ids prove unique, integral and not null, else a written row number."""
-    typed = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    if typed.schema["id"].dataType.simpleString() in ("bigint", "int", "smallint", "tinyint"):
-        repeated = typed.groupBy("id").agg(F.count("*").alias("n")).where((F.col("n") > 1) | F.col("id").isNull())
-        if repeated.isEmpty():
-            return typed.select(F.col("id").cast("long").alias("row"), "id", "text")
-    return saved(typed.select(F.monotonically_increasing_id().alias("row"), "id", "text"), "numbered")
-
-
 def repeats(docs: DataFrame, min_words: int = 50, seed_words: int = SEED_WORDS, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """Find and cut passages of ``min_words`` or more words that occur again, in any document.
 
