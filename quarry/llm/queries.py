@@ -10,7 +10,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, contamination, langid, ppm, simhash, substrings, urls
+from quarry.llm import bpe, contamination, langid, ppm, simhash, substrings, urls, wrapper
 from quarry.llm.common import held_out, spread_small, table
 
 # The rules of the URL query, as host, path start and action.
@@ -62,6 +62,12 @@ def op5_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page by its host's wrapper."""
+    pages = spread_small(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return wrapper.extract(pages).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every benchmark item found in a document, with its least edit distance."""
     docs = spread_small(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -115,7 +121,7 @@ def _query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSess
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_simhash, op2_urls, op3_substrings, op5_ppm, op8_decontamination, op9_bpe, op10_language]
+    found = [op1_simhash, op2_urls, op3_substrings, op5_ppm, op6_html, op8_decontamination, op9_bpe, op10_language]
     return {run.__name__: _query(run) for run in found}
 
 
