@@ -10,7 +10,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, contamination, langid, ppm, simhash, substrings, urls, wrapper
+from quarry.llm import bpe, contamination, langid, ordinal, ppm, simhash, substrings, urls, wrapper
 from quarry.llm.common import held_out, spread_small, table
 
 # The rules of the URL query, as host, path start and action.
@@ -54,6 +54,26 @@ def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", _sha256(F.col("kept")).alias("kept_sha256"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents selected by the probability of the top grade: 0 toxic, 1 of low quality, 2 good.
+
+    Rated documents of fold 2 of 5 are left out of the fit.
+    """
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = held_out(F.col("doc_id"), 5, 2)
+    grade = F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).when(F.col("quality") == 1, 2)
+    ratings = table(spark, sf_dir, "labels").where(~out).select("doc_id", grade.alias("grade"))
+    found = ordinal.select(spread_small(docs), ordinal.fit(docs, ratings))
+    tails = F.col("quality.tails")
+    return found.select(
+        "doc_id",
+        out.alias("held_out"),
+        F.col("quality.expected").alias("expected_grade"),
+        F.try_element_at(tails, F.lit(1)).alias("p_not_toxic"),
+        F.try_element_at(tails, F.lit(2)).alias("p_good"),
+    )
+
+
 def op5_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PPM and unigram scores of every text, learned from the documents outside fold 2 of 7."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -121,7 +141,7 @@ def _query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSess
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_simhash, op2_urls, op3_substrings, op5_ppm, op6_html, op8_decontamination, op9_bpe, op10_language]
+    found = [op1_simhash, op2_urls, op3_substrings, op4_quality, op5_ppm, op6_html, op8_decontamination, op9_bpe, op10_language]
     return {run.__name__: _query(run) for run in found}
 
 

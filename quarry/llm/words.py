@@ -33,25 +33,27 @@ def finish(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def word_hashes(raw: bytes) -> np.ndarray:
-    """A 64-bit hash of every white-space separated word of a text."""
+def word_hashes(raw: bytes, prefix: int | None = None) -> np.ndarray:
+    """A 64-bit hash of every white-space separated word of a text (of its first ``prefix`` bytes)."""
     if len(raw) > BLOCK:  # cut at white space near the block's end
         at, parts = 0, []
         while at < len(raw):
             end = min(len(raw), at + BLOCK)
             while end < len(raw) and raw[end] not in b" \t\n\r\v\f":
                 end += 1
-            parts.append(_word_hashes(raw[at:end]))
+            parts.append(_word_hashes(raw[at:end], prefix))
             at = end
         return np.concatenate(parts)
-    return _word_hashes(raw)
+    return _word_hashes(raw, prefix)
 
 
-def _word_hashes(raw: bytes) -> np.ndarray:
+def _word_hashes(raw: bytes, prefix: int | None) -> np.ndarray:
     letters = np.frombuffer(raw, np.uint8)
     solid = (letters != 32) & ((letters < 9) | (letters > 13))
     edges = np.flatnonzero(np.diff(np.concatenate([[False], solid, [False]]).view(np.int8)))
     starts, ends = edges[::2], edges[1::2]
+    if prefix is not None:
+        ends = np.minimum(ends, starts + prefix)
     up, down = powers(BYTE_BASE, len(raw))
     sums = np.zeros(len(raw) + 1, np.uint64)
     np.cumsum((letters.astype(np.uint64) + np.uint64(1)) * up[: len(raw)], out=sums[1:])
