@@ -10,7 +10,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, contamination, langid, ordinal, ppm, simhash, substrings, urls, wrapper
+from quarry.llm import bpe, contamination, curves, langid, ordinal, ppm, simhash, substrings, urls, wrapper
 from quarry.llm.common import held_out, spread_small, table
 
 # The rules of the URL query, as host, path start and action.
@@ -88,6 +88,12 @@ def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wrapper.extract(pages).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors found for every vector whose id is divisible by 20."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return curves.neighbours(vectors, F.col("vec_id") % 20 == 0, k=20)
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every benchmark item found in a document, with its least edit distance."""
     docs = spread_small(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -141,7 +147,7 @@ def _query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSess
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_simhash, op2_urls, op3_substrings, op4_quality, op5_ppm, op6_html, op8_decontamination, op9_bpe, op10_language]
+    found = [op1_simhash, op2_urls, op3_substrings, op4_quality, op5_ppm, op6_html, op7_neighbours, op8_decontamination, op9_bpe, op10_language]
     return {run.__name__: _query(run) for run in found}
 
 
