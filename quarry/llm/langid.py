@@ -27,6 +27,7 @@ UND = "und"
 DOCS_PER_LANG = 2000  # bound of the fitting sample, in documents a language (expected value; whole texts)
 CALIBRATION_SHARE = 10  # one in so many sampled documents calibrates instead of fitting
 REJECT_Z = 12.0
+LEAST_SD = 0.05  # nats per character: texts of one language and length differ by no less
 CHUNK = 1 << 19  # characters scored at a time
 BITS = np.uint64(21)  # of a code point
 
@@ -209,7 +210,7 @@ def fit(docs: DataFrame, train: Column, text_col: str = "text", lang_col: str =
         for s in sums.itertuples():  # least squares: variance of the cross-entropy = a + b / length
             det = s.m * s.xx - s.x * s.x
             b = max(0.0, (s.m * s.xy - s.x * s.y) / det) if det > 1e-18 else 0.0
-            a = max(1e-6, (s.y - b * s.x) / s.m)
+            a = max(LEAST_SD**2, (s.y - b * s.x) / s.m)
             model["reject"][s.lang] = (means[s.lang], a, b)
     return model
 
