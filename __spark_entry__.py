@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 
 from quarry import operators as op
 from quarry.plans import jobs
-from quarry.plans.storage import scratch_path
+from quarry.plans.storage import saved_table, scratch_path, use_local_folder
 from quarry.sources import schemas, synth, tables
-from quarry.sources.files import read_csv, read_json_lines, read_parquet, read_text_lines, write_csv, write_json, write_parquet, write_text
+from quarry.sources.files import read_csv, read_json_lines, read_parquet, write_csv, write_json, write_parquet
 
 # The training-data operators and their pipeline are optional: without their folders the rest still works.
 try:
@@ -73,11 +73,14 @@ def q_category_trends(spark, sf_dir):
 
 
 def q_customer_spend(spark, sf_dir):
-    return op.customer_spend(_clean(spark, sf_dir))
+    """Cleaned orders add up per customer in every task before any join, so a hot customer is one row a task."""
+    spend = op.customer_spend(op.clean_transactions(tables.order_transactions(spark, sf_dir)))
+    # an inner join: Spark would push a semi-join below the aggregation, back onto the raw orders
+    return spend.join(tables.customers_with_country(spark, sf_dir).distinct(), "customer_id")
 
 
 def q_top_customers(spark, sf_dir):
-    return op.top_customers(_clean(spark, sf_dir), 100)
+    return op.highest_spend(q_customer_spend(spark, sf_dir), 100)
 
 
 def q_csv_roundtrip(spark, sf_dir):
@@ -85,6 +88,12 @@ def q_csv_roundtrip(spark, sf_dir):
     return read_csv(spark, path, jobs.COUNTRY_METRICS)
 
 
+def q_csv_text_roundtrip(spark, sf_dir):
+    """Country counts written as CSV and read back without a schema: every column is a string."""
+    counts = q_country_metrics(spark, sf_dir).select("country", "total_transactions")
+    return read_csv(spark, write_csv(counts, scratch_path(spark, "country_counts"), single_file=True))
+
+
 def q_parquet_roundtrip(spark, sf_dir):
     path = write_parquet(q_category_trends(spark, sf_dir), scratch_path(spark, "category_trends"))
     return read_parquet(spark, path)
@@ -104,20 +113,23 @@ def q_clean_cached_country_metrics(spark, sf_dir):
 
 
 def q_report_roundtrip_check(spark, sf_dir):
-    """Baseline pipeline written and read back; rows missing/extra per report (all zero when faithful)."""
-    raw = tables.transactions(spark, sf_dir)
-    run = jobs.run_reports(raw, scratch_path(spark, "reports"), reuse="none")
+    """Baseline pipeline written and read back: rows read and rows missing/extra per report (none when faithful).
+
+    The cleaned rows are written once; the reports and their recomputation read that table.
+    """
+    clean = saved_table(_clean(spark, sf_dir), "clean_transactions")
+    run = jobs.run_reports(clean, scratch_path(spark, "reports"), reuse="none")
     back = jobs.read_reports(spark, run)
-    clean = op.clean_transactions(raw)
     originals = {
         "country_metrics": op.country_metrics(clean),
         "category_trends": op.category_trends(clean),
         "top_customers": op.top_customers(clean, 100),
     }
-    diffs = [
-        op.roundtrip_diff(originals[name], back[name]).select(F.lit(name).alias("report"), "missing_rows", "extra_rows")
-        for name in originals
-    ]
+    diffs = []
+    for name, original in originals.items():
+        diff = op.roundtrip_diff(original, back[name])
+        rows = back[name].agg(F.count(F.lit(1))).scalar()
+        diffs.append(diff.select(F.lit(name).alias("report"), rows.alias("report_rows"), "missing_rows", "extra_rows"))
     return diffs[0].unionByName(diffs[1]).unionByName(diffs[2])
 
 
@@ -152,13 +164,14 @@ def q_partition_sweep(spark, sf_dir):
 
 
 def q_partition_profile(spark, sf_dir):
-    """Rows per partition after a round-robin into the session's shuffle partition count.
+    """The sales rows profiled as they lie: total rows, rows over all partitions' counts, and whether they agree.
 
-    The count is the cluster's sizing for its inputs (see ``session.scale_conf``),
-    so each partition's share stays bounded as the tables grow.
+    Each partition counts its own rows (partial aggregation); no row is moved for it.
     """
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return op.partition_profile(op.repartition_evenly(_sales(spark, sf_dir), partitions))
+    sales = _sales(spark, sf_dir)
+    total = sales.agg(F.count(F.lit(1))).scalar()
+    profiled = op.partition_profile(sales).agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("profiled_rows"))
+    return profiled.select(total.alias("total_rows"), "profiled_rows", (F.col("profiled_rows") == total).alias("adds_up"))
 
 
 def _reuse(strategy: str):
@@ -241,8 +254,7 @@ def q_record_count_gate(spark, sf_dir):
 
 
 def q_json_validity(spark, sf_dir):
-    path = write_text(tables.events_json_lines(spark, sf_dir), "value", scratch_path(spark, "events_json"))
-    return op.json_line_validity(read_text_lines(spark, path))
+    return op.json_line_validity(tables.events_json_lines(spark, sf_dir))
 
 
 def q_expected_key_diff(spark, sf_dir):
@@ -284,11 +296,12 @@ def q_range_double_sum(spark, sf_dir):
 
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: revenue by country over the cleaned transactions at sf0.001."""
+    use_local_folder(spark)
     return q_country_metrics(spark, SMOKE_DIR)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    found = {
         "clean_transactions": q_clean_transactions,
         "to_date_load": q_to_date_load,
         "country_metrics": q_country_metrics,
@@ -296,6 +309,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "customer_spend": q_customer_spend,
         "top_customers": q_top_customers,
         "csv_roundtrip": q_csv_roundtrip,
+        "csv_text_roundtrip": q_csv_text_roundtrip,
         "parquet_roundtrip": q_parquet_roundtrip,
         "json_roundtrip": q_json_roundtrip,
         "clean_cached_country_metrics": q_clean_cached_country_metrics,
@@ -330,6 +344,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         **(llm.queries() if llm else {}),
         **({"pipeline": corpus_pipeline.run} if corpus_pipeline else {}),
     }
+    return {name: _entered(query) for name, query in found.items()}
+
+
+def _entered(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """The query behind an entry point: a single-process run without a shared folder gets one of its own."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        use_local_folder(spark)
+        return query(spark, sf_dir)
+
+    return run
 
 
 # --------------------------------------------------------------------------- oracle SQL (DuckDB)
@@ -394,33 +419,33 @@ wc AS (
 
 _COUNTRY = """
 SELECT country, count(*) AS total_transactions,
-       round(sum(amount), 2) AS total_revenue,
-       round(avg(amount), 2) AS avg_transaction_value
+       CAST(round(sum(CAST(amount AS DECIMAL(28,6))), 2) AS DOUBLE) AS total_revenue,
+       round(CAST(sum(CAST(amount AS DECIMAL(28,6))) AS DOUBLE) / count(amount), 2) AS avg_transaction_value
 FROM clean GROUP BY country ORDER BY total_revenue DESC"""
 
 _TRENDS = """
 SELECT product_category, CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month,
-       round(sum(amount), 2) AS total_sales, count(*) AS transaction_count
+       CAST(round(sum(CAST(amount AS DECIMAL(28,6))), 2) AS DOUBLE) AS total_sales, count(*) AS transaction_count
 FROM clean GROUP BY 1, 2, 3 ORDER BY year, month, total_sales DESC"""
 
 _SPEND = """
-SELECT customer_id, round(sum(amount), 2) AS total_spent, count(*) AS purchase_count
+SELECT customer_id, CAST(round(sum(CAST(amount AS DECIMAL(28,6))), 2) AS DOUBLE) AS total_spent, count(*) AS purchase_count
 FROM clean GROUP BY customer_id"""
 
 _TOP = _SPEND + " ORDER BY total_spent DESC, customer_id LIMIT 100"
 
 _CRS = """
-SELECT category, region, round(sum(amount), 2) AS total_sales,
+SELECT category, region, CAST(round(sum(CAST(amount AS DECIMAL(28,6))), 2) AS DOUBLE) AS total_sales,
        CAST(sum(quantity) AS BIGINT) AS total_quantity, count(*) AS transaction_count
 FROM sales GROUP BY category, region"""
 
 _CATEGORY = """
-SELECT category, round(avg(amount), 2) AS average_amount, round(sum(amount), 2) AS total_amount,
+SELECT category, round(CAST(sum(CAST(amount AS DECIMAL(28,6))) AS DOUBLE) / count(amount), 2) AS average_amount, CAST(round(sum(CAST(amount AS DECIMAL(28,6))), 2) AS DOUBLE) AS total_amount,
        count(*) AS transaction_count
 FROM sales GROUP BY category"""
 
 _REGION = """
-SELECT region, CAST(sum(quantity) AS BIGINT) AS total_quantity, round(avg(amount), 2) AS average_amount,
+SELECT region, CAST(sum(quantity) AS BIGINT) AS total_quantity, round(CAST(sum(CAST(amount AS DECIMAL(28,6))) AS DOUBLE) / count(amount), 2) AS average_amount,
        count(*) AS transaction_count
 FROM sales GROUP BY region"""
 
@@ -438,36 +463,36 @@ SELECT it.iteration, 'region' AS metric_set, region AS key, average_amount, CAST
 FROM reg CROSS JOIN it"""
 
 
-def _hash(col: str, multiplier: int, increment: int, size: int) -> str:
-    bits = f"((({col}) % 2147483648) * {multiplier} + {increment}) % 2147483648"
-    return f"(({bits}) >> 8) % {size}"
+def _hash(col: str, place: int, size: int) -> str:
+    digits = f"substr(md5('{synth.DEFAULT_SEED}:' || CAST({col} AS VARCHAR)), {place * 6 + 1}, 6)"
+    return f"(CAST('0x' || {digits} AS BIGINT) % {size})"
 
 
-def _pick(col: str, stream: str, values: list[str]) -> str:
+def _pick(col: str, place: int, values: list[str]) -> str:
     items = ", ".join(f"'{v}'" for v in values)
-    return f"list_extract([{items}], CAST({_hash(col, *synth.STREAMS[stream], len(values))} + 1 AS INTEGER))"
+    return f"list_extract([{items}], CAST({_hash(col, place, len(values))} + 1 AS INTEGER))"
 
 
-def _amount(col: str) -> str:
+def _amount(col: str, place: int) -> str:
     span = synth.MAX_CENTS - synth.MIN_CENTS + 1
-    return f"round(({synth.MIN_CENTS} + {_hash(col, *synth.STREAMS['amount'], span)}) / 100.0, 2)"
+    return f"round(({synth.MIN_CENTS} + {_hash(col, place, span)}) / 100.0, 2)"
 
 
 _GEN_TX = f"""
 SELECT CAST(o_orderkey AS BIGINT) AS transaction_id,
-       CAST(DATE '2025-01-01' - CAST({_hash('o_orderkey', *synth.STREAMS['date'], synth.DAYS_BACK)} AS INTEGER) AS DATE) AS date,
-       CAST({_hash('o_orderkey', *synth.STREAMS['customer'], synth.CUSTOMERS)} + 1 AS BIGINT) AS customer_id,
-       {_pick('o_orderkey', 'category', synth.TRANSACTION_CATEGORIES)} AS product_category,
-       {_amount('o_orderkey')} AS amount,
-       {_pick('o_orderkey', 'country', synth.TRANSACTION_COUNTRIES)} AS country
+       CAST(DATE '2025-01-01' - CAST({_hash('o_orderkey', synth.TRANSACTION_PLACES['date'], synth.DAYS_BACK)} AS INTEGER) AS DATE) AS date,
+       CAST({_hash('o_orderkey', synth.TRANSACTION_PLACES['customer'], synth.CUSTOMERS)} + 1 AS BIGINT) AS customer_id,
+       {_pick('o_orderkey', synth.TRANSACTION_PLACES['category'], synth.TRANSACTION_CATEGORIES)} AS product_category,
+       {_amount('o_orderkey', synth.TRANSACTION_PLACES['amount'])} AS amount,
+       {_pick('o_orderkey', synth.TRANSACTION_PLACES['country'], synth.TRANSACTION_COUNTRIES)} AS country
 FROM orders"""
 
 _GEN_SALES = f"""
 SELECT CAST(id AS BIGINT) AS transaction_id,
-       {_pick('id', 'category', synth.SALES_CATEGORIES)} AS category,
-       {_pick('id', 'region', synth.SALES_REGIONS)} AS region,
-       {_amount('id')} AS amount,
-       CAST({_hash('id', *synth.STREAMS['quantity'], synth.MAX_QUANTITY)} + 1 AS INTEGER) AS quantity
+       {_pick('id', synth.SALES_PLACES['category'], synth.SALES_CATEGORIES)} AS category,
+       {_pick('id', synth.SALES_PLACES['region'], synth.SALES_REGIONS)} AS region,
+       {_amount('id', synth.SALES_PLACES['amount'])} AS amount,
+       CAST({_hash('id', synth.SALES_PLACES['quantity'], synth.MAX_QUANTITY)} + 1 AS INTEGER) AS quantity
 FROM (SELECT l_orderkey * 10 + l_linenumber AS id FROM lineitem)"""
 
 
@@ -506,10 +531,14 @@ diff AS (
   UNION ALL
   SELECT DISTINCT config FROM study WHERE config NOT IN (SELECT config FROM e)
 )
-SELECT 'configurations_match_expected' AS check_name, count(*) AS checked_rows, count(*) AS violations FROM diff
+SELECT 'configurations_match_expected' AS check_name,
+       (SELECT count(*) FROM (SELECT config FROM e UNION SELECT config FROM study)) AS checked_rows,
+       (SELECT count(*) FROM diff) AS violations
+UNION ALL
+SELECT 'row_count_matches_expected', count(*), abs(count(*) - {len(EXPECTED_CONFIGS)}) FROM study
 UNION ALL
 SELECT 'trials_positive', count(*),
-       count(*) FILTER (WHERE NOT coalesce(NOT (trial_1_seconds <= 0 OR trial_2_seconds <= 0 OR trial_3_seconds <= 0), false))
+       count(*) FILTER (WHERE NOT coalesce(trial_1_seconds > 0 AND trial_2_seconds > 0 AND trial_3_seconds > 0, false))
 FROM study
 UNION ALL
 SELECT 'median_positive', count(*), count(*) FILTER (WHERE NOT coalesce(median_seconds > 0, false)) FROM study"""
@@ -530,11 +559,12 @@ def oracle_sql() -> dict[str, str]:
         "parquet_roundtrip": tx + _TRENDS,
         "json_roundtrip": tx + _TOP,
         "clean_cached_country_metrics": tx + _COUNTRY,
-        "report_roundtrip_check": (
-            "SELECT report, CAST(missing_rows AS BIGINT) AS missing_rows, CAST(extra_rows AS BIGINT) AS extra_rows"
-            " FROM (VALUES ('country_metrics', 0, 0), ('category_trends', 0, 0), ('top_customers', 0, 0))"
-            " v(report, missing_rows, extra_rows)"
-        ),
+        "report_roundtrip_check": tx
+        + f"SELECT 'country_metrics' AS report, count(*) AS report_rows, CAST(0 AS BIGINT) AS missing_rows, CAST(0 AS BIGINT) AS extra_rows FROM ({_COUNTRY})\n"
+        f"UNION ALL SELECT 'category_trends', count(*), 0, 0 FROM ({_TRENDS})\n"
+        f"UNION ALL SELECT 'top_customers', count(*), 0, 0 FROM ({_TOP})",
+        "csv_text_roundtrip": tx + "SELECT country, CAST(count(*) AS VARCHAR) AS total_transactions FROM clean GROUP BY country",
+        "partition_profile": sales + "SELECT count(*) AS total_rows, count(*) AS profiled_rows, TRUE AS adds_up FROM sales",
         "category_region_sales": sales + _CRS + " ORDER BY category, region",
         "category_metrics": sales + _CATEGORY + " ORDER BY category",
         "region_metrics": sales + _REGION + " ORDER BY region",

@@ -19,21 +19,26 @@ import sys
 
 from pyspark.sql import functions as F
 
+from quarry.operators.layout import PARTITION_COUNTS
+from quarry.sources.synth import DEFAULT_SEED
+
 
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="python -m quarry")
     sub = p.add_subparsers(dest="command", required=True)
 
     g = sub.add_parser("generate-transactions")
-    g.add_argument("--records", type=int, default=5_000_000)
+    g.add_argument("--records", type=int, default=5_000_000)  # fixed value
     g.add_argument("--output", required=True)
     g.add_argument("--anchor", type=dt.date.fromisoformat, default=dt.date(2025, 1, 1))
     g.add_argument("--partitions", type=int, default=None)
+    g.add_argument("--seed", type=int, default=DEFAULT_SEED)
 
     g = sub.add_parser("generate-sales")
-    g.add_argument("--records", type=int, default=1_000_000)
+    g.add_argument("--records", type=int, default=1_000_000)  # fixed value
     g.add_argument("--output", required=True)
     g.add_argument("--partitions", type=int, default=None)
+    g.add_argument("--seed", type=int, default=DEFAULT_SEED)
 
     r = sub.add_parser("reports")
     r.add_argument("--input", required=True)
@@ -48,7 +53,7 @@ def _parser() -> argparse.ArgumentParser:
     s = sub.add_parser("partition-study")
     s.add_argument("--input", required=True)
     s.add_argument("--output", required=True)
-    s.add_argument("--partitions", type=int, nargs="+", default=[2, 4, 8, 16, 32])
+    s.add_argument("--partitions", type=int, nargs="+", default=list(PARTITION_COUNTS))
     s.add_argument("--trials", type=int, default=3)
     s.add_argument("--move", choices=["partials", "rows"], default="partials")
 
@@ -61,27 +66,34 @@ def _parser() -> argparse.ArgumentParser:
     w = sub.add_parser("wordcount")
     w.add_argument("--input", required=True)
     w.add_argument("--output", default=None)
+    w.add_argument("--expect", type=_expectation, nargs="*", default=None, help="word=count, checked after counting")
     return p
 
 
+def _expectation(text: str) -> tuple[str, int]:
+    word, _, count = text.rpartition("=")
+    return word, int(count)
+
+
 def main(argv: list[str] | None = None) -> int:
     args = _parser().parse_args(argv)
 
     from quarry.operators.clean import is_clean
     from quarry.plans import jobs
-    from quarry.plans.storage import scratch_path
+    from quarry.plans.storage import scratch_path, use_local_folder
     from quarry.session import build_session, size_for_input
     from quarry.sources import schemas, synth
     from quarry.sources.files import read_csv, read_json_lines, write_csv, write_json
 
     spark = build_session(app_name=f"quarry-{args.command}")
+    use_local_folder(spark)
     if getattr(args, "input", None):
         # Shuffle partitions and split size follow the input's size.
         size_for_input(spark, args.input)
     if args.command == "generate-transactions":
-        write_csv(synth.generate_transactions(spark, args.records, args.anchor, args.partitions), args.output)
+        write_csv(synth.generate_transactions(spark, args.records, args.anchor, args.partitions, args.seed), args.output)
     elif args.command == "generate-sales":
-        write_json(synth.generate_sales(spark, args.records, args.partitions), args.output)
+        write_json(synth.generate_sales(spark, args.records, args.partitions, args.seed), args.output)
     elif args.command == "reports":
         raw = read_csv(spark, args.input, schemas.TRANSACTIONS_TEXT_DATE).withColumn("date", F.try_to_date("date"))
         # Both counts in one pass over the input.
@@ -96,25 +108,27 @@ def main(argv: list[str] | None = None) -> int:
             df.show(5, False)
     elif args.command == "partition-study":
         sales = read_json_lines(spark, args.input, schemas.SALES)
-        table = jobs.study_table(jobs.partition_study(sales, args.partitions, args.trials, args.move))
+        table = jobs.study_table(jobs.partition_study(sales, args.partitions, args.trials, args.move), trials=range(1, args.trials + 1))
         write_csv(table, args.output, single_file=True)
         table.show(truncate=False)
     elif args.command == "reuse-study":
         load = lambda: read_json_lines(spark, args.input, schemas.SALES)
         measured = jobs.reuse_study(load, scratch_path(spark, "reuse-study"), trials=args.trials, iterations=args.iterations)
-        table = jobs.study_table(measured, baseline="none")
+        table = jobs.study_table(measured, baseline="none", trials=range(1, args.trials + 1))
         write_csv(table, args.output, single_file=True)
         table.show(truncate=False)
     elif args.command == "wordcount":
         from quarry.sources.files import read_text_lines
 
         lines = read_text_lines(spark, args.input).withColumnRenamed("value", "text")
-        counts, failures = jobs.word_count_job(lines)
+        expected = spark.createDataFrame(args.expect or [], "word string, expected_count bigint")
+        counts, failures = jobs.word_count_job(lines, expected)
         if args.output:
             write_csv(counts, args.output)
         else:
-            counts.show(50, False)
-        if failures.limit(1).count():
+            for row in counts.toLocalIterator():
+                print(f"{row['word']}: {row['count']}")
+        if args.expect and failures.limit(1).count():
             failures.show(truncate=False)
             return 1
     return 0

@@ -1,12 +1,10 @@
 """Column expressions shared by operators and sources (all JVM built-ins)."""
 
-from quarry.functions.dates import safe_to_date
 from quarry.functions.hashing import hash_bits, hash_pick, hash_range
-from quarry.functions.money import round_money
+from quarry.functions.money import money_avg, money_sum, round_money
 from quarry.functions.words import (
     TRIM_CHARACTERS,
     WHITESPACE_PATTERN,
-    normalise_word,
     split_words,
 )
 
@@ -16,8 +14,8 @@ __all__ = [
     "hash_bits",
     "hash_pick",
     "hash_range",
-    "normalise_word",
+    "money_avg",
+    "money_sum",
     "round_money",
-    "safe_to_date",
     "split_words",
 ]

@@ -1,11 +1,45 @@
-"""Money is double throughout; reports round to cents inside the aggregate."""
+"""Money: stored as double, added exactly, rounded to cents inside the aggregate.
+
+Adding doubles gives last digits that depend on the order of addition, and so
+on how tasks happen to run. Sums here are taken in decimal (six places, up to
+10^22 a value), which any order adds alike; only the total becomes a double.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+EXACT_TYPE = "decimal(28,6)"
+
+
+def _column(amount: Column | str) -> Column:
+    return F.col(amount) if isinstance(amount, str) else amount
+
+
+def _odd(amount: Column) -> Column:
+    """The amount if it is NaN or infinite, else null."""
+    return F.when(F.isnan(amount) | (F.abs(amount) == float("inf")), amount)
+
+
+def exact(amount: Column | str) -> Column:
+    """A finite amount as the exact type (null for NaN and infinities)."""
+    amount = _column(amount).cast("double")
+    return F.when(_odd(amount).isNull(), amount).cast(EXACT_TYPE)
+
 
 def round_money(value: Column, places: int = 2) -> Column:
-    """HALF_UP rounding of a double to ``places`` decimals."""
+    """HALF_UP rounding to ``places`` decimals."""
     return F.round(value, places)
+
+
+def money_sum(amount: Column | str) -> Column:
+    """Aggregate: the exact sum in cents, as a double; NaN or infinite if an amount is."""
+    odd = F.sum(_odd(_column(amount).cast("double")))
+    return F.coalesce(odd, round_money(F.sum(exact(amount))).cast("double"))
+
+
+def money_avg(amount: Column | str) -> Column:
+    """Aggregate: the exact sum over the count of values, rounded to cents, as a double."""
+    odd = F.sum(_odd(_column(amount).cast("double")))
+    return F.coalesce(odd, round_money(F.sum(exact(amount)).cast("double") / F.count(_column(amount))))

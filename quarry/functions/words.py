@@ -17,8 +17,3 @@ TRIM_CHARACTERS = ".,:;!?"
 def split_words(text: Column, pattern: str = WHITESPACE_PATTERN) -> Column:
     """Array of raw tokens; leading/trailing whitespace yields empty tokens."""
     return F.split(text, pattern)
-
-
-def normalise_word(token: Column, trim_characters: str = TRIM_CHARACTERS) -> Column:
-    """Lower-case, then trim ``trim_characters`` at both ends (inner marks stay)."""
-    return F.btrim(F.lower(token), F.lit(trim_characters))

@@ -33,7 +33,7 @@ from quarry.operators.quality import (
     roundtrip_diff,
     row_counts,
 )
-from quarry.operators.reports import category_trends, country_metrics, customer_spend, top_customers
+from quarry.operators.reports import category_trends, country_metrics, customer_spend, highest_spend, top_customers
 from quarry.operators.sales import category_counts, category_metrics, category_region_sales, region_metrics
 from quarry.operators.text import word_count, words
 
@@ -57,6 +57,7 @@ __all__ = [
     "is_complete",
     "expected_counts_check",
     "expected_key_diff",
+    "highest_spend",
     "json_line_validity",
     "keep_positive",
     "partition_count",

@@ -14,7 +14,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.functions.money import round_money
+from quarry.functions.money import exact, money_sum, round_money
 from quarry.operators.sales import category_metrics, category_region_sales, region_metrics
 
 PARTITION_COUNTS = (2, 4, 8, 16, 32)
@@ -90,7 +90,8 @@ def partition_sweep(
         ]
     elif move == "partials":
         partials = df.groupBy(F.spark_partition_id().alias("__source"), "category", "region").agg(
-            F.sum("amount").alias("__amount"),
+            F.sum(exact("amount")).alias("__amount"),
+            money_sum("amount").alias("__money"),
             F.sum("quantity").alias("__quantity"),
             F.count(F.lit(1)).alias("__rows"),
         )
@@ -98,7 +99,11 @@ def partition_sweep(
             repartition_evenly(partials, n)
             .groupBy("category", "region")
             .agg(
-                round_money(F.sum("__amount")).alias("total_sales"),
+                # a NaN or infinite amount makes the total so; else the exact partial sums add up
+                F.coalesce(
+                    F.sum(F.when(F.isnan("__money") | (F.abs("__money") == float("inf")), F.col("__money"))),
+                    round_money(F.sum("__amount")).cast("double"),
+                ).alias("total_sales"),
                 F.sum("__quantity").alias("total_quantity"),
                 F.sum("__rows").alias("transaction_count"),
             )

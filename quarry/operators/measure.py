@@ -13,7 +13,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.plans.ranking import DEFAULT_GROUP_ROWS, exact_median, global_row_number, groups_at_most
+from quarry.plans.joins import join_null_safe
+from quarry.plans.ranking import DEFAULT_GROUP_ROWS, exact_median, global_row_number
+from quarry.plans.storage import saved_table
 
 TRIALS = (1, 2, 3)
 # Timings are reported with six decimals.
@@ -40,11 +42,12 @@ def trial_summary(
     """config, median_seconds, minimum_seconds, maximum_seconds, average_seconds, measurement_count
     (+ average_materialisation_seconds when ``materialise`` is given).
 
-    When every configuration is proven to hold at most ``max_group_rows``
-    timings, the exact median is one more aggregate in the same aggregation.
-    Otherwise it comes from the range-partitioned :func:`exact_median`,
-    joined on the configuration: both sides are aggregates already hash
-    partitioned on it, so the join adds no shuffle of its own.
+    ``df`` is read twice: once for the plain statistics, which also give the
+    largest configuration's size, and once for the exact median by the route
+    that size allows (:func:`quarry.plans.exact_median`; both give the same
+    rows, null and all-null configurations included). The summary, a row per
+    configuration, is written to the shared folder, so what uses it again
+    does not read ``df`` again.
     """
     aggs = [
         F.min(seconds).alias("minimum_seconds"),
@@ -54,18 +57,18 @@ def trial_summary(
     ]
     if materialise is not None:
         aggs.append(F.round(F.avg(materialise), SECONDS_PLACES).alias("average_materialisation_seconds"))
-    if max_group_rows is not None and groups_at_most(df, [config], max_group_rows):
-        stats = df.groupBy(config).agg(F.median(seconds).alias("median_seconds"), *aggs)
-    else:
-        medians = exact_median(df.select(config, seconds), [config], seconds, "median_seconds", max_group_rows=None)
-        stats = df.groupBy(config).agg(*aggs).join(medians, config, "left")
-    return stats.select(
+    stats = saved_table(df.groupBy(config).agg(*aggs, F.count(F.lit(1)).alias("__rows")), "trial-stats")
+    most = stats.agg(F.max("__rows")).first()[0] or 0
+    medians = exact_median(df.select(config, seconds), [config], seconds, "median_seconds", max_group_rows, largest_group=most)
+    stats = join_null_safe(stats.drop("__rows"), medians, [config], "left")
+    summary = stats.select(
         config,
         F.round("median_seconds", SECONDS_PLACES).alias("median_seconds"),
         "minimum_seconds",
         "maximum_seconds",
         *[c for c in stats.columns if c not in (config, "median_seconds", "minimum_seconds", "maximum_seconds")],
     )
+    return saved_table(summary, "trial-summary")
 
 
 def trial_improvement(summary: DataFrame, baseline: str, config: str = "config") -> DataFrame:

@@ -59,10 +59,12 @@ def json_line_validity(lines: DataFrame, column: str = "value") -> DataFrame:
     """total_lines, valid_lines, invalid_lines for text lines that should each hold one JSON value.
 
     Validity is ``try_parse_json`` (null on malformed text; blank lines are
-    invalid). Differences from Python's ``json.loads``: NaN literals and
+    invalid), with nothing else on the line. Differences from Python's ``json.loads``: NaN literals and
     duplicate object keys are rejected here.
     """
-    valid = F.try_parse_json(F.col(column)).isNotNull()
+    # try_parse_json stops behind the first value; as the only element of an array it must be alone on its line
+    alone = F.json_array_length(F.concat(F.lit("["), F.col(column), F.lit("]"))) == 1
+    valid = F.coalesce(F.try_parse_json(F.col(column)).isNotNull() & alone, F.lit(False))
     return lines.agg(
         F.count(F.lit(1)).alias("total_lines"),
         F.count_if(valid).alias("valid_lines"),

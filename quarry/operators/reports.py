@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.functions.money import round_money
+from quarry.functions.money import money_avg, money_sum
 
 
 def country_metrics(
@@ -18,8 +18,8 @@ def country_metrics(
     """country, total_transactions, total_revenue, <average_name>; by revenue, highest first."""
     metrics = df.groupBy(country).agg(
         F.count(F.lit(1)).alias("total_transactions"),
-        round_money(F.sum(amount)).alias("total_revenue"),
-        round_money(F.avg(amount)).alias(average_name),
+        money_sum(amount).alias("total_revenue"),
+        money_avg(amount).alias(average_name),
     )
     return metrics.orderBy(F.desc("total_revenue"), F.asc(country)) if sort else metrics
 
@@ -36,7 +36,7 @@ def category_trends(
         df.select(category, F.year(date).alias("year"), F.month(date).alias("month"), amount)
         .groupBy(category, "year", "month")
         .agg(
-            round_money(F.sum(amount)).alias("total_sales"),
+            money_sum(amount).alias("total_sales"),
             F.count(F.lit(1)).alias("transaction_count"),
         )
     )
@@ -48,7 +48,7 @@ def category_trends(
 def customer_spend(df: DataFrame, customer: str = "customer_id", amount: str = "amount") -> DataFrame:
     """customer_id, total_spent (rounded), purchase_count for every customer."""
     return df.groupBy(customer).agg(
-        round_money(F.sum(amount)).alias("total_spent"),
+        money_sum(amount).alias("total_spent"),
         F.count(F.lit(1)).alias("purchase_count"),
     )
 
@@ -66,4 +66,11 @@ def top_customers(
     """
     if k <= 0:
         raise ValueError("k must be greater than zero")
-    return customer_spend(df, customer, amount).orderBy(F.desc("total_spent"), F.asc(customer)).limit(k)
+    return highest_spend(customer_spend(df, customer, amount), k, customer)
+
+
+def highest_spend(spend: DataFrame, k: int = 100, customer: str = "customer_id") -> DataFrame:
+    """The ``k`` highest rows of a :func:`customer_spend` table; ties go to the lower customer id."""
+    if k <= 0:
+        raise ValueError("k must be greater than zero")
+    return spend.orderBy(F.desc("total_spent"), F.asc(customer)).limit(k)

@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.functions.money import round_money
+from quarry.functions.money import money_avg, money_sum
 
 
 def category_region_sales(df: DataFrame, sort: bool = True) -> DataFrame:
     """category, region, total_sales, total_quantity, transaction_count."""
     totals = df.groupBy("category", "region").agg(
-        round_money(F.sum("amount")).alias("total_sales"),
+        money_sum("amount").alias("total_sales"),
         F.sum("quantity").alias("total_quantity"),
         F.count(F.lit(1)).alias("transaction_count"),
     )
@@ -21,8 +21,8 @@ def category_region_sales(df: DataFrame, sort: bool = True) -> DataFrame:
 def category_metrics(df: DataFrame, sort: bool = True) -> DataFrame:
     """category, average_amount, total_amount, transaction_count."""
     metrics = df.groupBy("category").agg(
-        round_money(F.avg("amount")).alias("average_amount"),
-        round_money(F.sum("amount")).alias("total_amount"),
+        money_avg("amount").alias("average_amount"),
+        money_sum("amount").alias("total_amount"),
         F.count(F.lit(1)).alias("transaction_count"),
     )
     return metrics.orderBy("category") if sort else metrics
@@ -32,7 +32,7 @@ def region_metrics(df: DataFrame, sort: bool = True) -> DataFrame:
     """region, total_quantity, average_amount, transaction_count."""
     metrics = df.groupBy("region").agg(
         F.sum("quantity").alias("total_quantity"),
-        round_money(F.avg("amount")).alias("average_amount"),
+        money_avg("amount").alias("average_amount"),
         F.count(F.lit(1)).alias("transaction_count"),
     )
     return metrics.orderBy("region") if sort else metrics

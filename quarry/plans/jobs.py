@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,7 @@ from quarry.operators.layout import (
 from quarry.operators.quality import count_gate, expected_counts_check
 from quarry.operators.reports import category_trends, country_metrics, top_customers
 from quarry.operators.text import word_count
+from quarry.plans.storage import saved_table
 from quarry.sources.files import read_csv, read_json_lines, read_parquet, write_csv, write_json, write_parquet
 
 COUNTRY_METRICS = StructType(
@@ -102,8 +104,8 @@ def partition_study(
     Each timed run is one branch of :func:`partition_sweep` (``move`` as
     there: "partials" moves per-partition partial aggregates into ``n``
     partitions, "rows" moves the raw rows and suits study-sized inputs only).
-    Every count is run once untimed to warm up, then ``trials`` times in an
-    order that reverses each trial. Timings are a handful of driver-side
+    One untimed run warms up; then every count runs ``trials`` times in an order
+    that reverses each trial. Timings are a handful of driver-side
     numbers; they become a DataFrame for the measurement operators.
     """
     if trials <= 0 or any(n <= 0 for n in counts):
@@ -159,38 +161,48 @@ def word_count_job(lines: DataFrame, expected: DataFrame | None = None) -> tuple
     return counts, expected_counts_check(counts, expected)
 
 
-def record_gate(df: DataFrame, expected_rows: int | DataFrame, check: str = "record_count") -> DataFrame:
-    """Expected-record-count gate as a one-row result."""
-    return count_gate(df, expected_rows, check)
+MAX_TRIALS = 1000  # trials shown as columns of a study table
 
 
 def study_table(
     measurements: DataFrame,
     baseline: str | None = None,
-    trials: Sequence[int] = (1, 2, 3),
+    trials: Sequence[int] | None = None,
 ) -> DataFrame:
     """One wide row per configuration of a timing study.
 
     config, trial_<n>_seconds..., median_seconds, minimum_seconds,
     maximum_seconds[, average_materialisation_seconds], result_rows
     [, improvement_percent] -- from a long (config, trial, seconds, ...) table
-    such as :func:`partition_study` or :func:`reuse_study` returns.
+    such as :func:`partition_study` or :func:`reuse_study` returns, with one
+    row per (config, trial). Every trial is shown: ``trials`` defaults to those
+    the table holds, and a trial outside a given list raises.
+
+    One aggregation by configuration gives all columns; it is written to the
+    shared folder, so the baseline lookup reads that small table and not the
+    measurements again.
     """
-    from quarry.operators.measure import trial_improvement, trial_pivot, trial_summary
-    from quarry.plans.joins import join_bounded
-
-    has_materialise = "materialise_seconds" in measurements.columns
-    summary = trial_summary(measurements, materialise="materialise_seconds" if has_materialise else None)
-    table = join_bounded(trial_pivot(measurements, trials=trials), summary, "config")
-    if "result_rows" in measurements.columns:
-        rows = measurements.groupBy("config").agg(F.max("result_rows").alias("result_rows"))
-        table = join_bounded(table, rows, "config")
+    rows = saved_table(measurements, "study")
+    found = [r[0] for r in rows.select("trial").distinct().orderBy("trial").limit(MAX_TRIALS + 1).collect()]
+    shown = list(trials) if trials is not None else found
+    if len(found) > MAX_TRIALS or None in found or not set(found) <= set(shown):
+        raise ValueError(f"trials {found[:10]} do not fit the columns {shown[:10]}")
+    columns = [F.max(F.when(F.col("trial") == t, F.col("seconds"))).alias(f"trial_{t}_seconds") for t in shown]
+    # at most MAX_TRIALS values a configuration, so its median fits one buffer
+    columns.append(F.round(F.median("seconds"), 6).alias("median_seconds"))
+    columns += [F.min("seconds").alias("minimum_seconds"), F.max("seconds").alias("maximum_seconds")]
+    if "materialise_seconds" in rows.columns:
+        columns.append(F.round(F.avg("materialise_seconds"), 6).alias("average_materialisation_seconds"))
+    if "result_rows" in rows.columns:
+        columns.append(F.max("result_rows").alias("result_rows"))
+    table = rows.groupBy("config").agg(*columns)
     if baseline is not None:
-        improvement = trial_improvement(summary, baseline).select("config", "improvement_percent")
-        table = join_bounded(table, improvement, "config")
-    keep = ["config", *[f"trial_{t}_seconds" for t in trials], "median_seconds", "minimum_seconds", "maximum_seconds"]
-    keep += [c for c in ("average_materialisation_seconds", "result_rows", "improvement_percent") if c in table.columns]
-    return table.select(*keep).orderBy("config")
+        table = saved_table(table, "study-table")
+        base = table.where(F.col("config") == F.lit(baseline)).select("median_seconds").scalar()
+        change = F.round((base - F.col("median_seconds")) / base * 100, 2)
+        table = table.withColumn("improvement_percent", F.when(F.col("config") == F.lit(baseline), F.lit(0.0)).otherwise(change))
+    numeric = F.try_to_number("config", F.lit("999999999"))  # partition counts sort as numbers, names behind them
+    return table.orderBy(numeric.asc_nulls_last(), "config")
 
 
 def _as_checks(df: DataFrame, check: str, checked: str, violations) -> DataFrame:
@@ -203,30 +215,40 @@ def study_checks(
     study: DataFrame,
     expected_configs: Sequence[str],
     expected_result_rows: int | None = None,
-    trials: Sequence[int] = (1, 2, 3),
+    trials: Sequence[int] | None = None,
 ) -> DataFrame:
     """check, checked_rows, violations for a study table (see :func:`study_table`).
 
-    Configuration set equals ``expected_configs`` (both directions), every
-    trial and the median are positive, and each configuration produced
+    Configuration set equals ``expected_configs`` (both directions) with one
+    row each, every trial is there and positive, so is the median, and each configuration produced
     ``expected_result_rows`` result rows.
     """
-    from quarry.operators.quality import bounds_check, expected_key_diff
+    from quarry.operators.quality import bounds_check
 
     spark = study.sparkSession
     expected = spark.createDataFrame([(str(c),) for c in expected_configs], "config string")
-    diff = expected_key_diff(study.select(F.col("config").cast("string").alias("config")), expected, "config")
-    key_check = _as_checks(
-        diff.agg(F.count(F.lit(1)).alias("n")), "configurations_match_expected", "n", F.col("n")
+    configs = study.select(F.col("config").cast("string").alias("config"))
+    # both directions: every key compared once, with how often it was expected and found
+    both = expected.select("config", F.lit(1).alias("e"), F.lit(0).alias("a")).unionByName(
+        configs.select("config", F.lit(0).alias("e"), F.lit(1).alias("a"))
+    )
+    keys = both.groupBy("config").agg(F.max("e").alias("e"), F.sum("a").alias("a"))
+    counted = keys.agg(
+        F.count(F.lit(1)).alias("n"), F.count_if((F.col("e") == 1) != (F.col("a") > 0)).alias("wrong"), F.coalesce(F.sum("a"), F.lit(0)).alias("rows")
     )
+    key_check = _as_checks(counted, "configurations_match_expected", "n", F.col("wrong"))
+    surplus = F.abs(F.col("rows") - F.lit(len(expected_configs)))
+    row_check = _as_checks(counted, "row_count_matches_expected", "rows", surplus)
+    shown = [c for c in study.columns if c.startswith("trial_") and c.endswith("_seconds")] if trials is None else [f"trial_{t}_seconds" for t in trials]
     rules = {
-        "trials_positive": F.greatest(*[F.col(f"trial_{t}_seconds") <= 0 for t in trials]) == F.lit(False),
+        # a missing trial is a violation, like one that is not positive
+        "trials_positive": reduce(lambda a, b: a & b, [F.coalesce(F.col(c) > 0, F.lit(False)) for c in shown]),
         "median_positive": F.col("median_seconds") > 0,
     }
     if expected_result_rows is not None:
         rules["result_rows_expected"] = F.col("result_rows") == F.lit(expected_result_rows)
     bounds = bounds_check(study, rules).select(F.col("rule").alias("check"), "checked_rows", "violations")
-    return key_check.unionByName(bounds)
+    return key_check.unionByName(row_check).unionByName(bounds)
 
 
 def verify_partition_study(

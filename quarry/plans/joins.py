@@ -103,3 +103,12 @@ def join_bounded(
     if small is None:
         small = has_at_most(right, max_rows, max_bytes)
     return left.join(broadcast_if(right, small), on, how)
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on equal ``keys`` where null equals null; the result has ``left``'s key columns."""
+    renamed = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})
+    condition = F.lit(True)
+    for k in keys:
+        condition = condition & left[k].eqNullSafe(renamed[f"__r_{k}"])
+    return left.join(renamed, condition, how).drop(*[f"__r_{k}" for k in keys])

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.plans.joins import DEFAULT_BROADCAST_ROWS, has_at_most, join_bounded
+from quarry.plans.joins import DEFAULT_BROADCAST_ROWS, has_at_most, join_bounded, join_null_safe
 from quarry.plans.storage import ensure_checkpoint_dir
 
 _PID = "__pid"
@@ -79,6 +79,7 @@ def exact_median(
     value_col: str,
     name: str = "median",
     max_group_rows: int | None = DEFAULT_GROUP_ROWS,
+    largest_group: int | None = None,
 ) -> DataFrame:
     """Exact per-group median (linear interpolation, as ``median``/``percentile(0.5)``).
 
@@ -92,10 +93,13 @@ def exact_median(
     4. Prefix sums over those counts locate, for each group, the one or two
        partitions holding the middle positions.
     5. Only those partitions' rows of that group are ranked exactly.
-    Nulls are ignored; NaN sorts above every number, as in Spark.
+    Null values are ignored and null groups kept; NaN sorts above every number,
+    as in Spark. ``largest_group`` passes a group size already measured.
     """
     groups = list(group_cols)
-    if max_group_rows is not None and groups_at_most(df, groups, max_group_rows):
+    if max_group_rows is not None and (
+        largest_group <= max_group_rows if largest_group is not None else groups_at_most(df, groups, max_group_rows)
+    ):
         return df.groupBy(*groups).agg(F.median(value_col).alias(name))
     counted = (
         df.where(F.col(value_col).isNotNull())
@@ -127,7 +131,7 @@ def exact_median(
 
     # At most two (partition, group) pairs per group survive: the join keeps
     # only rows that can sit at a middle position.
-    candidates = join_bounded(tagged, located, [_PID, *groups])
+    candidates = join_null_safe(tagged, located, [_PID, *groups])
     running = Window.partitionBy(*groups, _PID).orderBy(value_col).rowsBetween(Window.unboundedPreceding, 0)
     spans = candidates.withColumn("__end", F.col("__before") + F.sum("__n").over(running)).withColumn(
         "__start", F.col("__end") - F.col("__n")
@@ -141,9 +145,11 @@ def exact_median(
         value_at("__lo").alias("__v_lo"),
         value_at("__hi").alias("__v_hi"),
     )
-    return picked.select(
+    medians = picked.select(
         *groups,
         F.when(F.col("__v_lo") == F.col("__v_hi"), F.col("__v_lo"))
         .otherwise(F.col("__v_lo") * 0.5 + F.col("__v_hi") * 0.5)
         .alias(name),
     )
+    # groups whose values are all null have a row with a null median, as with ``median``
+    return join_null_safe(df.select(*groups).distinct(), medians, groups, "left")

@@ -2,8 +2,9 @@
 
 On a cluster every intermediate table must live in storage that all
 executors and the driver see (HDFS, S3, ...). The cluster names that folder in
-``spark.checkpoint.dir``; we read it from the session and only fall back to a
-fresh local folder when it is unset (local tests).
+``spark.checkpoint.dir``; we read it from the session and raise where it is
+unset. Entry points of single-process runs (tests, the bench, the driver's
+queries) name a folder themselves through :func:`use_local_folder`.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -22,11 +23,15 @@ def shared_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach (HDFS, S3, ...)")
-    local = tempfile.mkdtemp(prefix="quarry-shared-")
-    spark.sparkContext.setCheckpointDir(local)
-    return local
+    raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach (HDFS, S3, ...)")
+
+
+def use_local_folder(spark: SparkSession) -> None:
+    """For entry points only: a folder of this machine where none is set and the master runs in one process."""
+    master = spark.sparkContext.master
+    unset = not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir()
+    if unset and (master == "local" or master.startswith("local[")):
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="quarry-shared-"))
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -35,6 +40,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
 
 
+def saved_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to a new folder below the shared root and read it back with the same schema."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder below the shared root for one written table."""
     return f"{shared_dir(spark)}/quarry/{name}-{uuid.uuid4().hex}"

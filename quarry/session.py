@@ -16,12 +16,12 @@ def scale_conf(input_bytes: int, cores: int) -> dict[str, str]:
     """Shuffle and scan sizing for a job reading ``input_bytes`` on ``cores`` task slots.
 
     Targets ~128 MiB per scan split and ~200 MiB of shuffle input per reduce
-    task (before AQE coalescing), never fewer than two waves of tasks.  At
-    100 TB on 1000 executors x 8 cores this gives ~512k shuffle partitions
-    capped to 100k; AQE then merges small ones and splits skewed ones.
+    task (before AQE coalescing), never fewer than two waves of tasks. At
+    100 TB this gives ~500k shuffle partitions; AQE then merges small ones and
+    splits skewed ones.
     """
     per_task = 200 * 1024 * 1024
-    parts = max(2 * cores, min(100_000, input_bytes // per_task + 1))
+    parts = max(2 * cores, input_bytes // per_task + 1)
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),

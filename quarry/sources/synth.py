@@ -1,6 +1,6 @@
 """Partition-independent synthetic transactions and sales.
 
-Each column is a pure function of the row id (see
+Each column is a pure function of the row id and a seed (see
 :mod:`quarry.functions.hashing`), so generation is an embarrassingly parallel
 ``spark.range`` (or any id column) with no driver-side loop, and the output
 does not change with the number of partitions or executors. The anchor date
@@ -26,53 +26,49 @@ CUSTOMERS = 500_000
 DAYS_BACK = 365  # dates are anchor - 0..364 days
 MIN_CENTS, MAX_CENTS = 1_000, 100_000  # amounts 10.00 .. 1000.00
 MAX_QUANTITY = 50
+RECORDS_PER_FILE = 2_000_000
 
-# One LCG (multiplier, increment) pair per generated column, so that columns
-# are not correlated with each other.
-STREAMS = {
-    "date": (1103515245, 12345),
-    "customer": (1664525, 1013904223),
-    "category": (22695477, 1),
-    "amount": (214013, 2531011),
-    "country": (134775813, 1),
-    "region": (69069, 1),
-    "quantity": (1140671485, 12820163),
-}
-
-
-def _amount(row_id: Column) -> Column:
-    cents = F.lit(MIN_CENTS) + hash_range(row_id, *STREAMS["amount"], MAX_CENTS - MIN_CENTS + 1)
+DEFAULT_SEED = 42
+# Place of each generated column in a row's digest (see quarry.functions.hashing).
+TRANSACTION_PLACES = {"date": 0, "customer": 1, "category": 2, "amount": 3, "country": 4}
+SALES_PLACES = {"category": 0, "region": 1, "amount": 2, "quantity": 3}
+
+
+def _amount(row_id: Column, seed: int, place: int) -> Column:
+    cents = F.lit(MIN_CENTS) + hash_range(row_id, seed, place, MAX_CENTS - MIN_CENTS + 1)
     return F.round(cents / F.lit(100.0), 2)
 
 
-def synth_transactions(ids: DataFrame, id_col: str = "id", anchor: dt.date = dt.date(2025, 1, 1)) -> DataFrame:
+def synth_transactions(ids: DataFrame, id_col: str = "id", anchor: dt.date = dt.date(2025, 1, 1), seed: int = DEFAULT_SEED) -> DataFrame:
     """Transactions for every id in ``ids`` (columns as :data:`quarry.sources.schemas.TRANSACTIONS`)."""
     row_id = F.col(id_col)
     return ids.select(
         row_id.cast("bigint").alias("transaction_id"),
-        F.date_sub(F.lit(anchor), hash_range(row_id, *STREAMS["date"], DAYS_BACK).cast("int")).alias("date"),
-        (hash_range(row_id, *STREAMS["customer"], CUSTOMERS) + 1).cast("bigint").alias("customer_id"),
-        hash_pick(row_id, *STREAMS["category"], TRANSACTION_CATEGORIES).alias("product_category"),
-        _amount(row_id).alias("amount"),
-        hash_pick(row_id, *STREAMS["country"], TRANSACTION_COUNTRIES).alias("country"),
+        F.date_sub(F.lit(anchor), hash_range(row_id, seed, TRANSACTION_PLACES["date"], DAYS_BACK).cast("int")).alias("date"),
+        (hash_range(row_id, seed, TRANSACTION_PLACES["customer"], CUSTOMERS) + 1).cast("bigint").alias("customer_id"),
+        hash_pick(row_id, seed, TRANSACTION_PLACES["category"], TRANSACTION_CATEGORIES).alias("product_category"),
+        _amount(row_id, seed, TRANSACTION_PLACES["amount"]).alias("amount"),
+        hash_pick(row_id, seed, TRANSACTION_PLACES["country"], TRANSACTION_COUNTRIES).alias("country"),
     )
 
 
-def synth_sales(ids: DataFrame, id_col: str = "id") -> DataFrame:
+def synth_sales(ids: DataFrame, id_col: str = "id", seed: int = DEFAULT_SEED) -> DataFrame:
     """Sales lines for every id in ``ids`` (columns as :data:`quarry.sources.schemas.SALES`)."""
     row_id = F.col(id_col)
     return ids.select(
         row_id.cast("bigint").alias("transaction_id"),
-        hash_pick(row_id, *STREAMS["category"], SALES_CATEGORIES).alias("category"),
-        hash_pick(row_id, *STREAMS["region"], SALES_REGIONS).alias("region"),
-        _amount(row_id).alias("amount"),
-        (hash_range(row_id, *STREAMS["quantity"], MAX_QUANTITY) + 1).cast("int").alias("quantity"),
+        hash_pick(row_id, seed, SALES_PLACES["category"], SALES_CATEGORIES).alias("category"),
+        hash_pick(row_id, seed, SALES_PLACES["region"], SALES_REGIONS).alias("region"),
+        _amount(row_id, seed, SALES_PLACES["amount"]).alias("amount"),
+        (hash_range(row_id, seed, SALES_PLACES["quantity"], MAX_QUANTITY) + 1).cast("int").alias("quantity"),
     )
 
 
 def _ids(spark: SparkSession, num_records: int, partitions: int | None) -> DataFrame:
     if num_records <= 0:
         raise ValueError("num_records must be greater than zero")
+    if partitions is None:  # files of about 100 MB whatever the record count
+        partitions = max(spark.sparkContext.defaultParallelism, -(-num_records // RECORDS_PER_FILE))
     return spark.range(1, num_records + 1, 1, partitions)
 
 
@@ -81,11 +77,12 @@ def generate_transactions(
     num_records: int,
     anchor: dt.date = dt.date(2025, 1, 1),
     partitions: int | None = None,
+    seed: int = DEFAULT_SEED,
 ) -> DataFrame:
     """Ids 1..num_records as transactions; write with any sink (parallel, one file per task)."""
-    return synth_transactions(_ids(spark, num_records, partitions), anchor=anchor)
+    return synth_transactions(_ids(spark, num_records, partitions), anchor=anchor, seed=seed)
 
 
-def generate_sales(spark: SparkSession, num_records: int, partitions: int | None = None) -> DataFrame:
+def generate_sales(spark: SparkSession, num_records: int, partitions: int | None = None, seed: int = DEFAULT_SEED) -> DataFrame:
     """Ids 1..num_records as sales lines."""
-    return synth_sales(_ids(spark, num_records, partitions))
+    return synth_sales(_ids(spark, num_records, partitions), seed=seed)

@@ -14,7 +14,7 @@ work; every order row is still read and kept in the raw table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.plans.joins import bounded_sides, join_bounded
@@ -41,8 +41,12 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     small = bounded_sides({"customer": customer, "nation": nation})
     joined = join_bounded(orders, customer, orders.o_custkey == customer.c_custkey, small=small["customer"])
     joined = join_bounded(joined, nation, joined.c_nationkey == nation.n_nationkey, small=small["nation"])
+    return joined.select(*_order_columns(), F.col("n_name").alias("country"))
+
+
+def _order_columns() -> list[Column]:
     key = F.col("o_orderkey")
-    return joined.select(
+    return [
         key.alias("transaction_id"),
         F.col("o_orderdate").cast("date").alias("date"),
         F.col("o_custkey").alias("customer_id"),
@@ -53,8 +57,20 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(key % 19 == 0, -F.col("o_totalprice"))
         .otherwise(F.col("o_totalprice"))
         .alias("amount"),
-        F.col("n_name").alias("country"),
-    )
+    ]
+
+
+def order_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`transactions` without the country: the orders alone, before any join."""
+    return table(spark, sf_dir, "orders").select(*_order_columns())
+
+
+def customers_with_country(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``customer_id`` of the customers whose nation has a name."""
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    nation = table(spark, sf_dir, "nation").where(F.col("n_name").isNotNull()).select("n_nationkey")
+    known = join_bounded(customer, nation, customer.c_nationkey == nation.n_nationkey, "left_semi")
+    return known.select(F.col("c_custkey").alias("customer_id"))
 
 
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -114,3 +114,17 @@ def test_complete_predicate_equals_na_drop_and_is_pushed(spark, out_dir):
     assert "AtLeastNNonNulls" not in plan
     for column in ("i", "s", "x", "y"):
         assert f"IsNotNull({column})" in plan
+
+
+def test_money_totals_do_not_depend_on_partitioning(spark):
+    from pyspark.sql import functions as F
+
+    big = spark.range(200_000).select(F.lit("x").alias("country"), (F.col("id") * 98765.43 % 9_999_999.99).cast("decimal(18,2)").cast("double").alias("amount"))
+    totals = {tuple(op.country_metrics(big.repartition(n)).first()) for n in (1, 3, 7, 16)}
+    assert len(totals) == 1
+
+
+def test_money_totals_show_amounts_that_are_no_numbers(spark):
+    df = spark.createDataFrame([("x", 1.5), ("x", float("nan")), ("y", 2.25), ("y", None)], "country string, amount double")
+    got = {r.country: (r.total_revenue, r.avg_transaction_value) for r in op.country_metrics(df).collect()}
+    assert got["x"][0] != got["x"][0] and got["y"] == (2.25, 2.25)

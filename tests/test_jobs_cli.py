@@ -55,8 +55,8 @@ def test_input_sizing_from_a_distributed_listing(spark, out_dir, restore_sizing)
     assert spark.conf.get("spark.sql.shuffle.partitions") == conf["spark.sql.shuffle.partitions"]
     cores = spark.sparkContext.defaultParallelism
     assert conf["spark.sql.shuffle.partitions"] == str(2 * cores)  # small input: two waves of tasks
-    # 100 TB on 8000 cores: capped at 100k partitions, which AQE then coalesces or splits.
-    assert scale_conf(100 * 2**40, 8000)["spark.sql.shuffle.partitions"] == "100000"
+    # 100 TB: 200 MiB a reduce task, without a cap.
+    assert scale_conf(100 * 2**40, 8000)["spark.sql.shuffle.partitions"] == str(100 * 2**40 // (200 * 2**20) + 1)
 
 
 def test_cli_generate_reports_and_partition_study(spark, out_dir, restore_sizing):
@@ -78,6 +78,7 @@ def test_study_checks_catch_missing_configs_and_bad_rows(spark):
     got = {r.check: r.violations for r in checks.collect()}
     assert got == {
         "configurations_match_expected": 1,  # memory_and_disk missing
+        "row_count_matches_expected": 1,
         "trials_positive": 0,
         "median_positive": 0,
         "result_rows_expected": 1,
@@ -97,6 +98,35 @@ def test_verify_partition_study(spark, out_dir):
         "input_lines_valid_json": 0,
         "record_count": 0,
         "configurations_match_expected": 0,
+        "row_count_matches_expected": 0,
         "trials_positive": 0,
         "median_positive": 0,
     }
+
+
+def test_study_table_shows_every_trial_or_raises(spark):
+    five = spark.createDataFrame([(c, t, float(t)) for c in ("16", "2") for t in range(1, 6)], "config string, trial int, seconds double")
+    rows = jobs.study_table(five).collect()
+    assert [r.config for r in rows] == ["2", "16"]  # counts sort as numbers
+    assert rows[0].trial_5_seconds == 5.0 and rows[0].median_seconds == 3.0
+    with pytest.raises(ValueError):
+        jobs.study_table(five, trials=(1, 2, 3))
+
+
+def test_study_checks_count_missing_trials_and_repeated_configurations(spark):
+    study = spark.createDataFrame(
+        [("a", 1.0, 2.0, 2.0), ("b", 1.0, None, 1.0), ("b", 1.0, 1.0, 1.0)], "config string, trial_1_seconds double, trial_2_seconds double, median_seconds double"
+    )
+    got = {r.check: (r.checked_rows, r.violations) for r in jobs.study_checks(study, ["a", "b"]).collect()}
+    assert got["trials_positive"] == (3, 1)
+    assert got["configurations_match_expected"] == (2, 0)
+    assert got["row_count_matches_expected"] == (3, 1)
+
+
+def test_word_count_command_checks_only_given_expectations(spark, out_dir, restore_sizing):
+    from quarry.sources.files import write_text
+
+    write_text(spark.createDataFrame([("one two two",)], "value string"), "value", f"{out_dir}/t")
+    assert main(["wordcount", "--input", f"{out_dir}/t"]) == 0
+    assert main(["wordcount", "--input", f"{out_dir}/t", "--expect", "two=2"]) == 0
+    assert main(["wordcount", "--input", f"{out_dir}/t", "--expect", "two=3"]) == 1

@@ -110,3 +110,17 @@ def test_hot_group_is_spread_over_range_partitions(spark):
     assert max(r["count"] for r in per_part) < 3000
     got = {r.g: r.median for r in exact_median(df, ["g"], "v", max_group_rows=None).where("g = 'hot'").collect()}
     assert got == {"hot": 1499.5}
+
+
+def test_both_median_routes_keep_null_groups_and_groups_without_values(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 2.0), (None, 5.0), (None, 7.0), ("z", None)], "g string, v double")
+    small = {r.g: r.median for r in exact_median(df, ["g"], "v").collect()}
+    large = {r.g: r.median for r in exact_median(df, ["g"], "v", max_group_rows=None).collect()}
+    assert small == large == {"a": 1.5, None: 6.0, "z": None}
+
+
+def test_summary_is_the_same_on_both_routes(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 2.0), (None, 5.0), (None, 7.0), ("z", None)], "config string, seconds double")
+    small = sorted(map(tuple, op.trial_summary(df).collect()), key=repr)
+    large = sorted(map(tuple, op.trial_summary(df, max_group_rows=0).collect()), key=repr)
+    assert small == large and len(small) == 3

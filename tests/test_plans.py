@@ -11,11 +11,17 @@ PYTHON_EVAL = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "MapInArrow"
 PAIRWISE = ("CartesianProduct", "BroadcastNestedLoopJoin")
 
 
-@pytest.fixture(scope="module")
-def plans(spark):
+def _own_queries():
+    """The reference's queries: the training-data operators choose their own style."""
     import __spark_entry__ as E
 
-    return {name: plan_text(fn(spark, SF_SMALL)) for name, fn in E.queries().items()}
+    extra = E.llm.queries() if E.llm else {}
+    return {name: query for name, query in E.queries().items() if name not in extra and name != "pipeline"}
+
+
+@pytest.fixture(scope="module")
+def plans(spark):
+    return {name: plan_text(fn(spark, SF_SMALL)) for name, fn in _own_queries().items()}
 
 
 def test_no_python_evaluation_and_no_pairwise_joins(plans):
@@ -142,3 +148,38 @@ def test_rebalance_spreads_a_hot_key_that_hash_repartitioning_keeps_in_one_task(
         spark.conf.unset(key) if saved is None else spark.conf.set(key, saved)
     assert spread[False] == [n // 3]  # plain hash partitioning: the whole hot key in one task
     assert len(spread[True]) > 1 and sum(spread[True]) == n // 3 and max(spread[True]) < n // 3
+
+
+def test_study_operators_read_the_measurements_at_most_twice(spark):
+    """Every row read passes a counting step put in front of the operators."""
+    from quarry import operators as op
+    from quarry.plans import jobs
+
+    n = 3000
+    read = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    plain = spark.range(n).selectExpr("concat('c', id % 5) AS config", "cast(id % 3 + 1 AS int) AS trial", "cast(id AS double) AS seconds")
+    counted = plain.mapInArrow(count, plain.schema)
+    uses = {
+        "study_table": lambda: jobs.study_table(op.trial_totals(counted), baseline="c0"),
+        "study_checks": lambda: jobs.study_checks(jobs.study_table(op.trial_totals(counted), baseline="c0"), [f"c{i}" for i in range(5)]),
+        "trial_improvement": lambda: op.trial_improvement(op.trial_summary(counted), "c0"),
+        "trial_ranking": lambda: op.trial_ranking(op.trial_summary(counted)),
+    }
+    for name, use in uses.items():
+        before = read.value
+        use().collect()
+        assert read.value - before <= 2 * n, name
+
+
+def test_hot_customer_is_summed_before_any_join(spark, plans):
+    for name in ("customer_spend", "top_customers"):
+        lines = plans[name].splitlines()
+        join = next(i for i, line in enumerate(lines) if "Join" in line)
+        partial = next(i for i, line in enumerate(lines) if "partial_sum" in line)
+        assert join < partial, name  # the aggregation stands below the join

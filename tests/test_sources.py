@@ -98,10 +98,37 @@ def test_entry_smoke(spark):
     assert out.count() > 0
 
 
-def test_every_query_has_an_oracle_except_layout(spark):
+def test_every_query_of_the_reference_has_an_oracle(spark):
     import __spark_entry__ as E
 
     missing = set(E.queries()) - set(E.oracle_sql())
-    assert missing == {"partition_profile"}
+    assert missing <= {"pipeline", *(E.llm.queries() if E.llm else ())}
     for name, fn in E.queries().items():
         assert fn(spark, SF_SMALL).columns, name
+
+
+def test_seeds_give_other_rows_and_ids_do_not_repeat(spark):
+    one, two = (synth.generate_sales(spark, 200, seed=s).drop("transaction_id") for s in (1, 2))
+    assert one.collect() == synth.generate_sales(spark, 200, seed=1).drop("transaction_id").collect()
+    assert one.collect() != two.collect()
+    ids = spark.createDataFrame([(i + k * 2**31,) for i in range(20) for k in (0, 1)], "id long")
+    rows = synth.synth_transactions(ids).orderBy("transaction_id").drop("transaction_id").collect()
+    assert rows[:20] != rows[20:]
+    assert synth.generate_sales(spark, 5_000_000).rdd.getNumPartitions() >= 3
+
+
+def test_shared_folder_must_be_named():
+    import pytest
+
+    from quarry.plans.storage import shared_dir
+
+    class Unset:
+        class conf:
+            get = staticmethod(lambda *_: None)
+
+        class sparkContext:
+            getCheckpointDir = staticmethod(lambda: None)
+            master = "local[2]"
+
+    with pytest.raises(RuntimeError):
+        shared_dir(Unset)
