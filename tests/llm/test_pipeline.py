@@ -1,0 +1,73 @@
+import pytest
+
+import corpus_pipeline as pipeline
+from quarry.llm import contamination
+from quarry.llm.common import saved
+from tests.conftest import SF_ORACLE, SF_SMALL
+from tests.llm import awkward
+from tests.llm.test_contamination import brute as brute_leaks
+from tests.llm.test_simhash import brute_classes, brute_fingerprint
+from tests.llm.test_substrings import brute as brute_cuts
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    """Input and output rows of every stage over a small table."""
+    docs, out = spark.read.parquet(f"{SF_SMALL}/documents.parquet"), []
+    for name, stage in pipeline.STAGES:
+        after = saved(stage(spark, docs, SF_SMALL), "stage")
+        out.append((name, docs, after))
+        docs = after
+    return out
+
+
+def test_stages_in_order_keep_the_columns_of_documents(stages):
+    assert [n for n, _, _ in stages] == ["language ID", "SimHash near-dedup", "substring dedup", "benchmark decontamination", "BPE encoding and decoding"]
+    for _, before, after in stages[:-1]:
+        assert after.columns == before.columns == pipeline.COLUMNS
+
+
+def test_each_stage_does_what_brute_force_does_to_its_input(spark, stages):
+    (_, before, after) = stages[0]
+    kept = {r.doc_id for r in after.collect()}
+    assert len(kept) >= 0.98 * before.count()
+    (_, before, after) = stages[1]
+    rows = sorted(before.collect(), key=lambda r: r.doc_id)
+    classes = brute_classes([brute_fingerprint(r.text) for r in rows], pipeline.MAX_BITS)
+    assert sorted(r.doc_id for r in after.collect()) == sorted({rows[c].doc_id for c in classes})
+    (_, before, after) = stages[2]
+    rows = before.collect()
+    want = {}
+    for r, (n, removed, text) in zip(rows, brute_cuts([r.text for r in rows], pipeline.MIN_REPEAT_WORDS), strict=True):
+        if not removed:
+            want[r.doc_id] = (r.text, r.n_chars)
+        elif removed < n:
+            want[r.doc_id] = (text, len(text))
+    assert {r.doc_id: (r.text, r.n_chars) for r in after.collect()} == want
+    (_, before, after) = stages[3]
+    items = [tuple(r) for r in spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").select("item_id", "text").collect()]
+    exact = [(i, p) for i, p in ((i, contamination.normal(t)) for i, t in items) if p]
+    gone = {r.doc_id for r in before.collect()} - {r.doc_id for r in after.collect()}
+    assert {r.doc_id for r in before.collect() if any(p in contamination.normal(r.text) for _, p in exact)} <= gone
+    assert brute_leaks([(r.doc_id, r.text) for r in before.collect() if r.doc_id in gone], items, contamination.ERROR_RATE) or not gone
+    (_, before, after) = stages[4]
+    assert sorted(r.doc_id for r in after.collect()) == sorted(r.doc_id for r in before.collect())
+    assert all(len(r.ids) == r.n_tokens for r in after.collect())
+
+
+def test_run_gives_the_stages_rows(spark, stages):
+    assert {tuple(r[:4]) for r in pipeline.run(spark, SF_SMALL).collect()} == {tuple(r[:4]) for r in stages[-1][2].collect()}
+
+
+@pytest.mark.parametrize("stage", pipeline.STAGES, ids=[n for n, _ in pipeline.STAGES])
+def test_every_stage_survives_awkward_and_empty_documents(spark, stage):
+    name, run = stage
+    df = awkward.documents(spark, long_words=3000)
+    out = run(spark, df, SF_ORACLE)
+    n = out.count()
+    assert 0 < n <= df.count()
+    if name != pipeline.STAGES[-1][0]:
+        assert out.columns == pipeline.COLUMNS
+    assert run(spark, df.limit(0), SF_ORACLE).count() == 0
+
+
