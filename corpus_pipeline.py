@@ -67,8 +67,8 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Returns ``doc_id``, ``lang``, ``source``, ``n_tokens``, ``ids``, ``decoded``.
     """
     importable(spark)
-    path = tokenizer_path()
-    done = bpe.decode(bpe.encode(spread_small(docs.select("doc_id", "text", "lang", "source")), path), path)
+    rows = spread_small(docs.select("doc_id", "text", "lang", "source"))
+    done = bpe.encode(rows, tokenizer_path(), decoded_col="decoded")
     return done.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded")
 
 

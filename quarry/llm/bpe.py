@@ -37,8 +37,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ROOT = 0
-CACHE_WORDS = 250_000  # words whose ids a worker remembers; emptied when full
-DECODE_ROWS = 200  # rows decoded at a time, which bounds a worker's scratch memory
+CACHE_WORDS = 200_000  # words whose ids a worker remembers; emptied when full
+ROWS = 200  # rows handled at a time, which bounds a worker's scratch memory
 END = "</w>"
 STOP = "\x00"  # the letter that spells END; no byte stands for it
 
@@ -153,6 +153,7 @@ class WordEncoder:
         self.vocab: dict[str, int] = spec["vocab"]
         self.automaton = MergeAutomaton(spec["merges"])
         self.automaton.index({k: v for k, v in self.vocab.items() if k not in spec["special"]})
+        self.arc_labels = label_array(self.vocab)
         self.numbers = [self.vocab[x] for x in self.automaton.labels]
         self.alphabet = byte_alphabet()
         self.special: dict[str, int] = spec["special"]
@@ -212,27 +213,37 @@ def _encoder(path: str, shipped) -> WordEncoder:
     return _encoders[path]
 
 
-def encode(docs: DataFrame, path: str, text_col: str = "text", out_col: str = "ids") -> DataFrame:
+def encode(docs: DataFrame, path: str, text_col: str = "text", out_col: str = "ids", decoded_col: str | None = None) -> DataFrame:
     """Add ``out_col`` array<int>: the token ids of every whole text.
 
-    A null or empty text has no ids. Rows are independent: repeated rows give
-    repeated results, an empty table an empty one, and a column already named
-    ``out_col`` is replaced. A worker keeps one automaton and at most
-    ``CACHE_WORDS`` encoded words.
+    With ``decoded_col`` the same worker also decodes those ids (see
+    :func:`decode`), which saves a second trip of the ids through Python. A null
+    or empty text has no ids and decodes to an empty text. Rows are
+    independent: repeated rows give repeated results, an empty table an empty
+    one, and columns already named like an output are replaced. A worker keeps
+    one automaton and at most ``CACHE_WORDS`` encoded words.
     """
     shipped = docs.sparkSession.sparkContext.broadcast(load_spec(path))  # one file, a few MB
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         enc = _encoder(path, shipped)
         for texts in batches:
-            parts = [enc.encode(t.as_py()) for t in texts]
-            ends = np.cumsum([0] + [len(p) // 4 for p in parts]).astype(np.int32)
-            flat = np.frombuffer(b"".join(parts), np.int32)
-            del parts
-            yield pa.ListArray.from_arrays(ends, flat)
+            made = [_encoded(enc, texts.slice(at, ROWS), decoded_col is not None) for at in range(0, len(texts), ROWS)]
+            fields = ["ids", "decoded"][: 1 + (decoded_col is not None)]
+            if made:
+                yield pa.StructArray.from_arrays([pa.concat_arrays([m[i] for m in made]) for i in range(len(fields))], fields)
 
-    udf = F.arrow_udf(_typed(run), "array<int>")
-    return docs.withColumn(out_col, udf(F.col(text_col)))
+    shape = "ids array<int>" + (", decoded string" if decoded_col else "")
+    made = docs.withColumn("__bpe", F.arrow_udf(_typed(run), shape)(F.col(text_col)))
+    columns = {out_col: F.col("__bpe.ids")} | ({decoded_col: F.col("__bpe.decoded")} if decoded_col else {})
+    return made.withColumns(columns).drop("__bpe")
+
+
+def _encoded(enc: WordEncoder, texts: pa.Array, decode_too: bool) -> list[pa.Array]:
+    parts = [enc.encode(t.as_py()) for t in texts]
+    ends = np.cumsum([0] + [len(p) // 4 for p in parts]).astype(np.int32)
+    ids = pa.ListArray.from_arrays(ends, np.frombuffer(b"".join(parts), np.int32))
+    return [ids, _joined(ids, enc.arc_labels)] if decode_too else [ids]
 
 
 def decode(df: DataFrame, path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
@@ -244,19 +255,23 @@ def decode(df: DataFrame, path: str, ids_col: str = "ids", out_col: str = "decod
     shipped = df.sparkSession.sparkContext.broadcast(load_spec(path)["vocab"])
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        vocab = shipped.value
-        names: list[str | None] = [None] * (max(vocab.values(), default=-1) + 1)
-        for label, i in vocab.items():
-            names[i] = label
-        labels = pa.array(names, pa.string())
+        labels = label_array(shipped.value)
         for ids in batches:
-            rows = [_joined(ids.slice(at, DECODE_ROWS), labels) for at in range(0, len(ids), DECODE_ROWS)]
+            rows = [_joined(ids.slice(at, ROWS), labels) for at in range(0, len(ids), ROWS)]
             yield pa.concat_arrays(rows) if rows else pa.array([], pa.string())
 
     udf = F.arrow_udf(_typed(run), "string")
     return df.withColumn(out_col, udf(F.col(ids_col)))
 
 
+def label_array(vocab: dict[str, int]) -> pa.Array:
+    """Label by id; null where an id has none."""
+    names: list[str | None] = [None] * (max(vocab.values(), default=-1) + 1)
+    for label, i in vocab.items():
+        names[i] = label
+    return pa.array(names, pa.string())
+
+
 def _joined(ids: pa.Array, labels: pa.Array) -> pa.Array:
     ids = pc.fill_null(ids, pa.scalar([], ids.type))
     flat = ids.flatten()

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm import bpe, contamination, curves, langid, ordinal, ppm, simhash, substrings, urls, wrapper
 from quarry.llm.common import held_out, spread_small, table
+from quarry.plans.storage import use_local_folder
 
 # The rules of the URL query, as host, path start and action.
 URL_RULES = [
@@ -103,8 +104,7 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text by the tokenisation automaton, decoded again; their digests."""
     docs = spread_small(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    path = tokenizer_path()
-    done = bpe.decode(bpe.encode(docs, path), path)
+    done = bpe.encode(docs, tokenizer_path(), decoded_col="decoded")
     return done.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
@@ -130,7 +130,8 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def importable(spark: SparkSession) -> None:
-    """Let Python workers import this package wherever the driver found it (no-op if they already can)."""
+    """Let Python workers import this package wherever the driver found it, and name a shared folder for local runs."""
+    use_local_folder(spark)
     root = str(Path(__file__).resolve().parents[2])
     paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
     if root not in paths:
