@@ -191,9 +191,13 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2, text_c
 def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 2, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """``docs`` with one document of each component: the row of its smallest id.
 
-    Of repeated rows with that id all but one go. Rows without an id are kept
-    only where no id is in their component, one a component and fingerprint.
+    Of repeated rows with that id all but one go. Where a component has no id at
+    all, one row of each of its fingerprints stays.
     """
     classes = near_duplicates(docs, shingle, max_bits, text_col, id_col)
     heads = classes.where(F.col(id_col) == F.col("component_id")).select(id_col).distinct()
-    return docs.join(heads, id_col, "left_semi").dropDuplicates([id_col])
+    named = docs.join(heads, id_col, "left_semi").dropDuplicates([id_col])
+    without = classes.where(F.col("component_id").isNull()).select(F.col("simhash").alias("__lone")).distinct()
+    bare = fingerprints(docs.where(F.col(id_col).isNull()), shingle, text_col, "__fp")
+    bare = bare.join(without, F.col("__fp") == F.col("__lone"), "left_semi").dropDuplicates(["__fp"]).drop("__fp")
+    return named.select(*docs.columns).unionByName(bare)

@@ -100,7 +100,7 @@ def judge(pages: DataFrame, rules: DataFrame, url_col: str = "url") -> DataFrame
     listed = rules.select((F.col("host")).alias("h"), F.col("path").alias("p"), "action").where(F.col("h").isNotNull() & F.col("p").isNotNull())
     listed = listed.groupBy("h", "p").agg(F.max(F.col("action")).alias("action"))  # block sorts after allow
     listed = listed.withColumn("key", F.concat_ws("\n", "h", "p"))
-    lengths = sorted(int(r[0]) for r in listed.select(F.length("p")).distinct().limit(4096).collect())  # URL paths have a few thousand lengths at most
+    lengths = sorted(int(r[0]) for r in listed.select(F.length("p")).distinct().collect())  # no more than the longest listed path has characters
     blocks, table = bloom_filter(listed)
     shipped = spark.sparkContext.broadcast(table)  # at most MAX_BLOCKS x 32 bytes
 

@@ -91,6 +91,12 @@ def test_awkward_documents(spark):
     assert simhash.keep_one(awkward.empty(spark)).count() == 0
 
 
+def test_rows_without_ids_keep_one_of_each_fingerprint(spark):
+    rows = [(None, "one two three four", "c"), (None, "one two three four", "c"), (None, "far other words here", "c"), (7, "something else entirely said", "c")]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string, fp string"))
+    assert sorted(map(tuple, kept.collect()), key=repr) == sorted({*rows}, key=repr)
+
+
 def test_components_of_a_long_path_and_a_star(spark):
     path = spark.range(1, 60).select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst"))
     star = spark.range(101, 160).select(F.col("id").alias("src"), F.lit(100).cast("long").alias("dst"))
