@@ -77,11 +77,13 @@ class CumulativeLink:
         every = np.concatenate([k for _, k, _ in rows])
         keys, seen = np.unique(every, return_counts=True)
         keys = keys[seen >= min_rows]
-        owner = np.repeat(np.arange(len(rows)), [len(k) for _, k, _ in rows])
-        column = np.searchsorted(keys, every)
+        column = np.searchsorted(keys, every).astype(np.int32)
         fine = column < len(keys)
         fine[fine] = keys[column[fine]] == every[fine]
-        owner, column, value = owner[fine], column[fine], np.concatenate([v for _, _, v in rows])[fine]
+        del every, seen
+        column = column[fine].astype(np.int64)
+        owner = np.repeat(np.arange(len(rows), dtype=np.int32), [len(k) for _, k, _ in rows])[fine].astype(np.int64)
+        value = np.concatenate([v for _, _, v in rows])[fine].astype(np.float64)
         cuts = len(grades) - 1
         share = np.cumsum(np.bincount(y, minlength=cuts + 1))[:-1] / len(y)
         first = np.log(share / (1 - share))
@@ -163,10 +165,10 @@ def fit(docs: DataFrame, ratings: DataFrame, grade_col: str = "grade", text_col:
         for batch in batches:
             found = [features(t.as_py()) for t in batch["text"]]
             keys = pa.array([k.view(np.int64) for k, _ in found], pa.list_(pa.int64()))
-            values = pa.array([v for _, v in found], pa.list_(pa.float64()))
+            values = pa.array([v.astype(np.float32) for _, v in found], pa.list_(pa.float32()))
             yield pa.RecordBatch.from_arrays([batch["id"].cast(pa.string()), batch["grade"], keys, values], ["id", "grade", "keys", "values"])
 
-    listed = rows.mapInArrow(run, "id string, grade int, keys array<long>, values array<double>").toArrow().sort_by([("id", "ascending"), ("grade", "ascending")])
+    listed = rows.mapInArrow(run, "id string, grade int, keys array<long>, values array<float>").toArrow().sort_by([("id", "ascending"), ("grade", "ascending")])
     lists = zip(listed["grade"].to_pylist(), listed["keys"], listed["values"], strict=True)
     return CumulativeLink.fit([(g, k.values.to_numpy().view(np.uint64), v.values.to_numpy()) for g, k, v in lists])
 
