@@ -101,10 +101,11 @@ def test_entry_smoke(spark):
 def test_every_query_of_the_reference_has_an_oracle(spark):
     import __spark_entry__ as E
 
-    missing = set(E.queries()) - set(E.oracle_sql())
-    assert missing <= {"pipeline", *(E.llm.queries() if E.llm else ())}
+    extra = {"pipeline", *(E.llm.queries() if E.llm else ())}  # tested in tests/llm
+    assert set(E.queries()) - set(E.oracle_sql()) <= extra
     for name, fn in E.queries().items():
-        assert fn(spark, SF_SMALL).columns, name
+        if name not in extra:
+            assert fn(spark, SF_SMALL).columns, name
 
 
 def test_seeds_give_other_rows_and_ids_do_not_repeat(spark):
