@@ -26,6 +26,7 @@ from quarry.llm.points import folded
 UND = "und"
 DOCS_PER_LANG = 2000  # bound of the fitting sample, in documents a language (expected value; whole texts)
 CALIBRATION_SHARE = 10  # one in so many sampled documents calibrates instead of fitting
+MAX_LANGS = 10_000
 REJECT_Z = 12.0
 LEAST_SD = 0.05  # nats per character: texts of one language and length differ by no less
 CHUNK = 1 << 19  # characters scored at a time
@@ -165,7 +166,10 @@ def _sample(docs: DataFrame, train: Column, text_col: str, lang_col: str, id_col
     """About ``docs_per_lang`` labelled rows a language, chosen by the hash of their id; ``calibrate`` marks the rows kept out of the fit."""
     rows = docs.where(train & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     rows = rows.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(F.col(id_col)).alias("pick"))
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).limit(MAX_LANGS + 1).collect()
+    if len(counts) > MAX_LANGS:
+        raise ValueError(f"more than {MAX_LANGS} languages")
+    counts = F.broadcast(docs.sparkSession.createDataFrame(counts, "lang string, n long"))  # texts are not shuffled
     share = F.shiftrightunsigned(F.col("pick"), 12) / F.lit(float(1 << 52))
     kept = rows.join(counts, "lang").where(share * F.col("n") < docs_per_lang)
     return kept.select("lang", "text", (F.pmod("pick", F.lit(CALIBRATION_SHARE)) == 0).alias("calibrate"))
@@ -194,7 +198,7 @@ def fit(docs: DataFrame, train: Column, text_col: str = "text", lang_col: str =
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(keys)), pa.array(keys.view(np.int64)), pa.array(n)], ["lang", "key", "n"])
 
     fitted = sample.where(~F.col("calibrate")).drop("calibrate")
-    grams = fitted.mapInArrow(count, "lang string, key long, n long").groupBy("lang", "key").agg(F.sum("n").alias("n")).toPandas()
+    grams = fitted.mapInArrow(count, "lang string, key long, n long").groupBy("lang", "key").agg(F.sum("n").alias("n")).toArrow().to_pandas()
     model = {"grams": {lang: (g["key"].to_numpy(np.int64).view(np.uint64), g["n"].to_numpy(np.int64)) for lang, g in grams.groupby("lang")}}
 
     scored = _scored(sample.where(F.col("calibrate")), model, "text")
