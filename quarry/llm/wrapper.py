@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm import dom
+from quarry.llm.common import saved
 from quarry.llm.dom import Node
 from quarry.llm.urls import host_of
 
@@ -40,6 +41,9 @@ CONSTANT_SHARE = 0.8  # of a host's pages with the same text in a node
 CONSTANT_PAGES = 3  # pages that show it at least
 LINK_SHARE = 0.5  # of a slot's characters that are link text
 MANY_CHILDREN = 40  # beyond, siblings fold by signature wherever they stand
+BROADCAST_BYTES = 32 << 20  # of all templates
+SALTS = 128  # keys over which a hot host is dealt
+SHAPE = ["host", "template", "pages"]
 MERGE_FAN = 64  # templates of one host merged at once in the first round
 # Elements and names that are not main text.
 APART_TAGS = frozenset("nav footer aside form header head button menu dialog label fieldset audio video".split())
@@ -307,7 +311,7 @@ def _induce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     found: dict[str, Slot] = {}
 
     def out() -> pa.RecordBatch:
-        made = pa.RecordBatch.from_arrays([pa.array(list(found)), pa.array([json.dumps(s.dump()) for s in found.values()])], ["host", "template"])
+        made = pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array([json.dumps(s.dump()) for s in found.values()], pa.string()), pa.array([s.pages for s in found.values()], pa.int64())], SHAPE)
         found.clear()
         return made
 
@@ -332,12 +336,12 @@ def _merge_group(key: tuple[pa.Scalar, ...], batch: pa.Table) -> pa.Table:
             template = other
         else:
             merge(template, other)
-    return pa.table({"host": [key[0].as_py()], "template": [json.dumps(template.dump())]})
+    return pa.table([[key[0].as_py()], [json.dumps(template.dump())], [template.pages]], SHAPE)
 
 
 def induce(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """``host``, ``template`` (as JSON): one template per host, from all its pages."""
-    shape = "host string, template string"
+    """``host``, ``template`` (as JSON) and ``pages`` (their count): one template per host, from all its pages."""
+    shape = "host string, template string, pages long"
     rows = pages.select(host_of(F.col(url_col)).alias("host"), F.col(html_col).alias("html"))
     partial = rows.mapInArrow(_induce, shape)
     first = partial.withColumn("lot", F.pmod(F.xxhash64("template"), F.lit(MERGE_FAN)))
@@ -352,7 +356,7 @@ def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html", out_
     are judged one by one against their host's template; repeated rows repeat.
     A column already named ``out_col`` is replaced.
     """
-    templates = induce(pages, url_col, html_col).select(F.col("host").alias("__host"), F.col("template").alias("__template"))
+    pages, templates, keys = _beside(pages.withColumn("__host", host_of(F.col(url_col))), saved(induce(pages, url_col, html_col), "templates"), html_col)
     known: dict[str, Wrapper] = {}
 
     def run(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
@@ -367,5 +371,23 @@ def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html", out_
             yield pa.array(out, pa.string())
 
     run.__annotations__ = {"batches": Iterator[tuple[pa.Array, ...]], "return": Iterator[pa.Array]}
-    joined = pages.withColumn("__host", host_of(F.col(url_col))).join(templates, "__host", "left")
-    return joined.withColumn(out_col, F.arrow_udf(run, "string")(F.col("__template"), F.col(html_col))).drop("__host", "__template")
+    joined = pages.join(templates, keys, "left")
+    return joined.withColumn(out_col, F.arrow_udf(run, "string")(F.col("__template"), F.col(html_col))).drop("__template", *keys)
+
+
+def _beside(pages: DataFrame, templates: DataFrame, html_col: str) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both sides of the join of pages (``__host``) with their templates, and its keys.
+
+    Templates measured at ``BROADCAST_BYTES`` or less go to the pages. Beyond,
+    both sides shuffle by host, and the hosts with a hundredth of all pages or
+    more (a hundred at most) are dealt over ``SALTS`` keys.
+    """
+    bytes_, count = templates.agg(F.coalesce(F.sum(F.octet_length("template")), F.lit(0)), F.coalesce(F.sum("pages"), F.lit(0))).first()
+    named = templates.select(F.col("host").alias("__host"), F.col("template").alias("__template"), "pages")
+    if bytes_ <= BROADCAST_BYTES:
+        return pages, F.broadcast(named.drop("pages")), ["__host"]
+    hot = [r[0] for r in named.where(F.col("pages") * 100 >= count).select("__host").collect()]
+    often = F.col("__host").isin(hot)
+    dealt = pages.withColumn("__salt", F.when(often, F.pmod(F.xxhash64(html_col), F.lit(SALTS))).otherwise(F.lit(0).cast("long")))
+    salts = F.when(often, F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).otherwise(F.array(F.lit(0).cast("long")))
+    return dealt, named.select("__host", "__template", F.explode(salts).alias("__salt")), ["__host", "__salt"]
