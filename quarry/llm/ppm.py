@@ -18,9 +18,9 @@ Spark counts the longest contexts' grams and the words of all training rows
 tasks in parts of at most ``PART_GRAMS`` rows, each one pass over the texts,
 split by the last two context symbols: a context and its suffixes down to
 order 2 fall in one part, and orders 0 and 1 (under 70,000 rows) in every part. So a
-broadcast never grows with the corpus and any table size gives the same
-scores. The unigram base model looks up its ``HEAD_WORDS`` most frequent words
-in the tasks and all other words by a join.
+broadcast does not grow with the corpus (short of a single pair of symbols with
+more grams than that) and any table size gives the same scores. The unigram base model looks up its most frequent words (``HEAD_WORDS`` at
+most) in the tasks and all other words by a join.
 """
 
 from __future__ import annotations
@@ -41,7 +41,7 @@ END, BEFORE, SYMBOLS = 256, 257, 257  # END is coded, BEFORE only stands in cont
 WIDTH = np.uint64(9)  # bits of a symbol
 PART_GRAMS = 4_000_000
 HEAD_WORDS = 1 << 17
-CHUNK = 1 << 21  # symbols handled at a time
+CHUNK = 1 << 19  # symbols handled at a time: scratch of some 50 MB
 
 
 def tokens(text: str | None) -> bytes:
@@ -129,6 +129,7 @@ class Trie:
         self.seen = np.log10(share)[self.symbol[order].order]
         for found in [*self.symbol.values(), *self.context.values()]:
             found.order = None
+        self.count[order] = self.count[order][:0]  # what the longest context has seen is in ``seen``
 
     @staticmethod
     def _mask(order: int) -> np.uint64:
@@ -169,7 +170,7 @@ class Trie:
             at = self.context[o].rows(mine >> WIDTH)
             stats = np.where((at < 0)[:, None], 0.0, self.stats[o][at]) if len(self.stats[o]) else np.zeros((len(left), 3))
             n, d = stats[:, 0] - excluded_n[left], stats[:, 1] - excluded_d[left]
-            counts = self._counts(o, mine)
+            counts = self._counts(o, mine) if o < self.order else np.zeros(len(left))
             total = n + d
             coded = counts > 0
             out[left[coded]] += np.log10(counts[coded] / total[coded])
@@ -227,6 +228,25 @@ def _parts(grams_table: DataFrame, order: int, part_grams: int) -> list[np.ndarr
     return [np.array(x, np.int64) for x in out]
 
 
+def _head_count(words: DataFrame, head_words: int) -> int:
+    """The least power of two such that no more than ``head_words`` words are that frequent."""
+    power = F.length(F.bin("n")) - 1
+    sizes = {r["p"]: r["m"] for r in words.groupBy(power.alias("p")).agg(F.count("*").alias("m")).collect()}  # 63 rows at most
+    most = max(sizes, default=0) + 1
+    held = 0
+    for p in range(most, -1, -1):
+        held += sizes.get(p, 0)
+        if held > head_words:
+            return 1 << (p + 1)
+    return 1
+
+
+def _arrays(table: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The ``key`` and ``n`` columns of a bounded table."""
+    got = table.select("key", "n").toArrow().combine_chunks()
+    return got["key"].to_numpy().view(np.uint64), got["n"].to_numpy().astype(np.float64)
+
+
 def score(docs: DataFrame, train: Column, order: int = ORDER, part_grams: int = PART_GRAMS, head_words: int = HEAD_WORDS, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """Score every whole text with a model of the rows where ``train`` holds.
 
@@ -246,13 +266,13 @@ def score(docs: DataFrame, train: Column, order: int = ORDER, part_grams: int =
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     total, distinct = int(total) + ends, int(distinct) + (ends > 0)
     spread = float(np.log10(total + distinct + 1))  # log10 of N + 1 * (V + 1)
-    head = words.orderBy(F.desc("n"), "key").limit(head_words).select("key", "n").toPandas()
-    head_keys, head_logs = head["key"].to_numpy(np.int64).view(np.uint64), np.log10(head["n"].to_numpy(np.float64) + 1)
-    floor = int(head["n"].min()) if len(head) else 0  # words this frequent or less may lie outside the head
+    least = _head_count(words, head_words)
+    head_keys, head_n = _arrays(words.where(F.col("n") >= least))  # at most ``head_words`` rows
+    head_logs = np.log10(head_n + 1)
     table = counts.where("kind = 0").select("key", "n")
     mask = (1 << (2 * int(WIDTH))) - 1
-    low = table.groupBy(F.col("key").bitwiseAND(F.lit(mask if order else (1 << int(WIDTH)) - 1)).alias("k")).agg(F.sum("n").alias("n")).toPandas()
-    low = (low["k"].to_numpy(np.int64).view(np.uint64), low["n"].to_numpy(np.float64))
+    low = table.groupBy(F.col("key").bitwiseAND(F.lit(mask if order else (1 << int(WIDTH)) - 1)).alias("k")).agg(F.sum("n").alias("n"))
+    low = _arrays(low.select(F.col("k").alias("key"), "n"))  # at most 258^2 rows
     pair = F.shiftrightunsigned("key", int(WIDTH)).bitwiseAND(F.lit(mask))
 
     passes = None
@@ -262,17 +282,16 @@ def score(docs: DataFrame, train: Column, order: int = ORDER, part_grams: int =
         if len(parts) > 1:
             chosen = spark.createDataFrame([(int(p),) for p in pairs], "pair long")
             mine = table.join(F.broadcast(chosen), pair == F.col("pair"), "left_semi")  # at most 258^2 rows
-        rows = mine.toPandas() if order >= 2 else table.limit(0).toPandas()  # at most ``part_grams`` rows
         last = number == len(parts) - 1
         model = {
-            "grams": (rows["key"].to_numpy(np.int64).view(np.uint64), rows["n"].to_numpy(np.float64), *low, order),
+            "grams": (*(_arrays(mine) if order >= 2 else low), *low, order),  # at most ``part_grams`` rows
             "pairs": pairs, "others": np.concatenate(parts[:-1]) if len(parts) > 1 else pairs[:0],
             "alone": len(parts) == 1, "last": last, "head": (head_keys, head_logs),
         }
         part = _one_pass(texts, spark.sparkContext.broadcast(model), order)
         passes = part if passes is None else passes.unionByName(part)
 
-    tail = words.where(F.col("n") <= floor).select(F.col("kind").alias("k"), F.col("key").alias("w"), F.col("n").alias("c"))
+    tail = words.where(F.col("n") < least).select(F.col("kind").alias("k"), F.col("key").alias("w"), F.col("n").alias("c"))
     looked = passes.join(tail, (F.col("kind") == F.col("k")) & (F.col("key") == F.col("w")), "left")
     found = F.col("c").isNotNull()
     summed = looked.groupBy("row").agg(
