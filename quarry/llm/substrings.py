@@ -136,7 +136,8 @@ def repeats(docs: DataFrame, min_words: int = 50, seed_words: int = SEED_WORDS,
         places = _candidates(words, row["lone_seeds"], width, seed)
         return window_hashes(words, width)[places], places
 
-    windows = seeded.select("row", "text", "lone_seeds").mapInArrow(lambda b: _rows(b, windows_of), "hash long, row long, pos int")
+    # the same columns as in the last join, so that both share one exchange of the texts
+    windows = seeded.select("row", "id", "text", "lone_seeds").mapInArrow(lambda b: _rows(b, windows_of), "hash long, row long, pos int")
     judged = seeded.join(_alone(windows, "lone_windows"), "row", "left")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
