@@ -37,19 +37,20 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return simhash.keep_one(docs.select(*COLUMNS), SHINGLE, MAX_BITS)
 
 
-def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str, keep_first: bool = False) -> DataFrame:
     """Passages of ``MIN_REPEAT_WORDS`` or more words that occur again are cut wherever they occur.
 
     A document that loses words keeps the others joined by one space, and its
     ``n_chars`` follows; one that loses all of them goes. Others, those without
-    a word among them, stay as they are. Repeated rows repeat each other.
+    a word among them, stay as they are. Repeated rows repeat each other. With ``keep_first`` the
+    first occurrence stays (see ``substrings.repeats``), so no passage is lost.
     """
     importable(spark)
     numbered = docs.select(*COLUMNS).withColumn("__row", F.col("doc_id"))
     repeated = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where((F.col("n") > 1) | F.col("doc_id").isNull())
     if not repeated.isEmpty():  # ids do not name rows: number them in a written table
         numbered = saved(docs.select(*COLUMNS).withColumn("__row", F.monotonically_increasing_id()), "rows")
-    found = substrings.repeats(numbered, MIN_REPEAT_WORDS, text_col="text", id_col="__row")
+    found = substrings.repeats(numbered, MIN_REPEAT_WORDS, text_col="text", id_col="__row", keep_first=keep_first)
     cut = found.where(F.col("n_removed") > 0).select("__row", "kept", (F.col("n_removed") == F.col("n_words")).alias("gone"))
     joined = numbered.join(cut, "__row", "left").where(F.coalesce(~F.col("gone"), F.lit(True)))
     return joined.withColumns({"text": F.coalesce("kept", "text"), "n_chars": F.when(F.col("kept").isNotNull(), F.length("kept").cast("long")).otherwise(F.col("n_chars"))}).select(*COLUMNS)

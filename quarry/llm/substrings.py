@@ -100,6 +100,13 @@ def _alone(found: DataFrame, name: str) -> DataFrame:
     return once.groupBy("row").agg(F.collect_list("pos").alias(name))
 
 
+def _judged(found: DataFrame) -> DataFrame:
+    """Per row, the positions whose hash occurs nowhere else, and those where a hash occurs again but here first (least row and position)."""
+    each = found.groupBy("hash").agg(F.count("*").alias("n"), F.min(F.struct("row", "pos")).alias("at")).select("at.row", "at.pos", "n")
+    lone, first = (F.collect_list(F.when(which, F.col("pos"))) for which in (F.col("n") == 1, F.col("n") > 1))  # nulls are left out
+    return each.groupBy("row").agg(lone.alias("lone_windows"), first.alias("first_windows"))
+
+
 def _candidates(words: np.ndarray, alone: pa.Scalar, width: int, seed: int) -> np.ndarray:
     """Start positions of the windows whose elected seed occurs again somewhere."""
     seeds, chosen = elected(words, width, seed)
@@ -109,13 +116,16 @@ def _candidates(words: np.ndarray, alone: pa.Scalar, width: int, seed: int) -> n
     return np.flatnonzero(~single[chosen]) if len(chosen) else chosen
 
 
-def repeats(docs: DataFrame, min_words: int = 50, seed_words: int = SEED_WORDS, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+def repeats(docs: DataFrame, min_words: int = 50, seed_words: int = SEED_WORDS, text_col: str = "text", id_col: str = "doc_id", keep_first: bool = False) -> DataFrame:
     """Find and cut passages of ``min_words`` or more words that occur again, in any document.
 
     Words are ``[^\\x20\\x09-\\x0D]+``, compared as they are. Returns per input
     row: ``id_col``, ``n_words``, ``n_removed``, ``kept`` (the words outside
     every repeat, joined by one space) and ``spans`` (the maximal repeats:
-    ``start`` and ``length`` in words). All occurrences are cut. Null and empty
+    ``start`` and ``length`` in words). All occurrences are cut; with
+    ``keep_first``, no word of a window's first occurrence is (the least id and
+    position, or least row where ids do not name rows), so that every passage
+    stays whole in one place, and ``spans`` are the runs cut. Null and empty
     texts have no words. Repeated rows are further occurrences like any other;
     null and repeated ids are allowed. Other columns are ignored.
     """
@@ -138,12 +148,15 @@ def repeats(docs: DataFrame, min_words: int = 50, seed_words: int = SEED_WORDS,
 
     # the same columns as in the last join, so that both share one exchange of the texts
     windows = seeded.select("row", "id", "text", "lone_seeds").mapInArrow(lambda b: _rows(b, windows_of), "hash long, row long, pos int")
-    judged = seeded.join(_alone(windows, "lone_windows"), "row", "left")
+    if keep_first:
+        judged = seeded.join(_judged(windows), "row", "left")
+    else:
+        judged = seeded.join(_alone(windows, "lone_windows"), "row", "left").withColumn("first_windows", F.lit(None).cast("array<int>"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts, removed, kept, spans = [], [], [], []
-            for text, seeds_alone, windows_alone in zip(batch["text"], batch["lone_seeds"], batch["lone_windows"], strict=True):
+            for text, seeds_alone, windows_alone, windows_first in zip(batch["text"], batch["lone_seeds"], batch["lone_windows"], batch["first_windows"], strict=True):
                 raw = _raw(text)
                 tokens = raw.split()
                 again = np.empty(0, np.int64)
@@ -157,6 +170,12 @@ def repeats(docs: DataFrame, min_words: int = 50, seed_words: int = SEED_WORDS,
                     change[again] += 1
                     change[again + width] -= 1
                     covered = np.cumsum(change[:-1]) > 0
+                    if windows_first.is_valid:  # their words stay
+                        first = windows_first.values.to_numpy()
+                        spared = np.zeros(len(tokens) + 1, np.int32)
+                        spared[first] += 1
+                        spared[first + width] -= 1
+                        covered &= np.cumsum(spared[:-1]) == 0
                     edges = np.flatnonzero(np.diff(np.concatenate([[False], covered, [False]]).view(np.int8)))
                     runs = [{"start": int(a), "length": int(b - a)} for a, b in zip(edges[::2], edges[1::2], strict=True)]
                     keep = [w for w, c in zip(tokens, covered.tolist(), strict=True) if not c]
@@ -172,4 +191,4 @@ def repeats(docs: DataFrame, min_words: int = 50, seed_words: int = SEED_WORDS,
 
     id_type = texts.schema["id"].dataType.simpleString()
     shape = f"id {id_type}, n_words long, n_removed long, kept string, spans array<struct<start:int,length:int>>"
-    return judged.select("id", "text", "lone_seeds", "lone_windows").mapInArrow(cut, shape).withColumnRenamed("id", id_col)
+    return judged.select("id", "text", "lone_seeds", "lone_windows", "first_windows").mapInArrow(cut, shape).withColumnRenamed("id", id_col)

@@ -71,3 +71,8 @@ def test_every_stage_survives_awkward_and_empty_documents(spark, stage):
     assert run(spark, df.limit(0), SF_ORACLE).count() == 0
 
 
+def test_cut_repeats_can_keep_the_first_copy(spark):
+    near = " ".join(f"w{i}" for i in range(120))
+    docs = spark.createDataFrame([(i, f"{near} tail{i}", "en", "s", 0) for i in (5, 3, 4)], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    kept = {r.doc_id: r.text for r in pipeline.cut_repeats(spark, docs, SF_SMALL, keep_first=True).collect()}
+    assert kept == {3: f"{near} tail3", 4: "tail4", 5: "tail5"}

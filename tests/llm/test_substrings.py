@@ -33,6 +33,35 @@ def test_cuts_match_brute_force_on_repetitive_texts(spark, width):
     assert got == dict(enumerate(brute(texts, width)))
 
 
+def brute_keeping_first(texts, width):
+    words = [(t or "").encode("utf-8", "surrogatepass").split() for t in texts]
+    seen = Counter(tuple(w[i : i + width]) for w in words for i in range(len(w) - width + 1))
+    met, out = set(), []
+    for w in words:
+        cover, spared = [False] * len(w), [False] * len(w)
+        for i in range(len(w) - width + 1):
+            window = tuple(w[i : i + width])
+            if seen[window] > 1:
+                cover[i : i + width] = [True] * width
+                if window not in met:
+                    spared[i : i + width] = [True] * width
+                met.add(window)
+        out.append((len(w), sum(c and not s for c, s in zip(cover, spared, strict=True)), b" ".join(x for x, c, s in zip(w, cover, spared, strict=True) if s or not c).decode("utf-8", "surrogatepass")))
+    return out
+
+
+@pytest.mark.parametrize("width", [1, 4, 12])
+def test_first_occurrences_stay_whole(spark, width):
+    rng = random.Random(width)
+    texts = [" ".join(rng.choice("ab") * rng.randint(1, 2) for _ in range(rng.randint(0, 60))) for _ in range(60)]
+    near = " ".join(f"w{i}" for i in range(40))
+    texts += [near, near + " end", "start " + near]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in substrings.repeats(df, width, keep_first=True).collect()}
+    assert got == dict(enumerate(brute_keeping_first(texts, width)))
+    assert got[60][2] == near
+
+
 def test_awkward_documents(spark):
     df = awkward.documents(spark)
     given = df.select("doc_id", "text").collect()
