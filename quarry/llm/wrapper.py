@@ -53,6 +53,9 @@ APART_NAMES = re.compile(
     r"comment|comments|commentlist|disqus|respond|reply|replies|discussion|share|sharing|social|related|recommended|recommendations|"
     r"newsletter|subscribe|subscription|signup|login|search|widget|widgets|tags|pagination|pager|toolbar|complementary|contentinfo|skip|copyright)(?:$|[\s|_-])"
 )
+# Names of readers' text: unlike "sidebar" or "header", hardly ever those of a layout around the main text.
+READER_NAMES = re.compile(r"(?:^|[\s|_-])(?:comment|comments|commentlist|disqus|respond|reply|replies|discussion|related|recommended|recommendations)(?:$|[\s|_-])")
+LAYOUT_SHARE = 0.8  # of the host's varying text in an element that its name does not part
 MAIN_TAGS = ("article", "main")
 MAIN_NAMES = re.compile(r"(?:^|[\s|_-])(?:article|post|entry|story|content|main|body-text)(?:$|[\s|_-])")
 
@@ -213,7 +216,9 @@ class Wrapper:
         self.template = template
         self.main: set[int] = set()
         self.constant: set[int] = set()
+        self.open: set[int] = set()  # set apart by name, yet around the main text (class="has-sidebar")
         self._judge(template)
+        self._open_layouts(template)
         declared = self._declared(template, MAIN_TAGS[:1]) or self._declared(template, MAIN_TAGS[1:])
         named = [] if declared else self._named(template)
         self.declared = bool(declared)
@@ -226,8 +231,37 @@ class Wrapper:
         for k in s.kids:
             self._judge(k)
 
+    def _apart(self, s: Slot) -> bool:
+        return id(s) not in self.open and apart(s)
+
+    def _open_layouts(self, root: Slot) -> None:
+        """Find elements that only their name sets apart but that hold nearly all the varying text, or an article or main with more than all that is not apart."""
+        bulk: dict[int, int] = {}
+
+        def weigh(s: Slot, varying: bool) -> int:
+            own = s.chars - s.link if not (varying and id(s) in self.constant) else 0
+            bulk[id(s)] = 0 if s.tag in APART_TAGS else own + sum([weigh(k, varying) for k in s.kids])
+            return bulk[id(s)]
+
+        def mains(s: Slot) -> list[Slot]:
+            return [] if s.tag in APART_TAGS else [s] if s.tag in MAIN_TAGS else [x for k in s.kids for x in mains(k)]
+
+        varying = bool(weigh(root, True)) or not weigh(root, False)
+        rest, todo = self._mass(root, varying), [root]
+        while todo:
+            s = todo.pop()
+            if s.tag in APART_TAGS or not bulk[id(s)]:
+                continue
+            if apart(s):
+                layout = bulk[id(s)] >= LAYOUT_SHARE * bulk[id(root)] and not READER_NAMES.search(s.sig.split("|", 1)[1])
+                if not layout and all(self._mass(x, varying) <= rest for x in mains(s)):
+                    continue
+                self.open.add(id(s))
+                rest = self._mass(root, varying)
+            todo += sorted(s.kids, key=lambda k: bulk[id(k)])  # the heaviest first
+
     def _declared(self, s: Slot, tags) -> list[Slot]:
-        if apart(s):
+        if self._apart(s):
             return []
         if s.tag in tags and self.mass(s):
             return [s]
@@ -238,7 +272,7 @@ class Wrapper:
         found: list[Slot] = []
 
         def walk(x: Slot) -> None:
-            if not apart(x):
+            if not self._apart(x):
                 if "|" in x.sig and x.tag not in ("body", "html") and MAIN_NAMES.search(x.sig.split("|", 1)[1]):
                     found.append(x)
                 for k in x.kids:
@@ -253,7 +287,7 @@ class Wrapper:
         return self._mass(s, True) or self._mass(s, False)
 
     def _mass(self, s: Slot, varying: bool) -> int:
-        if apart(s):
+        if self._apart(s):
             return 0
         own = s.chars - s.link if not (varying and id(s) in self.constant) else 0
         return own + sum(self._mass(k, varying) for k in s.kids)
@@ -281,8 +315,9 @@ class Wrapper:
 
     def _choose(self, s: Slot, t: Slot | None, scores: dict, inside: bool, parted: bool, chosen: dict) -> None:
         """Decide for every page node, by the template node it aligns to, whether its own text is content."""
-        parted = parted or apart(s)
-        inside = inside or (t is not None and id(t) in self.main)
+        parted = parted or (self._apart(t) if t is not None else apart(s))
+        if t is not None and id(t) in self.main:
+            inside, parted = True, False
         wanted = inside and not parted
         if wanted and t is not None and not self.declared and id(t) in self.constant:
             wanted = False

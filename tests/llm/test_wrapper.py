@@ -43,6 +43,25 @@ def test_awkward_pages(spark):
     assert wrapper.extract(df.limit(0)).count() == 0
 
 
+def test_layout_names_do_not_part_the_main_text():
+    def host(body):
+        pages = [body % (i, i) for i in range(5)]
+        template = wrapper._bare(wrapper.page_slots(pages[0])[1])
+        for p in pages[1:]:
+            wrapper.merge(template, wrapper._bare(wrapper.page_slots(p)[1]))
+        return [wrapper.Wrapper(template).text(p) for p in pages]
+
+    want = [f"story {i} goes on for some words" for i in range(5)]
+    article, side = "<article><p>story %s goes on for some words</p></article>", '<div class="sidebar"><p>box %s</p></div>'
+    for layout in ('class="content-sidebar-wrap"', 'class="has-sidebar"', 'class="with-nav"', 'id="no-header"'):
+        assert host(f"<body><div {layout}>{article}{side}</div></body>") == want
+        assert host(f"<body><div {layout}><div id=with-menu><main>{article[9:-10]}</main></div>{side}</div></body>") == want
+        assert host(f"<body><div {layout}><div><p>story %s goes on for some words</p></div></div>{side}</body>") == want
+    teaser = '<div class="related"><article><p>teaser %s</p></article></div>'
+    assert host(f'<body><div class="has-sidebar">{article}{teaser}</div></body>') == want
+    assert host(f"<body>{article}<div class=comments><p>{'so many words of a reader ' * 20}%s</p></div></body>") == want
+
+
 def test_simple_tree_matching_is_the_largest_ordered_matching():
     def tree(x):
         s = wrapper.Slot(x[0])
