@@ -17,8 +17,9 @@ the most part or lie in an element that says it is something else (navigation,
 footer, aside, form, advert, comments ...). The main text is what the content
 slots of the host's main element hold on a page: its ``article`` or ``main``
 element, or else the element with most varying content. A page is aligned to
-its host's template to find its slots. Inside a declared main element constant
-text stays, so hosts of one page or of copies lose nothing.
+its host's template to find its slots. Inside a declared main element only blocks
+go as constant whose text is the template's on this page as well, and none where
+nothing would remain, so hosts of one page or of copies lose nothing.
 """
 
 from __future__ import annotations
@@ -209,6 +210,12 @@ def _bare(s: Slot) -> Slot:
     return s
 
 
+def _all(s: Slot) -> Iterator[Slot]:
+    yield s
+    for k in s.kids:
+        yield from _all(k)
+
+
 class Wrapper:
     """A host's template with its nodes judged."""
 
@@ -306,6 +313,9 @@ class Wrapper:
         root, slots = page_slots(page)
         chosen: dict[int, bool] = {}
         self._choose(slots, self.template, {}, False, False, chosen)
+        if self.declared and not any(s.own and chosen[id(s.members[0])] for s in _all(slots)):  # its whole main text is constant: a copy
+            chosen = {}
+            self._choose(slots, self.template, {}, False, False, chosen, spare=True)
         if not any(chosen.values()):  # the page lacks the host's main element: it is its own template
             own = Wrapper(slots) if self.template is not slots else self
             if own is not self:
@@ -313,14 +323,18 @@ class Wrapper:
                 own._choose(slots, slots, {}, False, False, chosen)
         return "\n".join(dom.blocks(root, lambda n: chosen.get(id(n), False)))
 
-    def _choose(self, s: Slot, t: Slot | None, scores: dict, inside: bool, parted: bool, chosen: dict) -> None:
-        """Decide for every page node, by the template node it aligns to, whether its own text is content."""
+    def _choose(self, s: Slot, t: Slot | None, scores: dict, inside: bool, parted: bool, chosen: dict, spare: bool = False, running: bool = False) -> None:
+        """Decide for every page node, by the template node it aligns to, whether its own text is content.
+
+        ``spare``: constant text stays. ``running``: the parent's own text is
+        content, and inline elements in a declared main element are part of it.
+        """
         parted = parted or (self._apart(t) if t is not None else apart(s))
         if t is not None and id(t) in self.main:
             inside, parted = True, False
         wanted = inside and not parted
-        if wanted and t is not None and not self.declared and id(t) in self.constant:
-            wanted = False
+        if wanted and t is not None and id(t) in self.constant and not spare:
+            wanted = self.declared and (s.common != t.common or (running and s.tag not in dom.BLOCKS))
         if wanted and t is not None and t.tag in ("ul", "ol", "div", "section", "table") and not (t.chars - t.link) and self._links(t):
             parted, wanted = True, False
         for node in s.members:
@@ -328,8 +342,9 @@ class Wrapper:
         to = {}
         if t is not None:
             to = {i: t.kids[j] for i, j in _children(s, t, scores)[1]}
+        running = wanted and (bool(s.own) or (running and s.tag not in dom.BLOCKS))
         for i, kid in enumerate(s.kids):
-            self._choose(kid, to.get(i), scores, inside, parted, chosen)
+            self._choose(kid, to.get(i), scores, inside, parted, chosen, spare, running)
 
     @staticmethod
     def _links(t: Slot) -> bool:

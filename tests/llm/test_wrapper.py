@@ -62,6 +62,23 @@ def test_layout_names_do_not_part_the_main_text():
     assert host(f"<body>{article}<div class=comments><p>{'so many words of a reader ' * 20}%s</p></div></body>") == want
 
 
+def test_constant_boxes_inside_articles_are_template():
+    def texts(pages):
+        template = wrapper._bare(wrapper.page_slots(pages[0])[1])
+        for p in pages[1:]:
+            wrapper.merge(template, wrapper._bare(wrapper.page_slots(p)[1]))
+        return [wrapper.Wrapper(template).text(p) for p in pages]
+
+    one = '<body><article><h1>Title %s</h1><p>Story %s has <b>Note</b> words</p><div class="letter"><p>Sign up for <i>our</i> letter</p></div><p>Second part %s</p></article></body>'
+    pages = [one % (i, i, i) for i in range(6)]
+    want = [f"Title {i}\nStory {i} has Note words\nSecond part {i}" for i in range(6)]
+    assert texts(pages) == want
+    other = pages[0].replace("Sign up for <i>our</i> letter", "A paragraph of this page")
+    assert texts([*pages, other])[-1] == "Title 0\nStory 0 has Note words\nA paragraph of this page\nSecond part 0"
+    whole = "Title 0\nStory 0 has Note words\nSign up for our letter\nSecond part 0"
+    assert texts([pages[0]]) == [whole] and texts([pages[0]] * 5) == [whole] * 5
+
+
 def test_simple_tree_matching_is_the_largest_ordered_matching():
     def tree(x):
         s = wrapper.Slot(x[0])
