@@ -179,25 +179,40 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2, text_c
     text has fingerprint 0 and links like any other. Repeated rows repeat. An
     empty table gives an empty one. Other columns are ignored.
     """
+    return _classes(docs, shingle, max_bits, text_col, id_col).select(F.col("id").alias(id_col), F.col("fp").alias("simhash"), "component_id")
+
+
+def _classes(docs: DataFrame, shingle: int, max_bits: int, text_col: str, id_col: str) -> DataFrame:
+    """Per row: ``id``, ``fp``, ``root`` (names its component, also where two have one least id) and ``component_id``."""
     rows = saved(fingerprints(spread_small(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))), shingle, "text", "fp").drop("text"), "fingerprints")
     classes = rows.groupBy("fp").agg(F.min("id").alias("least"))
     found = components(links(classes.select("fp"), max_bits))
     labelled = classes.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("component", "fp"))
     best = labelled.groupBy("root").agg(F.min("least").alias("component_id"))
-    members = labelled.select("fp", "root").join(best, "root").select("fp", "component_id")
-    return rows.join(members, "fp").select(F.col("id").alias(id_col), F.col("fp").alias("simhash"), "component_id")
+    members = labelled.select("fp", "root").join(best, "root").select("fp", "root", "component_id")
+    return rows.join(members, "fp").select("id", "fp", "root", "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 2, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """``docs`` with one document of each component: the row of its smallest id.
 
-    Of repeated rows with that id all but one go. Where a component has no id at
-    all, one row of each of its fingerprints stays.
+    Where rows of different texts share that id, the component's own row stays
+    (of the least fingerprint, if several are in it), so an id that heads two
+    components stays twice. Repeated rows count once. Where a component has no
+    id at all, one row of each of its fingerprints stays.
     """
-    classes = near_duplicates(docs, shingle, max_bits, text_col, id_col)
-    heads = classes.where(F.col(id_col) == F.col("component_id")).select(id_col).distinct()
-    named = docs.join(heads, id_col, "left_semi").dropDuplicates([id_col])
-    without = classes.where(F.col("component_id").isNull()).select(F.col("simhash").alias("__lone")).distinct()
+    classes = saved(_classes(docs, shingle, max_bits, text_col, id_col), "classes")
+    heads = classes.where(F.col("id") == F.col("component_id")).groupBy("root", "id").agg(F.min("fp").alias("fp")).select("id", "fp")
+    unlike = classes.groupBy("id").agg((F.min("fp") != F.max("fp")).alias("unlike")).where("unlike")  # ids of rows of different texts
+    unlike = heads.join(unlike.select("id"), "id", "left_semi").select(F.col("id").alias(id_col), F.col("fp").alias("__fp"))
+    plain = heads.select(F.col("id").alias(id_col))
+    if unlike.isEmpty():
+        named = docs.join(plain, id_col, "left_semi").dropDuplicates([id_col])
+    else:  # only these need their fingerprints again
+        named = docs.join(plain.join(unlike, id_col, "left_anti"), id_col, "left_semi").dropDuplicates([id_col])
+        twofold = fingerprints(docs.join(unlike.select(id_col).distinct(), id_col, "left_semi"), shingle, text_col, "__fp")
+        named = named.select(*docs.columns).unionByName(twofold.join(unlike, [id_col, "__fp"], "left_semi").dropDuplicates([id_col, "__fp"]).select(*docs.columns))
+    without = classes.where(F.col("component_id").isNull()).select(F.col("fp").alias("__lone")).distinct()
     bare = fingerprints(docs.where(F.col(id_col).isNull()), shingle, text_col, "__fp")
     bare = bare.join(without, F.col("__fp") == F.col("__lone"), "left_semi").dropDuplicates(["__fp"]).drop("__fp")
     return named.select(*docs.columns).unionByName(bare)

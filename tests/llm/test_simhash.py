@@ -97,6 +97,13 @@ def test_rows_without_ids_keep_one_of_each_fingerprint(spark):
     assert sorted(map(tuple, kept.collect()), key=repr) == sorted({*rows}, key=repr)
 
 
+def test_rows_of_one_id_and_different_texts_each_stay_for_their_component(spark):
+    first, second, third = ("one two three four five six", "far other words stand in here", "something else entirely is said now")
+    rows = [(1, first), (1, second), (2, second), (3, first), (4, third), (3, third), (1, first), (None, third)]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert sorted(map(tuple, kept.collect())) == [(1, second), (1, first), (3, third)]
+
+
 def test_components_of_a_long_path_and_a_star(spark):
     path = spark.range(1, 60).select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst"))
     star = spark.range(101, 160).select(F.col("id").alias("src"), F.lit(100).cast("long").alias("dst"))
