@@ -50,3 +50,34 @@ def saved_table(df: DataFrame, name: str) -> DataFrame:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder below the shared root for one written table."""
     return f"{shared_dir(spark)}/quarry/{name}-{uuid.uuid4().hex}"
+
+
+def saved_buckets(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+    """Write ``df`` hash-bucketed and sorted by ``key`` below the shared root and read it back.
+
+    Joins and aggregations by ``key`` then read the table where it lies; only
+    their other side is shuffled, into ``buckets`` partitions. The catalog entry
+    that carries the bucketing is removed again at once, the files stay.
+    """
+    spark = df.sparkSession
+    entry = f"quarry_{name}_{uuid.uuid4().hex}".replace("-", "_")
+    writer = df.write.bucketBy(buckets, key).sortBy(key).format("parquet")
+    writer.option("path", scratch_path(spark, name)).saveAsTable(entry)
+    table = spark.table(entry)
+    spark.sql(f"DROP TABLE {entry}")
+    return table
+
+
+def release(*frames: DataFrame) -> None:
+    """Delete the written tables that ``frames`` read, if they lie below the shared scratch root (any file system)."""
+    for df in frames:
+        spark = df.sparkSession
+        root = f"{shared_dir(spark)}/quarry/"
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        folders = {str(path_of(f).getParent().toString()) for f in df.inputFiles()}
+        top = path_of(root)
+        scheme = top.getFileSystem(conf).makeQualified(top).toUri().getPath()
+        for folder in folders:
+            if path_of(folder).toUri().getPath().startswith(scheme):
+                path_of(folder).getFileSystem(conf).delete(path_of(folder), True)
