@@ -10,7 +10,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, contamination, curves, langid, ordinal, ppm, simhash, substrings, urls, wrapper
+from quarry.llm import bpe, contamination, curves, langid, linededup, ordinal, ppm, simhash, substrings, trie, urls, vafile, wrapper
 from quarry.llm.common import held_out, spread_small, table
 from quarry.plans.storage import use_local_folder
 
@@ -129,6 +129,34 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that a document of smaller id holds, as counts and a digest."""
+    found = linededup.drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_lines", "n_dropped", _sha256(F.col("kept")).alias("kept_sha256"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nodes of the prefix trie of the conversations, rebuilt with shared beginnings."""
+    turns, members = trie.conversation_turns(table(spark, sf_dir, "conversations"))
+    found = trie.prefix_trie(*trie.share_beginnings(turns, members))
+    return found.select(
+        F.col("seq").alias("conv_id"),
+        "depth",
+        F.col("parent_seq").alias("parent_conv_id"),
+        F.col("n_members").alias("n_convs"),
+        "n_children",
+        "n_leaves",
+        F.col("saved").alias("saved_tokens"),
+        "ends_sha256",
+    )
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every 64-dimensional vector's cluster after five rounds from 40 vectors chosen by hash."""
+    found = vafile.described(*vafile.cluster(table(spark, sf_dir, "embeddings"), k=40, rounds=5, dims=64, scale=256.0))
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
 def importable(spark: SparkSession) -> None:
     """Let Python workers import this package wherever the driver found it, and name a shared folder for local runs."""
     use_local_folder(spark)
@@ -148,7 +176,7 @@ def _query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSess
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_simhash, op2_urls, op3_substrings, op4_quality, op5_ppm, op6_html, op7_neighbours, op8_decontamination, op9_bpe, op10_language]
+    found = [op1_simhash, op2_urls, op3_substrings, op4_quality, op5_ppm, op6_html, op7_neighbours, op8_decontamination, op9_bpe, op10_language, op11_lines, op12_prefix_trie, op13_centroids]
     return {run.__name__: _query(run) for run in found}
 
 
@@ -170,5 +198,87 @@ FROM u LEFT JOIN best ON u.page_id = best.page_id
 """
 
 
+_AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+_LINES_SQL = f"""
+WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+line AS (
+  SELECT doc_id, pos, lines[pos] AS raw,
+         translate(trim(lines[pos], chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), {_AZ}) AS key
+  FROM (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS pos FROM split)
+),
+first AS (SELECT key, min(doc_id) AS doc_id FROM line WHERE length(key) >= 10 GROUP BY key),
+judged AS (SELECT line.*, first.doc_id IS NOT NULL AND first.doc_id <> line.doc_id AS gone FROM line LEFT JOIN first ON line.key = first.key)
+SELECT doc_id, count(*) AS n_lines, CAST(count_if(gone) AS BIGINT) AS n_dropped,
+       sha256(coalesce(string_agg(raw, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
+
+# crc32 of a text of ASCII characters, eight shifts a byte
+_CRC_SQL = """xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(1, length({0}) + 1), lambda i: CAST(ascii(substr({0}, i, 1)) AS BIGINT))),
+  lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [CAST(0 AS BIGINT) FOR i IN range(8)]), lambda x, bit: xor(x >> 1, 3988292384 * (x & 1)))))"""
+_TRIE_SQL = f"""
+WITH RECURSIVE own AS (
+  SELECT conv_id, list(coalesce(role, '') || chr(0) || coalesce(text, '') ORDER BY turn NULLS FIRST) AS seq
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+),
+head AS (SELECT conv_id, seq, CAST({_CRC_SQL.format("CAST(conv_id AS VARCHAR)")} % 6 AS BIGINT) AS h FROM own),
+rebuilt AS (
+  SELECT head.conv_id, list_concat(coalesce(base.seq[1:head.h], []), head.seq[head.h + 1:]) AS seq
+  FROM head LEFT JOIN own AS base ON base.conv_id = head.conv_id - head.conv_id % 100
+),
+path AS (
+  SELECT conv_id, d AS depth, len(seq) AS size, seq[1:d] AS node, CASE WHEN d > 0 THEN length(seq[d]) - position(chr(0) IN seq[d]) ELSE 0 END AS weight
+  FROM (SELECT conv_id, seq, unnest(range(0, len(seq) + 1)) AS d FROM rebuilt)
+),
+node AS (
+  SELECT node, any_value(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(weight) AS weight,
+         coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE size = depth), '') AS ends
+  FROM path GROUP BY node
+),
+child AS (SELECT node[1:len(node) - 1] AS parent, count(*) AS n_children FROM node WHERE depth > 0 GROUP BY parent),
+counted AS (SELECT node.*, coalesce(n_children, 0) AS n_children FROM node LEFT JOIN child ON child.parent = node.node),
+subtree AS (
+  SELECT node[1:d] AS top, count_if(n_children = 0) AS n_leaves, sum((n_convs - 1) * weight) AS saved_tokens
+  FROM (SELECT node, n_children, n_convs, weight, unnest(range(0, depth + 1)) AS d FROM counted) GROUP BY top
+)
+SELECT c.conv_id, CAST(c.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, c.n_convs, c.n_children,
+       CAST(s.n_leaves AS BIGINT) AS n_leaves, CAST(s.saved_tokens AS BIGINT) AS saved_tokens, sha256(c.ends) AS ends_sha256
+FROM counted c JOIN subtree s ON s.top = c.node LEFT JOIN node p ON c.depth > 0 AND p.node = c.node[1:len(c.node) - 1]
+"""
+
+_VECTORS_SQL = """
+kept AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT)) AS vec FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+),
+c0 AS (SELECT row_number() OVER (ORDER BY hash) - 1 AS cluster, vec FROM (SELECT sha256('2:' || CAST(vec_id AS VARCHAR)) AS hash, vec FROM kept ORDER BY hash LIMIT 40))"""
+
+
+def _assign_sql(step: int) -> str:
+    gap = "list_sum(list_transform(list_zip(k.vec, c.vec), lambda p: (p[1] - p[2]) * (p[1] - p[2])))"
+    return f"""
+a{step} AS (
+  SELECT vec_id, any_value(vec) AS vec, min(distance * 64 + cluster) % 64 AS cluster, min(distance * 64 + cluster) // 64 AS distance
+  FROM (SELECT k.vec_id, k.vec, c.cluster, CAST({gap} AS BIGINT) AS distance FROM kept k, c{step} c) GROUP BY vec_id
+)"""
+
+
+def _mean_sql(step: int) -> str:
+    return f"""
+m{step} AS (
+  SELECT cluster, list((total - ((total % n) + n) % n) // n ORDER BY dim) AS vec
+  FROM (SELECT cluster, dim, CAST(sum(x) AS BIGINT) AS total, count(*) AS n FROM (SELECT cluster, unnest(vec) AS x, unnest(range(64)) AS dim FROM a{step}) GROUP BY cluster, dim) GROUP BY cluster
+),
+c{step + 1} AS (SELECT c{step}.cluster, coalesce(m{step}.vec, c{step}.vec) AS vec FROM c{step} LEFT JOIN m{step} ON m{step}.cluster = c{step}.cluster)"""
+
+
+_CENTROIDS_SQL = "WITH " + ",".join([_VECTORS_SQL, *[part for i in range(5) for part in (_assign_sql(i), _mean_sql(i))], _assign_sql(5)]) + """
+SELECT vec_id, CAST(a5.cluster AS INTEGER) AS cluster, CAST(distance AS BIGINT) AS distance,
+       CAST(sum(distance) OVER (PARTITION BY a5.cluster) AS BIGINT) AS cluster_inertia, CAST(sum(distance) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(c5.vec, ',')) AS centroid_sha256
+FROM a5 JOIN c5 ON c5.cluster = a5.cluster
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_urls": _URLS_SQL}
+    return {"op2_urls": _URLS_SQL, "op11_lines": _LINES_SQL, "op12_prefix_trie": _TRIE_SQL, "op13_centroids": _CENTROIDS_SQL}

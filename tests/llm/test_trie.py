@@ -1,0 +1,108 @@
+import hashlib
+import random
+import zlib
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from quarry.llm import trie
+from quarry.llm.queries import op12_prefix_trie
+from tests.conftest import SF_SMALL
+
+SHAPE = "conv_id long, turn long, role string, text string"
+
+
+def brute(rows):
+    """The contract, read off the rebuilt conversations one by one."""
+    talks = defaultdict(list)
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            talks[conv].append((turn is not None, turn or 0, role or "", text or ""))
+    talks = {c: [x[2:] for x in sorted(t)] for c, t in talks.items()}
+    rebuilt = {}
+    for c, own in talks.items():
+        h = zlib.crc32(str(c).encode()) % 6
+        rebuilt[c] = talks.get(c - c % 100, [])[:h] + own[h:]
+    members, ends, children = defaultdict(list), defaultdict(list), defaultdict(set)
+    for c, seq in rebuilt.items():
+        for d in range(len(seq) + 1):
+            members[tuple(seq[:d])].append(c)
+            if d:
+                children[tuple(seq[: d - 1])].add(tuple(seq[:d]))
+        ends[tuple(seq)].append(c)
+    leaves, saved = defaultdict(int), defaultdict(int)
+    for node, who in members.items():
+        value = (len(who) - 1) * len(node[-1][1]) if node else 0
+        for d in range(len(node) + 1):
+            saved[node[:d]] += value
+            leaves[node[:d]] += not children[node]
+    out = set()
+    for node, who in members.items():
+        text = ",".join(map(str, sorted(ends[node])))
+        parent = min(members[node[:-1]]) if node else None
+        out.add((min(who), len(node), parent, len(who), len(children[node]), leaves[node], saved[node], hashlib.sha256(text.encode()).hexdigest()))
+    return out
+
+
+def got(df):
+    columns = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
+    rows = [tuple(r[c] for c in columns) for r in df.collect()]
+    assert len(rows) == len(set(rows))
+    return set(rows)
+
+
+def run(spark, tmp_path_factory, rows, extra=False):
+    df = spark.createDataFrame(rows, SHAPE).repartition(3)
+    if extra:
+        df = df.withColumns({c: F.lit(f"clash {c}") for c in ("seq", "pos", "token", "weight", "name", "depth", "part", "at")})
+    folder = str(tmp_path_factory.mktemp("talks"))
+    df.write.parquet(f"{folder}/conversations.parquet")
+    return got(op12_prefix_trie(spark, folder))
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_small_alphabets_match_brute_force(spark, tmp_path_factory, seed):
+    rng = random.Random(seed)
+    rows = []
+    for c in rng.sample(range(-3, 420), 120):
+        for t in range(rng.choice([1, 2, 3, 5, 9, 17])):
+            rows.append((c, t, rng.choice(["user", "assistant"]), rng.choice(["a", "bé", "日本"])))
+    assert run(spark, tmp_path_factory, rows) == brute(rows)
+
+
+def test_nulls_ties_empty_turns_and_clashing_columns(spark, tmp_path_factory):
+    rows = [(200, i, "user", "same") for i in range(4)]
+    rows += [(c, i, "user", "same") for c in (201, 202, 203) for i in range(3)]
+    rows += [(205, None, "user", "first"), (205, 1, None, None), (205, 1, None, None), (205, 0, "", "")]
+    rows += [(300, 0, None, None), (301, 0, "user", "short"), (999, 0, "user", "its base is absent"), (None, 0, "user", "no conversation")]
+    rows += [(400, 0, "us", "erhi"), (401, 0, "user", "hi")]
+    assert run(spark, tmp_path_factory, rows, extra=True) == brute(rows)
+
+
+def test_a_long_conversation_that_spans_partitions(spark, tmp_path_factory):
+    rng = random.Random(3)
+    long = [rng.choice("xy") for _ in range(700)]
+    rows = [(0, i, "user", t) for i, t in enumerate(long)] + [(100, i, "user", t) for i, t in enumerate(long[:650])]
+    rows += [(c, i, "user", t) for c in range(1000, 1040) for i, t in enumerate(long[: rng.randint(0, 40)] + ["end"])]
+    assert run(spark, tmp_path_factory, rows) == brute(rows)
+
+
+def test_empty_and_given_tables(spark, tmp_path_factory):
+    assert run(spark, tmp_path_factory, []) == set()
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF_SMALL}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    assert got(op12_prefix_trie(spark, SF_SMALL)) == brute(rows)
+
+
+def test_end_digests_over_many_blocks(spark):
+    ids = [-70_000, -1, 0, 5, 65_535, 65_536, 200_000, 3]
+    ends = spark.createDataFrame([(b"n", i) for i in ids] + [(b"m", 9)], "name binary, seq long").repartition(4)
+    found = {bytes(r["name"]): r["ends"] for r in trie.end_digests(ends).collect()}
+    assert found == {b"n": hashlib.sha256(",".join(map(str, sorted(ids))).encode()).hexdigest(), b"m": hashlib.sha256(b"9").hexdigest()}
+
+
+def test_names_need_whole_and_equal_prefixes(spark):
+    tokens = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (2, 1, "ab")], "seq long, pos long, t string")
+    tokens = tokens.select("seq", "pos", trie.token(F.col("t")).alias("token"), F.lit(1).cast("long").alias("weight"))
+    nodes = trie.prefix_trie(tokens, tokens.select("seq").distinct())
+    assert sorted((r["seq"], r["depth"], r["n_members"]) for r in nodes.collect()) == [(1, 0, 2), (1, 1, 1), (1, 2, 1), (2, 1, 1)]
