@@ -17,8 +17,10 @@ is ever joined, a passage in a third of all documents costs one partial row a
 task, and a group of thousands of copies costs what as many other rows do.
 Texts are shuffled once (the exchange is reused by the last join).
 
-Hashes have 64 bits; with n distinct windows the chance that any two collide
-is below n^2 / 2^65.
+Seeds are compared by 64 bits: a collision only keeps a window for the next
+step. Windows are compared by 128 bits, two hashes that mix whole words in
+order (``words.joined``); with n distinct windows the chance that any two collide
+is about n^2 / 2^129.
 """
 
 from __future__ import annotations
@@ -32,22 +34,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.common import numbered
-from quarry.llm.words import finish, powers, word_hashes
+from quarry.llm.words import window_hashes, word_hashes
 
 SEED_WORDS = 10  # words of a seed
-# Fixed value: odd base of the polynomial hash of windows modulo 2^64.
-WORD_BASE = 0xAF251AF3B0F025B5
-
-
-def window_hashes(words: np.ndarray, width: int) -> np.ndarray:
-    """A 64-bit hash of every ``width`` consecutive words."""
-    n = len(words) - width + 1
-    if n <= 0:
-        return np.empty(0, np.uint64)
-    up, down = powers(WORD_BASE, len(words))
-    sums = np.zeros(len(words) + 1, np.uint64)
-    np.cumsum(words * up[: len(words)], out=sums[1:])
-    return finish((sums[width:] - sums[:-width]) * down[:n])
 
 
 def elected(words: np.ndarray, width: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -68,25 +57,23 @@ def _raw(text: pa.Scalar) -> bytes:
     return (text.as_py() or "").encode("utf-8", "surrogatepass")
 
 
-def _rows(batches: Iterator[pa.RecordBatch], per_row: Callable[[dict], tuple[np.ndarray, np.ndarray]], flush: int = 1 << 20) -> Iterator[pa.RecordBatch]:
-    """Hash, row and position of what ``per_row`` finds in each row, in bounded batches."""
-    names = ["hash", "row", "pos"]
+def _rows(batches: Iterator[pa.RecordBatch], per_row: Callable[[dict], tuple[np.ndarray, ...]], names: list[str], flush: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Positions and hashes of what ``per_row`` finds in each row, in bounded batches."""
     for batch in batches:
-        hashes, rows, places, size = [], [], [], 0
+        columns, size = [[] for _ in range(len(names) + 2)], 0
 
         def out() -> pa.RecordBatch:
-            made = pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (hashes, rows, places)], names)  # noqa: B023
-            for x in (hashes, rows, places):  # noqa: B023
+            made = pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in columns], ["row", "pos", *names])  # noqa: B023
+            for x in columns:  # noqa: B023
                 x.clear()
             return made
 
         for i, row in enumerate(batch["row"].to_pylist()):
-            h, pos = per_row({c: batch[c][i] for c in batch.schema.names})
-            if len(h):
-                hashes.append(h.view(np.int64))
-                rows.append(np.full(len(h), row, np.int64))
-                places.append(pos.astype(np.int32))
-                size += len(h)
+            pos, *hashes = per_row({c: batch[c][i] for c in batch.schema.names})
+            if len(pos):
+                for column, values in zip(columns, [np.full(len(pos), row, np.int64), pos.astype(np.int32), *(h.view(np.int64) for h in hashes)], strict=True):
+                    column.append(values)
+                size += len(pos)
             if size >= flush:
                 yield out()
                 size = 0
@@ -94,15 +81,19 @@ def _rows(batches: Iterator[pa.RecordBatch], per_row: Callable[[dict], tuple[np.
             yield out()
 
 
+def _hashes(found: DataFrame) -> list[str]:
+    return [c for c in found.columns if c not in ("row", "pos")]
+
+
 def _alone(found: DataFrame, name: str) -> DataFrame:
-    """Per row, the positions whose hash occurs nowhere else."""
-    once = found.groupBy("hash").agg(F.count("*").alias("n"), F.min("row").alias("row"), F.min("pos").alias("pos")).where(F.col("n") == 1)
+    """Per row, the positions whose hash (all columns but the place) occurs nowhere else."""
+    once = found.groupBy(*_hashes(found)).agg(F.count("*").alias("n"), F.min("row").alias("row"), F.min("pos").alias("pos")).where(F.col("n") == 1)
     return once.groupBy("row").agg(F.collect_list("pos").alias(name))
 
 
 def _judged(found: DataFrame) -> DataFrame:
     """Per row, the positions whose hash occurs nowhere else, and those where a hash occurs again but here first (least row and position)."""
-    each = found.groupBy("hash").agg(F.count("*").alias("n"), F.min(F.struct("row", "pos")).alias("at")).select("at.row", "at.pos", "n")
+    each = found.groupBy(*_hashes(found)).agg(F.count("*").alias("n"), F.min(F.struct("row", "pos")).alias("at")).select("at.row", "at.pos", "n")
     lone, first = (F.collect_list(F.when(which, F.col("pos"))) for which in (F.col("n") == 1, F.col("n") > 1))  # nulls are left out
     return each.groupBy("row").agg(lone.alias("lone_windows"), first.alias("first_windows"))
 
@@ -136,18 +127,21 @@ def repeats(docs: DataFrame, min_words: int = 50, seed_words: int = SEED_WORDS,
     def seeds_of(row: dict) -> tuple[np.ndarray, np.ndarray]:
         hashes, chosen = elected(word_hashes(_raw(row["text"])), width, seed)
         places = np.unique(chosen)
-        return hashes[places], places
+        return places, hashes[places]
 
-    seeds = plain.mapInArrow(lambda b: _rows(b, seeds_of), "hash long, row long, pos int")
+    seeds = plain.mapInArrow(lambda b: _rows(b, seeds_of, ["hash"]), "row long, pos int, hash long")
     seeded = texts.join(_alone(seeds, "lone_seeds"), "row", "left")
 
     def windows_of(row: dict) -> tuple[np.ndarray, np.ndarray]:
-        words = word_hashes(_raw(row["text"]))
+        raw = _raw(row["text"])
+        words = word_hashes(raw)
         places = _candidates(words, row["lone_seeds"], width, seed)
-        return window_hashes(words, width)[places], places
+        if not len(places):
+            return places, np.empty(0, np.uint64), np.empty(0, np.uint64)
+        return places, window_hashes(words, width)[places], window_hashes(word_hashes(raw, lane=1), width)[places]
 
     # the same columns as in the last join, so that both share one exchange of the texts
-    windows = seeded.select("row", "id", "text", "lone_seeds").mapInArrow(lambda b: _rows(b, windows_of), "hash long, row long, pos int")
+    windows = seeded.select("row", "id", "text", "lone_seeds").mapInArrow(lambda b: _rows(b, windows_of, ["hash", "more"]), "row long, pos int, hash long, more long")
     if keep_first:
         judged = seeded.join(_judged(windows), "row", "left")
     else:

@@ -6,7 +6,7 @@ import pytest
 
 from quarry.llm import substrings
 from quarry.llm.queries import op3_substrings
-from quarry.llm.words import word_hashes
+from quarry.llm.words import window_hashes, word_hashes
 from tests.conftest import SF_SMALL
 from tests.llm import awkward
 
@@ -78,7 +78,7 @@ def test_equal_windows_elect_equal_seeds():
     words = " ".join(rng.choice("abc") for _ in range(300)).encode()
     hashes = word_hashes(words)
     seeds, chosen = substrings.elected(hashes, 20, 5)
-    windows = substrings.window_hashes(hashes, 20)
+    windows = window_hashes(hashes, 20)
     by_window = {}
     for i, w in enumerate(windows.tolist()):
         assert by_window.setdefault(w, chosen[i] - i) == chosen[i] - i
@@ -94,6 +94,40 @@ def test_word_hashes_follow_the_words_in_blocks(monkeypatch):
     assert len(set(whole)) == len(set(raw.split()))
 
 
+def thue_morse(n, one="a", two="b"):
+    return "".join((one, two)[i.bit_count() % 2] for i in range(n))
+
+
+def test_texts_made_to_collide_under_polynomial_hashes_do_not(spark):
+    pairs = [(thue_morse(1024), thue_morse(1024, "b", "a")), (thue_morse(64, "ab", "ba"), thue_morse(64, "ba", "ab"))]
+    texts = []
+    for n, (one, two) in enumerate(pairs):
+        around = [f"w{n}x{i}" for i in range(34)]
+        texts += [" ".join([*around[:17], one, *around[17:]]), " ".join([*around[:17], two, *around[17:]])]
+    texts += [" ".join(thue_morse(2048)), " ".join(thue_morse(2048, "c", "d"))]  # windows of words this time
+    rng = random.Random(5)
+    base = [rng.choice("pq") for _ in range(40)]
+    for i in range(200):  # all differ in a few words only
+        texts.append(" ".join([f"n{i}", *(w if rng.random() > 0.1 else "r" for w in base)]))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in substrings.repeats(df, 35).collect()}
+    want = dict(enumerate(brute(texts, 35)))
+    assert got == want and all(want[i][1] == 0 for i in range(4))
+
+
+def test_word_and_window_hashes_tell_like_ones_apart():
+    rng = random.Random(6)
+    words = {b"a" * n for n in range(1, 200)} | {bytes(rng.choice(b"ab") for _ in range(rng.randint(1, 90))) for _ in range(3000)}
+    words |= {thue_morse(1024).encode(), thue_morse(1024, "b", "a").encode()}
+    for lane in (0, 1):
+        assert len(set(word_hashes(b" ".join(words), lane=lane).tolist())) == len(words)
+    for width in (1, 2, 3, 7, 32, 35):
+        text = [rng.choice("ab") for _ in range(2000)]
+        hashes = window_hashes(word_hashes(" ".join(text).encode()), width).tolist()
+        windows = ["".join(text[i : i + width]) for i in range(len(hashes))]
+        assert len(hashes) == 2001 - width and len(set(hashes)) == len(set(windows)) == len(set(zip(hashes, windows, strict=True)))
+
+
 def test_query(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect()
     want = {d.doc_id: (n, r, hashlib.sha256(k.encode()).hexdigest()) for d, (n, r, k) in zip(docs, brute([d.text for d in docs], 35), strict=True)}
