@@ -12,7 +12,10 @@ Runs of siblings with one signature fold into one node, so lists and
 paragraphs of any length align as one slot.
 
 A template node whose text is the same on most pages of the host is constant:
-template. A varying node is a slot. Slots are content unless they are links for
+template. While pages are folded, a node keeps a few frequent texts by
+Misra-Gries counting, which merges in any order and says by how much it may
+have undercounted. Where that leaves open whether a node is constant, the
+pages of its host are counted once more, exactly. A varying node is a slot. Slots are content unless they are links for
 the most part or lie in an element that says it is something else (navigation,
 footer, aside, form, advert, comments ...). The main text is what the content
 slots of the host's main element hold on a page: its ``article`` or ``main``
@@ -40,6 +43,7 @@ from quarry.llm.urls import host_of
 
 CONSTANT_SHARE = 0.8  # of a host's pages with the same text in a node
 CONSTANT_PAGES = 3  # pages that show it at least
+VOTES = 4  # frequent texts kept of a node
 LINK_SHARE = 0.5  # of a slot's characters that are link text
 MANY_CHILDREN = 40  # beyond, siblings fold by signature wherever they stand
 BROADCAST_BYTES = 32 << 20  # of all templates
@@ -69,24 +73,50 @@ def apart(node) -> bool:
 
 
 class Slot:
-    """A template node: how many pages show it, and what text they have in it."""
+    """A template node: how many pages show it, and what text they have in it.
 
-    __slots__ = ("chars", "common", "count", "kids", "link", "members", "own", "pages", "sig", "tag")
+    ``votes`` holds at most ``VOTES`` text hashes with their counts, each short
+    of the true one by ``lost`` at most; a text that is not held has no more than that.
+    """
+
+    __slots__ = ("chars", "kids", "link", "lost", "members", "own", "pages", "sig", "tag", "votes")
 
     def __init__(self, sig: str):
         self.sig, self.tag = sig, sig.split("|", 1)[0]
-        self.pages = self.chars = self.link = self.common = self.count = 0
+        self.pages = self.chars = self.link = self.lost = 0
+        self.votes: dict[int, int] = {}
         self.kids: list[Slot] = []
         self.members: list[Node] = []
         self.own = ""
 
+    @property
+    def common(self) -> int | None:
+        """The most frequent text's hash (ties: the smallest)."""
+        return min(self.votes, key=lambda h: (-self.votes[h], h), default=None)
+
+    def vote(self, votes: dict[int, int], lost: int) -> None:
+        for h, n in votes.items():
+            self.votes[h] = self.votes.get(h, 0) + n
+        self.lost += lost
+        if len(self.votes) > VOTES:
+            off = sorted(self.votes.values(), reverse=True)[VOTES]
+            self.votes = {h: n - off for h, n in self.votes.items() if n > off}
+            self.lost += off
+
+    def constant(self) -> bool | None:
+        """Is its text the same on most of its pages? None if the counts leave it open."""
+        least = max(CONSTANT_PAGES, CONSTANT_SHARE * self.pages)
+        most = self.votes.get(self.common, 0)
+        return True if most >= least else None if most + self.lost >= least else False
+
     def dump(self) -> list:
-        return [self.sig, self.pages, self.chars, self.link, self.common, self.count, [k.dump() for k in self.kids]]
+        return [self.sig, self.pages, self.chars, self.link, sorted(self.votes.items()), self.lost, [k.dump() for k in self.kids]]
 
     @staticmethod
     def load(x: list) -> Slot:
         s = Slot(x[0])
-        s.pages, s.chars, s.link, s.common, s.count = x[1:6]
+        s.pages, s.chars, s.link = x[1:4]
+        s.votes, s.lost = dict(map(tuple, x[4])), x[5]
         s.kids = [Slot.load(k) for k in x[6]]
         return s
 
@@ -131,7 +161,7 @@ def _settle(s: Slot) -> Slot:
     """Fold the children top-down (folding parents first joins their children) and note the own text's hash."""
     s.kids = [_settle(k) for k in _fold(s.kids)]
     if s.own:
-        s.common, s.count = zlib.crc32(s.own.encode("utf-8", "surrogatepass")), 1
+        s.votes = {zlib.crc32(s.own.encode("utf-8", "surrogatepass")): 1}
     return s
 
 
@@ -183,10 +213,7 @@ def merge(template: Slot, other: Slot, scores: dict | None = None) -> None:
     template.pages += other.pages
     template.chars += other.chars
     template.link += other.link
-    if template.common == other.common:
-        template.count += other.count
-    elif other.count > template.count:
-        template.common, template.count = other.common, other.count
+    template.vote(other.votes, other.lost)
     _, pairs = _children(template, other, scores)
     to = {j: i for i, j in pairs}
     kids, at = [], 0
@@ -233,7 +260,7 @@ class Wrapper:
             self.main.add(id(s))
 
     def _judge(self, s: Slot) -> None:
-        if s.count >= CONSTANT_PAGES and s.count >= CONSTANT_SHARE * s.pages:
+        if s.constant():
             self.constant.add(id(s))
         for k in s.kids:
             self._judge(k)
@@ -378,6 +405,75 @@ def _induce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out()
 
 
+def _tally(t: Slot) -> list[int]:
+    """Per template node in tree order, 0 twice: pages seen, and those with its most frequent text."""
+    return [0] * (2 * sum(1 for _ in _all(t)))
+
+
+def _recount(s: Slot, t: Slot, places: dict[int, int], tally: list[int], scores: dict) -> None:
+    """Add one page, aligned to its host's template, to the template's tally."""
+    at = places[id(t)]
+    tally[2 * at] += 1
+    tally[2 * at + 1] += bool(s.votes) and s.common == t.common
+    for i, j in _children(s, t, scores)[1]:
+        _recount(s.kids[i], t.kids[j], places, tally, scores)
+
+
+def _counted(template: str, tally: list[int]) -> str:
+    """The template with exact counts in place of estimates."""
+    t = Slot.load(json.loads(template))
+    for at, s in enumerate(_all(t)):
+        s.pages, s.votes, s.lost = tally[2 * at], {s.common: tally[2 * at + 1]} if s.votes else {}, 0
+    return json.dumps(t.dump())
+
+
+def settled(pages: DataFrame, templates: DataFrame, html_col: str) -> DataFrame:
+    """``templates`` with every node's constancy known: the hosts that leave it open for a node are counted once more.
+
+    ``pages`` has ``__host`` beside the page. A task adds its pages of a host up
+    to one tally, and tallies add up in an aggregation.
+    """
+    unsure = F.arrow_udf(_unsure, "boolean")(F.col("template"))
+    judged = saved(templates.withColumn("unsure", unsure), "templates")
+    again = judged.where("unsure").drop("unsure")
+    if again.isEmpty():
+        return judged.drop("unsure")
+    rows, named, keys = _beside(pages.select("__host", html_col), again, html_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, tuple[Slot, dict[int, int], list[int]]] = {}
+        for batch in batches:
+            for host, template, page in zip(batch["__host"].to_pylist(), batch["__template"], batch[html_col], strict=True):
+                if host not in known:
+                    t = Slot.load(json.loads(template.as_py()))
+                    known[host] = t, {id(x): at for at, x in enumerate(_all(t))}, _tally(t)
+                t, places, tally = known[host]
+                _recount(page_slots(page.as_py())[1], t, places, tally, {})
+            yield pa.RecordBatch.from_arrays([pa.array(list(known), pa.string()), pa.array([x[2] for x in known.values()], pa.list_(pa.int64()))], ["host", "tally"])
+            known.clear()
+
+    met = rows.join(named, keys).select("__host", "__template", html_col)
+    tallies = met.mapInArrow(run, "host string, tally array<long>").select("host", F.posexplode("tally").alias("at", "n"))
+    summed = tallies.groupBy("host", "at").agg(F.sum("n").alias("n"))
+    listed = summed.groupBy("host").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "n"))), lambda x: x["n"]).alias("tally"))
+
+    def exact(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        for template, tally in batches:
+            yield pa.array([_counted(t, n) for t, n in zip(template.to_pylist(), tally.to_pylist(), strict=True)], pa.string())
+
+    exact.__annotations__ = {"batches": Iterator[tuple[pa.Array, ...]], "return": Iterator[pa.Array]}
+    done = again.join(listed, "host").withColumn("template", F.arrow_udf(exact, "string")(F.col("template"), F.col("tally"))).drop("tally")
+    return saved(judged.where("NOT unsure").drop("unsure").unionByName(done), "templates")
+
+
+def _unsure(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for batch in batches:
+        yield pa.array([any(s.constant() is None for s in _all(Slot.load(json.loads(t)))) for t in batch.to_pylist()], pa.bool_())
+
+
+_unsure.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+
+
 def _merge_group(key: tuple[pa.Scalar, ...], batch: pa.Table) -> pa.Table:
     template: Slot | None = None
     for x in sorted(batch["template"].to_pylist()):  # one result whatever the order of arrival
@@ -406,7 +502,8 @@ def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html", out_
     are judged one by one against their host's template; repeated rows repeat.
     A column already named ``out_col`` is replaced.
     """
-    pages, templates, keys = _beside(pages.withColumn("__host", host_of(F.col(url_col))), saved(induce(pages, url_col, html_col), "templates"), html_col)
+    hosted = pages.withColumn("__host", host_of(F.col(url_col)))
+    pages, templates, keys = _beside(hosted, settled(hosted, induce(pages, url_col, html_col), html_col), html_col)
     known: dict[str, Wrapper] = {}
 
     def run(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:

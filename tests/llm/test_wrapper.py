@@ -1,6 +1,9 @@
 import html
+import random
 import re
 
+import pytest
+
 from quarry.llm import dom, wrapper
 from quarry.llm.queries import op6_html
 from tests.conftest import SF_ORACLE
@@ -79,6 +82,67 @@ def test_constant_boxes_inside_articles_are_template():
     assert texts([pages[0]]) == [whole] and texts([pages[0]] * 5) == [whole] * 5
 
 
+def folded(pages):
+    template = wrapper._bare(wrapper.page_slots(pages[0])[1])
+    for p in pages[1:]:
+        wrapper.merge(template, wrapper._bare(wrapper.page_slots(p)[1]))
+    return template
+
+
+BOXED = "<body><article><h1>Title %s</h1><p>Story %s</p><div class=box><p>%s</p></div></article></body>"
+
+
+@pytest.mark.parametrize("partitions", [1, 8, 64])
+@pytest.mark.parametrize("odd", ["first", "middle", "last"])
+def test_the_order_of_pages_does_not_matter(spark, partitions, odd):
+    pages = [BOXED % (i, i, "Sign up for our letter") for i in range(40)]
+    pages.insert({"first": 0, "middle": 20, "last": 40}[odd], BOXED % ("x", "x", "A paragraph of this page"))
+    rows = [(i, "http://h.example/", p) for i, p in enumerate(pages)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    got = {r.page_id: r.text for r in wrapper.extract(df.repartition(partitions) if partitions > 1 else df).collect()}
+    for i, p in enumerate(pages):
+        own = "A paragraph of this page" in p
+        assert "letter" not in got[i] and got[i].startswith("Title") and ("A paragraph" in got[i]) == own
+    assert sum("A paragraph of this page" in t for t in got.values()) == 1
+
+
+def test_votes_bound_the_counts_in_any_order():
+    rng = random.Random(4)
+    for _ in range(200):
+        texts = [1] * rng.randint(0, 60) + [rng.randint(2, 9) for _ in range(rng.randint(0, 30))] + list(range(100, 100 + rng.randint(1, 30)))
+        rng.shuffle(texts)
+        parts = [wrapper.Slot("p") for _ in range(4)]
+        for i, t in enumerate(texts):
+            parts[i % 4].vote({t: 1}, 0)
+        whole = wrapper.Slot("p")
+        whole.pages = len(texts)
+        for p in parts:
+            whole.vote(p.votes, p.lost)
+        true = {t: texts.count(t) for t in set(texts)}
+        assert all(n <= true[t] <= n + whole.lost for t, n in whole.votes.items())
+        assert all(n <= whole.lost for t, n in true.items() if t not in whole.votes)
+        most = max(true.values())
+        want = most >= max(wrapper.CONSTANT_PAGES, wrapper.CONSTANT_SHARE * len(texts))
+        assert whole.constant() in (want, None)
+
+
+def test_open_counts_are_settled_by_counting_again(spark, monkeypatch):
+    monkeypatch.setattr(wrapper, "VOTES", 1)
+    boxes = ["Sign up for our letter"] * 81 + [f"own words {i}" for i in range(19)]
+    other = ["Sign up for our letter"] * 79 + [f"own words {i}" for i in range(21)]
+    rng = random.Random(8)
+    rng.shuffle(boxes)
+    rng.shuffle(other)
+    rows = [(i, "http://most.example/", BOXED % (i, i, b)) for i, b in enumerate(boxes)] + [(1000 + i, "http://less.example/", BOXED % (i, i, b)) for i, b in enumerate(other)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert any(s.constant() is None for s in wrapper._all(folded([r[2] for r in rows[:100]])))
+    for n in (1, 7):
+        got = {r.page_id: r.text for r in wrapper.extract(df.repartition(n)).collect()}
+        assert sum("letter" in t for i, t in got.items() if i < 1000) == 0
+        assert sum("letter" in t for i, t in got.items() if i >= 1000) == 79
+        assert sum("own words" in t for t in got.values()) == 40
+
+
 def test_simple_tree_matching_is_the_largest_ordered_matching():
     def tree(x):
         s = wrapper.Slot(x[0])
