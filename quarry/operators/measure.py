@@ -14,8 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.plans.joins import join_null_safe
-from quarry.plans.ranking import DEFAULT_GROUP_ROWS, exact_median, global_row_number
-from quarry.plans.storage import saved_table
+from quarry.plans.ranking import DEFAULT_GROUP_ROWS, exact_median, global_row_number, largest_group
 
 TRIALS = (1, 2, 3)
 # Timings are reported with six decimals.
@@ -42,12 +41,11 @@ def trial_summary(
     """config, median_seconds, minimum_seconds, maximum_seconds, average_seconds, measurement_count
     (+ average_materialisation_seconds when ``materialise`` is given).
 
-    ``df`` is read twice: once for the plain statistics, which also give the
-    largest configuration's size, and once for the exact median by the route
-    that size allows (:func:`quarry.plans.exact_median`; both give the same
-    rows, null and all-null configurations included). The summary, a row per
-    configuration, is written to the shared folder, so what uses it again
-    does not read ``df`` again.
+    Nothing is written and the result is lazy; one job before it finds the
+    largest configuration's size (no value column is read for it). Where that
+    is at most ``max_group_rows``, one aggregation gives every statistic;
+    beyond, the median is selected by narrowing (:func:`quarry.plans.exact_median`;
+    the same rows, null and all-null configurations included).
     """
     aggs = [
         F.min(seconds).alias("minimum_seconds"),
@@ -57,18 +55,15 @@ def trial_summary(
     ]
     if materialise is not None:
         aggs.append(F.round(F.avg(materialise), SECONDS_PLACES).alias("average_materialisation_seconds"))
-    stats = saved_table(df.groupBy(config).agg(*aggs, F.count(F.lit(1)).alias("__rows")), "trial-stats")
-    most = stats.agg(F.max("__rows")).first()[0] or 0
-    medians = exact_median(df.select(config, seconds), [config], seconds, "median_seconds", max_group_rows, largest_group=most)
-    stats = join_null_safe(stats.drop("__rows"), medians, [config], "left")
-    summary = stats.select(
-        config,
-        F.round("median_seconds", SECONDS_PLACES).alias("median_seconds"),
-        "minimum_seconds",
-        "maximum_seconds",
-        *[c for c in stats.columns if c not in (config, "median_seconds", "minimum_seconds", "maximum_seconds")],
-    )
-    return saved_table(summary, "trial-summary")
+    largest = largest_group(df, [config])
+    if max_group_rows is not None and largest <= max_group_rows:
+        stats = df.groupBy(config).agg(F.median(seconds).alias("median_seconds"), *aggs)
+    else:
+        medians = exact_median(df.select(config, seconds), [config], seconds, "median_seconds", max_group_rows, largest)
+        stats = join_null_safe(df.groupBy(config).agg(*aggs), medians, [config], "left")
+    others = [c for c in stats.columns if c not in (config, "median_seconds", "minimum_seconds", "maximum_seconds")]
+    median = F.round("median_seconds", SECONDS_PLACES).alias("median_seconds")
+    return stats.select(config, median, "minimum_seconds", "maximum_seconds", *others)
 
 
 def trial_improvement(summary: DataFrame, baseline: str, config: str = "config") -> DataFrame:
@@ -96,10 +91,16 @@ def trial_pivot(
     """Long (one row per config x trial) to wide: config, trial_1_seconds, trial_2_seconds, ...
 
     The trial values are listed, so the pivot is a single aggregation with no
-    extra job to discover them.
+    extra job to discover them. A trial outside the list (or a null one) fails
+    the query that uses the result: no measurement is left out unsaid.
     """
-    wide = totals.groupBy(config).pivot(trial, list(trials)).agg(F.max(seconds))
-    return wide.select(config, *[F.col(str(t)).alias(f"trial_{t}_seconds") for t in trials])
+    shown = ", ".join(map(str, trials))
+    listed = F.coalesce(F.col(trial).isin(list(trials)), F.lit(False))
+    refused = F.raise_error(F.concat(F.lit("trial "), F.coalesce(F.col(trial).cast("string"), F.lit("null")), F.lit(f" is not one of {shown}")))
+    checked = totals.withColumn(seconds, F.when(listed, F.col(seconds)).otherwise(refused))
+    columns = [F.max(F.when(F.col(trial) == t, F.col(seconds))).alias(f"trial_{t}_seconds") for t in trials]
+    strays = F.max(F.when(~listed, F.col(seconds))).alias("__strays")  # evaluates to the error
+    return checked.groupBy(config).agg(*columns, strays).where(F.col("__strays").isNull()).drop("__strays")
 
 
 def trial_best(summary: DataFrame, config: str = "config") -> DataFrame:

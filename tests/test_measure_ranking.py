@@ -4,6 +4,7 @@ import statistics
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from quarry import operators as op
 from quarry.plans.ranking import exact_median, global_row_number, groups_at_most
@@ -124,3 +125,60 @@ def test_summary_is_the_same_on_both_routes(spark):
     small = sorted(map(tuple, op.trial_summary(df).collect()), key=repr)
     large = sorted(map(tuple, op.trial_summary(df, max_group_rows=0).collect()), key=repr)
     assert small == large and len(small) == 3
+
+
+def test_medians_of_odd_values_by_every_route(spark, monkeypatch):
+    from quarry.plans import ranking
+
+    inf, nan = float("inf"), float("nan")
+    groups = {
+        "inf": [inf] * 5 + [1.0, -inf], "nan": [nan] * 4 + [1.0, 2.0, 3.0], "mixed": [inf, nan, nan, inf], "wide": [1e308, -1e308, 1e-300, 0.0, 5.0, 6.0],
+        "one": [3.5], "nulls": [None, None], "low": [-inf, -inf, 0.0], "skew": [10.0**i for i in range(-200, 200)] + [7.0] * 200, None: [1.0, None, 4.0],
+    }
+    df = spark.createDataFrame([(g, v) for g, vs in groups.items() for v in vs], "g string, v double").repartition(3)
+    want = {r.g: repr(r.m) for r in df.groupBy("g").agg(F.median("v").alias("m")).collect()}
+    for buckets in (2, 4096):
+        monkeypatch.setattr(ranking, "BUCKETS", buckets)
+        for limit in (None, 1, 399):
+            got = {r.g: repr(r["median"]) for r in exact_median(df, ["g"], "v", max_group_rows=limit).collect()}
+            assert got == want, (buckets, limit)
+
+
+def test_summary_writes_nothing_and_runs_one_job_ahead(spark, monkeypatch, tmp_path):
+    from quarry.plans import storage
+
+    def refuse(*_):
+        raise AssertionError("a table was written")
+
+    for name in ("saved_table", "scratch_path", "shared_dir"):
+        monkeypatch.setattr(storage, name, refuse)
+    rows = [("a", float(i)) for i in range(9)] + [("b", None)]
+    df = spark.createDataFrame(rows, "config string, seconds double")
+    for limit in (1_000_000, 2, None):
+        got = {r.config: (r.median_seconds, r.minimum_seconds, r.maximum_seconds, r.average_seconds, r.measurement_count) for r in op.trial_summary(df, max_group_rows=limit).collect()}
+        assert got == {"a": (4.0, 0.0, 8.0, 4.0, 9), "b": (None, None, None, None, 0)}
+
+
+def test_rows_of_one_value_are_ranked_over_many_partitions(spark):
+    rows = [(i, 5.0 if i % 3 == 0 else float(i % 1000)) for i in range(30_000)]
+    df = spark.createDataFrame(rows, "id long, v double").repartition(6)
+    numbered = global_row_number(df, ["v"], "rank", max_single_task_rows=None)
+    got = sorted((r["rank"], r["v"]) for r in numbered.collect())
+    assert [r for r, _ in got] == list(range(1, 30_001))
+    assert [v for _, v in got] == sorted(v for _, v in rows)
+    from quarry.plans.ranking import range_checkpoint
+
+    copies = spark.createDataFrame([(1.0,)] * 9000 + [(float(i),) for i in range(9000)], "v double").repartition(6)
+    for frame, n in ((df, 30_000), (copies, 18_000)):  # also where whole rows are equal
+        sizes = [r["count"] for r in range_checkpoint(frame, ["v"]).groupBy("__pid").count().collect()]
+        assert sum(sizes) == n and max(sizes) <= 2 * n / len(sizes)
+
+
+def test_pivot_refuses_trials_it_does_not_show(spark):
+    rows = [("a", 1, 1.0), ("a", 2, 2.0), ("b", 3, None)]
+    shape = "config string, trial int, seconds double"
+    got = {tuple(r) for r in op.trial_pivot(spark.createDataFrame(rows, shape)).collect()}
+    assert got == {("a", 1.0, 2.0, None), ("b", None, None, None)}
+    for stray in (4, None):
+        with pytest.raises(Exception, match="is not one of 1, 2, 3"):
+            op.trial_pivot(spark.createDataFrame([*rows, ("a", stray, 9.0)], shape)).collect()
