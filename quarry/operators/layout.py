@@ -14,7 +14,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.functions.money import exact, money_sum, round_money
+from quarry.functions.money import PARTS, merged_parts, money_parts, total_of
 from quarry.operators.sales import category_metrics, category_region_sales, region_metrics
 
 PARTITION_COUNTS = (2, 4, 8, 16, 32)
@@ -90,22 +90,18 @@ def partition_sweep(
         ]
     elif move == "partials":
         partials = df.groupBy(F.spark_partition_id().alias("__source"), "category", "region").agg(
-            F.sum(exact("amount")).alias("__amount"),
-            money_sum("amount").alias("__money"),
+            *[part.alias(f"__{name}") for name, part in money_parts("amount").items()],
             F.sum("quantity").alias("__quantity"),
-            F.count(F.lit(1)).alias("__rows"),
+            F.count(F.lit(1)).alias("__count"),
         )
+        merged = total_of(merged_parts({name: F.col(f"__{name}") for name in PARTS}))
         branches = [
             repartition_evenly(partials, n)
             .groupBy("category", "region")
             .agg(
-                # a NaN or infinite amount makes the total so; else the exact partial sums add up
-                F.coalesce(
-                    F.sum(F.when(F.isnan("__money") | (F.abs("__money") == float("inf")), F.col("__money"))),
-                    round_money(F.sum("__amount")).cast("double"),
-                ).alias("total_sales"),
+                merged.alias("total_sales"),
                 F.sum("__quantity").alias("total_quantity"),
-                F.sum("__rows").alias("transaction_count"),
+                F.sum("__count").alias("transaction_count"),
             )
             .withColumn("partition_count", F.lit(n))
             for n in counts
