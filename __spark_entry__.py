@@ -15,21 +15,22 @@ from pyspark.sql import functions as F
 
 from quarry import operators as op
 from quarry.plans import jobs
-from quarry.plans.storage import saved_table, scratch_path, use_local_folder
+from quarry.plans.storage import Scratch, saved_table, scratch_path, use_local_folder
 from quarry.sources import schemas, synth, tables
-from quarry.sources.files import read_csv, read_json_lines, read_parquet, write_csv, write_json, write_parquet
+from quarry.sources.files import dealt_lines, read_csv, read_json_lines, read_parquet, write_csv, write_json, write_parquet
 
-# The training-data operators and their pipeline are optional: without their folders the rest still works.
+# The training-data operators and their pipeline are optional: without their folders, or a package they need,
+# the rest still works. A module of this repository that is there but fails to import is an error.
 try:
     import quarry.llm.queries as llm
 except ModuleNotFoundError as missing:
-    if missing.name not in ("quarry.llm", "quarry.llm.queries"):
+    if missing.name not in ("quarry.llm", "quarry.llm.queries") and missing.name.split(".")[0] == "quarry":
         raise
     llm = None
 try:
     import corpus_pipeline
 except ModuleNotFoundError as missing:
-    if missing.name not in ("corpus_pipeline", "quarry.llm"):
+    if missing.name not in ("corpus_pipeline", "quarry.llm", "quarry.llm.queries") and missing.name.split(".")[0] == "quarry":
         raise
     corpus_pipeline = None
 
@@ -193,6 +194,12 @@ def q_expected_counts(spark, sf_dir):
     return failures
 
 
+def q_dealt_word_count(spark, sf_dir):
+    """Word counts over the texts dealt round over the session's shuffle partitions."""
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return op.word_count(dealt_lines(tables.documents_text(spark, sf_dir), partitions))
+
+
 # --------------------------------------------------------------------------- measurements
 
 def _summary(spark, sf_dir):
@@ -237,6 +244,25 @@ def q_study_checks(spark, sf_dir):
     return jobs.study_checks(_study(spark, sf_dir), EXPECTED_CONFIGS).withColumnRenamed("check", "check_name")
 
 
+def q_partition_study_check(spark, sf_dir):
+    """A study's input and table checked: JSON lines, record count, configurations, trials and medians."""
+    events = tables.table(spark, sf_dir, "events")
+    lines = tables.events_json_lines(spark, sf_dir)
+    checks = jobs.verify_partition_study(lines, tables.measurements(spark, sf_dir), _study(spark, sf_dir), events, EXPECTED_CONFIGS)
+    return checks.withColumnRenamed("check", "check_name")
+
+
+def q_reuse_study_check(spark, sf_dir):
+    """A study's table checked, configurations, trials, medians and result rows, and its configurations ranked."""
+    totals = op.trial_totals(tables.measurements(spark, sf_dir)).withColumn("result_rows", F.lit(ITERATIONS * 10))
+    study = jobs.study_table(totals, baseline=BASELINE_CONFIG)
+    checks, ranking = jobs.verify_reuse_study(study, ITERATIONS, 10, EXPECTED_CONFIGS)
+    checks = checks.select(F.col("check").alias("item"), "checked_rows", "violations", F.lit(None).cast("int").alias("rank"), F.lit(None).cast("double").alias("median_seconds"))
+    none = F.lit(None).cast("bigint")
+    ranks = ranking.select(F.col("config").alias("item"), none.alias("checked_rows"), none.alias("violations"), "rank", "median_seconds")
+    return checks.unionByName(ranks)
+
+
 # --------------------------------------------------------------------------- quality
 
 def q_row_counts(spark, sf_dir):
@@ -258,8 +284,15 @@ def q_json_validity(spark, sf_dir):
 
 
 def q_expected_key_diff(spark, sf_dir):
+    """Customers without a clean transaction, and the other way round.
+
+    The orders' customers are made distinct in every task before they meet the customer table, so a hot customer is one row a task.
+    """
     customers = tables.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("customer_id"))
-    return op.expected_key_diff(_clean(spark, sf_dir), customers, "customer_id")
+    ordering = op.clean_transactions(tables.order_transactions(spark, sf_dir)).select("customer_id").distinct()
+    # an inner join: Spark would push a semi-join below the distinct, back onto the raw orders
+    actual = ordering.join(tables.customers_with_country(spark, sf_dir).distinct(), "customer_id")
+    return op.expected_key_diff(actual, customers, "customer_id")
 
 
 def q_bounds_check(spark, sf_dir):
@@ -326,6 +359,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "reuse_memory_and_disk": _reuse("memory_and_disk"),
         "word_count": q_word_count,
         "expected_counts": q_expected_counts,
+        "dealt_word_count": q_dealt_word_count,
         "trial_summary": q_trial_summary,
         "trial_improvement": q_trial_improvement,
         "trial_pivot": q_trial_pivot,
@@ -333,6 +367,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "trial_ranking": q_trial_ranking,
         "study_table": q_study_table,
         "study_checks": q_study_checks,
+        "partition_study_check": q_partition_study_check,
+        "reuse_study_check": q_reuse_study_check,
         "row_counts": q_row_counts,
         "record_count_gate": q_record_count_gate,
         "json_validity": q_json_validity,
@@ -348,11 +384,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def _entered(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    """The query behind an entry point: a single-process run without a shared folder gets one of its own."""
+    """The query behind an entry point: a single-process run without a shared folder gets one of its own.
+
+    Tables written on the way go when the query returns, but for those its result reads.
+    """
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         use_local_folder(spark)
-        return query(spark, sf_dir)
+        with Scratch(spark) as scope:
+            return scope.keep(query(spark, sf_dir))
 
     return run
 
@@ -544,6 +584,23 @@ UNION ALL
 SELECT 'median_positive', count(*), count(*) FILTER (WHERE NOT coalesce(median_seconds > 0, false)) FROM study"""
 
 
+_PARTITION_STUDY_CHECK = f"""
+SELECT 'input_lines_valid_json' AS check_name, count(*) AS checked_rows, count(*) FILTER (WHERE NOT json_valid(v)) AS violations
+FROM (SELECT CASE WHEN event_id % 10 = 0 THEN '{{"k":' ELSE props END AS v FROM events)
+UNION ALL
+SELECT 'record_count', count(*), 0 FROM events
+UNION ALL
+SELECT * FROM ({_STUDY_CHECKS})"""
+
+_REUSE_STUDY_CHECK = f"""
+SELECT check_name AS item, checked_rows, violations, CAST(NULL AS INTEGER) AS rank, CAST(NULL AS DOUBLE) AS median_seconds FROM ({_STUDY_CHECKS})
+UNION ALL
+SELECT 'result_rows_expected', count(DISTINCT event_type), 0, NULL, NULL FROM events
+UNION ALL
+SELECT config, NULL, NULL, CAST(row_number() OVER (ORDER BY median_seconds, config) AS INTEGER), median_seconds
+FROM (WITH {_STUDY.strip()} SELECT * FROM study)"""
+
+
 def oracle_sql() -> dict[str, str]:
     tx = f"WITH {_TX.strip()}\n"
     sales = f"WITH {_SALES.strip()}\n"
@@ -576,6 +633,7 @@ def oracle_sql() -> dict[str, str]:
         "reuse_cache": _REUSE,
         "reuse_memory_and_disk": _REUSE,
         "word_count": f"WITH {_WORDS.strip()}\nSELECT * FROM wc ORDER BY word",
+        "dealt_word_count": f"WITH {_WORDS.strip()}\nSELECT * FROM wc",
         "expected_counts": f"WITH {_WORDS.strip()},\n"
         "e AS (SELECT * FROM (VALUES ('spark', 2), ('distributed', 2), ('computing', 2)) v(word, expected_count))\n"
         "SELECT e.word, CAST(e.expected_count AS BIGINT) AS expected_count, wc.count AS actual_count\n"
@@ -598,6 +656,8 @@ def oracle_sql() -> dict[str, str]:
         "FROM summary",
         "study_table": f"WITH {_STUDY.strip()}\nSELECT * FROM study ORDER BY config",
         "study_checks": _STUDY_CHECKS,
+        "partition_study_check": _PARTITION_STUDY_CHECK,
+        "reuse_study_check": _REUSE_STUDY_CHECK,
         "row_counts": f"WITH {_TX.strip()}, {_SALES.strip()}\n"
         "SELECT 'transactions_loaded' AS stage, count(*) AS rows FROM tx\n"
         "UNION ALL SELECT 'transactions_clean', count(*) FROM clean\n"

@@ -57,6 +57,11 @@ def total_of(parts: dict[str, Column]) -> Column:
     return F.coalesce(parts["odd"], round_money(_total(parts)).cast("double"))
 
 
+def average_of(parts: dict[str, Column]) -> Column:
+    """The sum over the count of values, rounded to cents, as a double."""
+    return F.coalesce(parts["odd"], round_money(_total(parts).cast("double") / parts["rows"]))
+
+
 def round_money(value: Column, places: int = 2) -> Column:
     """HALF_UP rounding to ``places`` decimals."""
     return F.round(value, places)
@@ -69,5 +74,4 @@ def money_sum(amount: Column | str) -> Column:
 
 def money_avg(amount: Column | str) -> Column:
     """Aggregate: the exact sum over the count of values, rounded to cents, as a double."""
-    parts = money_parts(amount)
-    return F.coalesce(parts["odd"], round_money(_total(parts).cast("double") / parts["rows"]))
+    return average_of(money_parts(amount))

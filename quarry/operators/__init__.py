@@ -23,6 +23,7 @@ from quarry.operators.measure import (
     trial_totals,
 )
 from quarry.operators.quality import (
+    CountingPass,
     assert_passed,
     bounds_check,
     count_gate,
@@ -30,6 +31,7 @@ from quarry.operators.quality import (
     expected_counts_check,
     expected_key_diff,
     json_line_validity,
+    locate_differences,
     roundtrip_diff,
     row_counts,
 )
@@ -38,6 +40,7 @@ from quarry.operators.sales import category_counts, category_metrics, category_r
 from quarry.operators.text import word_count, words
 
 __all__ = [
+    "CountingPass",
     "PARTITION_COUNTS",
     "STRATEGIES",
     "ReuseRun",
@@ -60,6 +63,7 @@ __all__ = [
     "highest_spend",
     "json_line_validity",
     "keep_positive",
+    "locate_differences",
     "partition_count",
     "partition_profile",
     "partition_sweep",

@@ -6,13 +6,16 @@ on the driver. Raising on failure is left to the caller (``assert_passed``).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from quarry.plans.joins import join_bounded
 
+DIGEST_BUCKETS = 4096  # of the digests that outputs are compared by
+
 
 def row_counts(frames: Mapping[str, DataFrame]) -> DataFrame:
     """stage, rows: one count per named frame (a single job with one branch per frame)."""
@@ -55,6 +58,30 @@ def count_gate(df: DataFrame, expected: int | DataFrame, check: str = "record_co
     )
 
 
+class CountingPass:
+    """Counts rows in the pass that reads them anyway, for a gate without a scan of its own.
+
+    :meth:`watch` marks a point of a plan; after one action over it, :meth:`rows`
+    tells how many rows went by. Use the marked frame in one action, or persist it.
+    """
+
+    def __init__(self):
+        self._watched: dict[str, Observation] = {}
+
+    def watch(self, df: DataFrame, stage: str) -> DataFrame:
+        self._watched[stage] = Observation(f"{stage}-{uuid.uuid4().hex}")
+        return df.observe(self._watched[stage], F.count(F.lit(1)).alias("rows"))
+
+    def rows(self, stage: str) -> int:
+        return self._watched[stage].get["rows"]
+
+    def require(self, **expected: int | None) -> None:
+        """Raise unless every stage with an expected count saw just that many rows."""
+        for stage, rows in expected.items():
+            if rows is not None and self.rows(stage) != rows:
+                raise ValueError(f"{stage}: expected {rows} records, found {self.rows(stage)}")
+
+
 def json_line_validity(lines: DataFrame, column: str = "value") -> DataFrame:
     """total_lines, valid_lines, invalid_lines for text lines that should each hold one JSON value.
 
@@ -123,22 +150,59 @@ def expected_counts_check(
     return want.join(asked, key, "left").where(~F.col("actual_count").eqNullSafe(F.col("expected_count")))
 
 
-def roundtrip_diff(original: DataFrame, read_back: DataFrame) -> DataFrame:
-    """missing_rows, extra_rows: multiset difference both ways between a result and its read-back.
+def _signed(original: DataFrame, read_back: DataFrame) -> DataFrame:
+    """Both frames' rows with ``__side`` (1 or -1), the two halves of a 128-bit digest of the row, and its ``__bucket``."""
+    cols = original.columns
+    both = original.select(*cols, F.lit(1).alias("__side")).unionByName(read_back.select(*cols, F.lit(-1).alias("__side")))
+    first = F.xxhash64(*cols)
+    both = both.withColumns({"__first": first, "__second": F.xxhash64(F.lit("second"), *cols)})
+    return both.withColumn("__bucket", F.pmod("__first", F.lit(DIGEST_BUCKETS)).cast("int"))
+
+
+def _differing_buckets(signed: DataFrame) -> DataFrame:
+    """Buckets whose two sides do not hold the same rows.
 
-    One aggregation over both frames: each distinct row's copies are counted
-    on either side (partial counts per task, so a row repeated many times
-    collapses before the shuffle) and the surplus of each side is summed.
-    Rows compare as in ``exceptAll``: nulls equal nulls.
+    A side's digest of a bucket is its row count and the sums of its rows'
+    digests, which no order or repetition changes; 32 bits are added up at a
+    time, so that no sum overflows. Both sides go into one sum with opposite
+    signs: one partial row a task and bucket crosses the shuffle.
+    """
+    low = F.lit((1 << 32) - 1)
+    words = [F.col("__first").bitwiseAND(low), F.shiftrightunsigned("__first", 32), F.col("__second").bitwiseAND(low), F.shiftrightunsigned("__second", 32)]
+    sums = [F.sum("__side").alias("__n"), *[F.sum(word * F.col("__side")).alias(f"__w{i}") for i, word in enumerate(words)]]
+    totals = signed.groupBy("__bucket").agg(*sums)
+    apart = F.lit(False)
+    for name in ("__n", "__w0", "__w1", "__w2", "__w3"):
+        apart = apart | (F.col(name) != 0)
+    return totals.where(apart).select("__bucket")
+
+
+def locate_differences(original: DataFrame, read_back: DataFrame) -> DataFrame:
+    """The rows that one frame holds more often than the other, with ``missing_rows`` and ``extra_rows``.
+
+    Digests of ``DIGEST_BUCKETS`` buckets are compared first, in one scan of
+    either side; rows are read, and grouped by all their columns, in the
+    differing buckets only. Where none differs, Spark drops that second part at
+    run time and nothing but the digests is read or shuffled. Rows compare as in
+    ``exceptAll``: nulls equal nulls, NaN equals NaN, and 0.0 equals -0.0.
     """
     cols = original.columns
-    tagged = original.select(*cols, F.lit(1).alias("__o"), F.lit(0).alias("__b")).unionByName(
-        read_back.select(*cols, F.lit(0).alias("__o"), F.lit(1).alias("__b"))
+    signed = _signed(original, read_back)
+    # at most DIGEST_BUCKETS rows are broadcast
+    suspects = signed.select(*cols, "__side", "__bucket").join(F.broadcast(_differing_buckets(signed)), "__bucket", "left_semi")
+    surplus = suspects.groupBy(*cols).agg(F.sum("__side").alias("__n")).where(F.col("__n") != 0)
+    return surplus.select(
+        *cols,
+        F.greatest(F.col("__n"), F.lit(0)).cast("bigint").alias("missing_rows"),
+        F.greatest(-F.col("__n"), F.lit(0)).cast("bigint").alias("extra_rows"),
     )
-    per_row = tagged.groupBy(*cols).agg(F.sum("__o").alias("__o"), F.sum("__b").alias("__b"))
-    return per_row.agg(
-        F.coalesce(F.sum(F.greatest(F.col("__o") - F.col("__b"), F.lit(0))), F.lit(0)).cast("bigint").alias("missing_rows"),
-        F.coalesce(F.sum(F.greatest(F.col("__b") - F.col("__o"), F.lit(0))), F.lit(0)).cast("bigint").alias("extra_rows"),
+
+
+def roundtrip_diff(original: DataFrame, read_back: DataFrame) -> DataFrame:
+    """missing_rows, extra_rows: multiset difference both ways between a result and its read-back (see :func:`locate_differences`)."""
+    return locate_differences(original, read_back).agg(
+        F.coalesce(F.sum("missing_rows"), F.lit(0)).cast("bigint").alias("missing_rows"),
+        F.coalesce(F.sum("extra_rows"), F.lit(0)).cast("bigint").alias("extra_rows"),
     )
 
 

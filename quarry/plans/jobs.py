@@ -20,8 +20,9 @@ from quarry.operators.layout import (
     repartition_by,
     run_reuse_workload,
 )
-from quarry.operators.quality import count_gate, expected_counts_check
+from quarry.operators.quality import CountingPass, count_gate, expected_counts_check
 from quarry.operators.reports import category_trends, country_metrics, top_customers
+from quarry.operators.sales import category_counts
 from quarry.operators.text import word_count
 from quarry.plans.storage import saved_table
 from quarry.sources.files import read_csv, read_json_lines, read_parquet, write_csv, write_json, write_parquet
@@ -41,6 +42,8 @@ class ReportRun:
     country_metrics: str
     category_trends: str
     top_customers: str
+    loaded_rows: int | None = None
+    clean_rows: int | None = None
 
 
 def run_reports(
@@ -49,6 +52,8 @@ def run_reports(
     reuse: str = "none",
     repartition_on: str | None = None,
     top_k: int = 100,
+    expected_loaded: int | None = None,
+    expected_clean: int | None = None,
 ) -> ReportRun:
     """Clean the transactions and write the three reports (CSV, Parquet, JSON lines).
 
@@ -57,23 +62,34 @@ def run_reports(
     release them after the last write. ``repartition_on`` co-locates rows by
     a column first, using the skew-safe REBALANCE hint (a hot key is split
     instead of landing in one task).
+
+    Rows loaded and kept are counted by the first pass over the input itself
+    and returned; an expected count that they miss raises behind that pass, with
+    no more than the first report written.
     """
-    clean = clean_transactions(raw)
-    if repartition_on is not None:
-        clean = repartition_by(clean, repartition_on, rebalance=True)
-    clean = persist_with(clean, reuse)
-    run = ReportRun(f"{out_dir}/country_metrics", f"{out_dir}/category_trends", f"{out_dir}/top_customers")
+    passing = CountingPass()
+    counted = passing.watch(clean_transactions(passing.watch(raw, "loaded")), "clean")
+
+    def laid_out(df: DataFrame) -> DataFrame:
+        return repartition_by(df, repartition_on, rebalance=True) if repartition_on is not None else df
+
+    paths = [f"{out_dir}/{name}" for name in ("country_metrics", "category_trends", "top_customers")]
+    first = persist_with(laid_out(counted), reuse)
+    later = first if reuse != "none" else laid_out(clean_transactions(raw))
     try:
         if reuse != "none":
-            clean.count()
+            first.count()
+            passing.require(loaded=expected_loaded, clean=expected_clean)
         # Small, bounded outputs (one row per country / top k): one file each.
-        write_csv(country_metrics(clean), run.country_metrics, single_file=True)
-        write_parquet(category_trends(clean), run.category_trends)
-        write_json(top_customers(clean, top_k), run.top_customers, single_file=True)
+        write_csv(country_metrics(first), paths[0], single_file=True)
+        if reuse == "none":
+            passing.require(loaded=expected_loaded, clean=expected_clean)
+        write_parquet(category_trends(later), paths[1])
+        write_json(top_customers(later, top_k), paths[2], single_file=True)
     finally:
         if reuse != "none":
-            clean.unpersist(blocking=True)
-    return run
+            first.unpersist(blocking=True)
+    return ReportRun(*paths, loaded_rows=passing.rows("loaded"), clean_rows=passing.rows("clean"))
 
 
 def read_reports(spark: SparkSession, run: ReportRun) -> dict[str, DataFrame]:
@@ -98,9 +114,13 @@ def partition_study(
     counts: Sequence[int] = PARTITION_COUNTS,
     trials: int = 3,
     move: str = "partials",
+    expected_records: int | None = None,
 ) -> DataFrame:
     """Time category x region totals at each partition count: (config, trial, seconds, result_rows).
 
+    The untimed warm-up counts the records it reads; other than
+    ``expected_records`` (if given) raise before anything is timed.
+
     Each timed run is one branch of :func:`partition_sweep` (``move`` as
     there: "partials" moves per-partition partial aggregates into ``n``
     partitions, "rows" moves the raw rows and suits study-sized inputs only).
@@ -111,7 +131,9 @@ def partition_study(
     if trials <= 0 or any(n <= 0 for n in counts):
         raise ValueError("trials and partition counts must be greater than zero")
     spark = sales.sparkSession
-    partition_sweep(sales, (4,), move).write.format("noop").mode("overwrite").save()
+    passing = CountingPass()
+    partition_sweep(passing.watch(sales, "records"), (4,), move).write.format("noop").mode("overwrite").save()
+    passing.require(records=expected_records)
     order = list(counts)
     rows = []
     for trial in range(1, trials + 1):
@@ -131,10 +153,18 @@ def reuse_study(
     strategies: Sequence[str] = STRATEGIES,
     trials: int = 3,
     iterations: int = 3,
+    expected_records: int | None = None,
 ) -> DataFrame:
-    """Time the repeated workload under each reuse strategy: (config, trial, seconds, materialise_seconds, result_rows)."""
+    """Time the repeated workload under each reuse strategy: (config, trial, seconds, materialise_seconds, result_rows).
+
+    An untimed grouped count warms up and counts the records it reads; other
+    than ``expected_records`` (if given) raise before anything is timed.
+    """
     if trials <= 0 or iterations <= 0:
         raise ValueError("trials and iterations must be greater than zero")
+    passing = CountingPass()
+    category_counts(passing.watch(load(), "records")).write.format("noop").mode("overwrite").save()
+    passing.require(records=expected_records)
     rows = []
     order = list(strategies)
     spark = None
@@ -255,8 +285,8 @@ def verify_partition_study(
     input_lines: DataFrame,
     dataset: DataFrame,
     study: DataFrame,
-    expected_records: int,
-    expected_configs: Sequence[int] = PARTITION_COUNTS,
+    expected_records: int | DataFrame,
+    expected_configs: Sequence[int | str] = PARTITION_COUNTS,
 ) -> DataFrame:
     """Input lines are valid JSON, the dataset has the expected record count, the study is complete."""
     from quarry.operators.quality import json_line_validity

@@ -48,8 +48,84 @@ def saved_table(df: DataFrame, name: str) -> DataFrame:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unique folder below the shared root for one written table."""
-    return f"{shared_dir(spark)}/quarry/{name}-{uuid.uuid4().hex}"
+    """A new, unique folder below the shared root for one written table; the innermost open :class:`Scratch` owns it."""
+    path = f"{shared_dir(spark)}/quarry/{name}-{uuid.uuid4().hex}"
+    if _open_scopes:
+        _open_scopes[-1].paths.append(path)
+    return path
+
+
+_open_scopes: list[Scratch] = []
+
+
+class Scratch:
+    """Owner of the tables written while it is open; on leaving, those that no kept frame reads are deleted.
+
+    ``with Scratch(spark) as scope: ...; scope.keep(result)``. Scopes nest: what
+    an inner one keeps belongs to the outer one from then on. If the block
+    raises, everything it wrote is deleted.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+        self._kept: list[DataFrame] = []
+
+    def __enter__(self) -> Scratch:
+        _open_scopes.append(self)
+        return self
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """Keep what ``df`` reads, its subqueries included, beyond the scope."""
+        self._kept.append(df)
+        return df
+
+    def __exit__(self, kind, *_) -> None:
+        _open_scopes.remove(self)
+        kept: set[str] = set()
+        if kind is None:
+            for df in self._kept:
+                kept |= folders_read(df)
+        for path in self.paths:
+            own = _plain(self.spark, path)
+            if not any(read == own or read.startswith(f"{own}/") for read in kept):
+                _delete(self.spark, path)
+            elif _open_scopes:
+                _open_scopes[-1].paths.append(path)
+
+
+def _path(spark: SparkSession, path: str):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _plain(spark: SparkSession, path: str) -> str:
+    """The path without scheme and host, by which folders are compared."""
+    return _path(spark, path).toUri().getPath().rstrip("/")
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where = _path(spark, path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def folders_read(df: DataFrame) -> set[str]:
+    """Folders and files that ``df``'s plan reads, subqueries and cached frames included (paths without scheme)."""
+    found: set[str] = set()
+    todo = [df._jdf.queryExecution().analyzed()]
+    while todo:
+        plan = todo.pop()
+        subqueries = plan.subqueriesAll()
+        todo += [subqueries.apply(i) for i in range(subqueries.size())]
+        leaves = plan.collectLeaves()
+        for i in range(leaves.size()):
+            leaf = leaves.apply(i)
+            kind = leaf.getClass().getSimpleName()
+            if kind == "LogicalRelation" and leaf.relation().getClass().getSimpleName() == "HadoopFsRelation":
+                roots = leaf.relation().location().rootPaths()
+                found |= {roots.apply(j).toUri().getPath().rstrip("/") for j in range(roots.size())}
+            elif kind == "InMemoryRelation":
+                todo.append(leaf.cacheBuilder().logicalPlan())
+    return found
 
 
 def saved_buckets(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
@@ -71,13 +147,10 @@ def saved_buckets(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame
 def release(*frames: DataFrame) -> None:
     """Delete the written tables that ``frames`` read, if they lie below the shared scratch root (any file system)."""
     for df in frames:
-        spark = df.sparkSession
-        root = f"{shared_dir(spark)}/quarry/"
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-        folders = {str(path_of(f).getParent().toString()) for f in df.inputFiles()}
-        top = path_of(root)
-        scheme = top.getFileSystem(conf).makeQualified(top).toUri().getPath()
-        for folder in folders:
-            if path_of(folder).toUri().getPath().startswith(scheme):
-                path_of(folder).getFileSystem(conf).delete(path_of(folder), True)
+        root = _plain(df.sparkSession, shared_dir(df.sparkSession)) + "/quarry/"
+        scheme = _path(df.sparkSession, shared_dir(df.sparkSession))
+        for folder in folders_read(df):
+            if folder.startswith(root):
+                # the shared root's file system, whatever the frame's path is called there
+                below = f"{scheme.toString().rstrip('/')}/quarry/{folder[len(root):]}"
+                _delete(df.sparkSession, below)

@@ -130,3 +130,54 @@ def test_word_count_command_checks_only_given_expectations(spark, out_dir, resto
     assert main(["wordcount", "--input", f"{out_dir}/t"]) == 0
     assert main(["wordcount", "--input", f"{out_dir}/t", "--expect", "two=2"]) == 0
     assert main(["wordcount", "--input", f"{out_dir}/t", "--expect", "two=3"]) == 1
+
+
+def _transactions(spark, n=900):
+    from quarry.sources import synth
+
+    df = synth.generate_transactions(spark, n, partitions=3)
+    return df.withColumn("amount", F.when(F.col("transaction_id") % 10 == 0, F.lit(-1.0)).otherwise(F.col("amount")))
+
+
+@pytest.mark.parametrize(("reuse", "scans"), [("none", 3), ("cache", 1)])
+def test_reports_count_in_the_pass_that_runs_anyway(spark, out_dir, reuse, scans):
+    read = spark.sparkContext.accumulator(0)
+    plain = _transactions(spark)
+
+    def count(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    raw = plain.mapInArrow(count, plain.schema)
+    run = jobs.run_reports(raw, f"{out_dir}/{reuse}", reuse=reuse, expected_loaded=900, expected_clean=810)
+    assert (run.loaded_rows, run.clean_rows) == (900, 810)
+    assert read.value == scans * 900
+    with pytest.raises(ValueError, match="clean: expected 811 records, found 810"):
+        jobs.run_reports(raw, f"{out_dir}/{reuse}-no", reuse=reuse, expected_clean=811)
+
+
+def test_studies_refuse_another_record_count(spark, out_dir):
+    from quarry.sources import synth
+
+    sales = synth.generate_sales(spark, 300, partitions=2)
+    assert jobs.partition_study(sales, (2,), trials=1, expected_records=300).count() == 1
+    for move in ("partials", "rows"):
+        with pytest.raises(ValueError, match="records: expected 299"):
+            jobs.partition_study(sales, (2,), trials=1, move=move, expected_records=299)
+    with pytest.raises(ValueError, match="records: expected 301"):
+        jobs.reuse_study(lambda: sales, out_dir, trials=1, iterations=1, expected_records=301)
+
+
+def test_cli_studies_are_verified(spark, out_dir, restore_sizing, capsys):
+    data, study, reuse = (f"{out_dir}/{n}" for n in ("s", "p.csv", "r.csv"))
+    assert main(["generate-sales", "--records", "400", "--output", data, "--partitions", "2"]) == 0
+    assert main(["partition-study", "--input", data, "--output", study, "--partitions", "2", "4", "--expected-records", "400"]) == 0
+    assert "best partition count: " in capsys.readouterr().out
+    check = ["verify-partition-study", "--input", data, "--study", study, "--partitions", "2", "4"]
+    assert main([*check, "--expected-records", "400"]) == 0
+    assert main([*check, "--expected-records", "401"]) == 1
+    assert main(["verify-partition-study", "--input", data, "--study", study, "--expected-records", "400"]) == 1
+    assert main(["reuse-study", "--input", data, "--output", reuse, "--iterations", "2"]) == 0
+    assert main(["verify-reuse-study", "--study", reuse, "--iterations", "2"]) == 0
+    assert main(["verify-reuse-study", "--study", reuse, "--iterations", "3"]) == 1
