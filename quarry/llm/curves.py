@@ -9,11 +9,13 @@ rows of its own block and ``reach`` blocks on either side, in double precision o
 the original vectors. The orderings' findings merge and the nearest remain.
 
 How wide the windows must be depends on the vectors: clustered ones need few
-rows, evenly spread ones a share of the table. So the windows are measured:
-the exact neighbours of up to ``SAMPLE`` query points are found by one pass over
-all points, and the curves and reach taken that cost least of those that hold
-``RECALL`` of these neighbours. Where comparing all rows costs no more, all are
-compared (one ordering, every block), which is exact.
+rows, evenly spread ones a share of the table. So at every size the windows are
+measured: the exact neighbours of up to ``SAMPLE`` query points are found by one
+pass over all points, and the curves and reach taken that cost least of those
+that hold ``RECALL`` of these neighbours.
+
+The orderings carry point numbers only. Vectors join them once the curves are
+chosen, in the type they came in, and move once for each curve in use.
 
 Exact copies of a vector are one point of the curves with the ids they need
 (the ``k`` + 1 smallest: no query can use more), so a vector in a third of all
@@ -34,6 +36,7 @@ from pyspark.sql import functions as F
 from quarry.llm.common import saved
 
 CURVES, DIRECTIONS, BITS = 8, 6, 10
+MEASURED_CURVES = 4  # at most, where windows are measured: vectors move once for each
 BLOCK_ROWS, REACH = 2048, 3
 SAMPLE, RECALL = 256, 0.95  # query points that windows are measured on, and the share of their neighbours to hold
 WIDE_ROWS = 16384  # of a block in wide windows, and query points that meet it at once
@@ -103,9 +106,9 @@ def _placed(points: DataFrame, width: int, longest: float, curves: int, directio
                     cells = np.clip((y + 4.0 + shifts[c]) / 9.0 * (1 << bits), 0, (1 << bits) - 1).astype(np.int64)
                     part = batch.take(pa.array(rows))
                     extra = [np.full(len(rows), c, np.int32), hilbert(cells, bits), np.full(len(rows), query)]
-                    yield pa.RecordBatch.from_arrays([part["point"], part["ids"], part["vector"], *map(pa.array, extra)], ["point", "ids", "vector", "curve", "key", "query"])
+                    yield pa.RecordBatch.from_arrays([part["point"], *map(pa.array, extra)], ["point", "curve", "key", "query"])
 
-    return points.mapInArrow(run, "point long, ids array<long>, vector array<double>, curve int, key long, query boolean")
+    return points.select("point", "vector", "asked").mapInArrow(run, "point long, curve int, key long, query boolean")
 
 
 def _numbered(placed: DataFrame) -> tuple[DataFrame, dict[int, int]]:
@@ -125,8 +128,8 @@ def _numbered(placed: DataFrame) -> tuple[DataFrame, dict[int, int]]:
                 seen[int(c)] = seen.get(int(c), 0) + len(rows)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(local)], [*batch.schema.names, "local"])
 
-    shape = "point long, ids array<long>, vector array<double>, curve int, key long, query boolean, local long, part int"
-    table = saved(ranged.mapInArrow(number, shape.replace(", part int", "")).withColumn("part", F.spark_partition_id()), "curves")
+    shape = "point long, curve int, key long, query boolean, local long"
+    table = saved(ranged.mapInArrow(number, shape).drop("key").withColumn("part", F.spark_partition_id()), "curves")
     counts = table.groupBy("curve", "part").agg((F.max("local") + 1).alias("rows")).orderBy("curve", "part").collect()  # a row per curve and partition
     before, sizes = [], {}
     for r in counts:
@@ -241,13 +244,15 @@ def neighbours(vectors: DataFrame, asked: Column, k: int = 20, curves: int = CUR
     do vectors whose length is not the most frequent one. Repeated rows count
     once. Other columns are ignored. An empty table gives an empty one.
 
-    Without a ``reach`` the windows are measured (at most ``curves`` orderings),
-    or all rows compared; a given one holds for any size, whatever the recall.
+    Without a ``reach`` the windows are measured (at most ``curves`` orderings and
+    ``MEASURED_CURVES``);
+    a given one holds for any size, whatever the recall.
     """
     spark = vectors.sparkSession
-    typed = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("vector"), F.coalesce(asked, F.lit(False)).alias("asked"))
+    kind = "float" if vectors.schema[vector_col].dataType.simpleString() == "array<float>" else "double"
+    typed = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast(f"array<{kind}>").alias("vector"), F.coalesce(asked, F.lit(False)).alias("asked"))
     finite = ~F.exists("vector", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    squares = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)
+    squares = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
     good = typed.where(F.col("id").isNotNull() & F.col("vector").isNotNull() & finite).withColumn("squares", squares).where(F.col("squares") > 0)
     width = good.groupBy(F.size("vector").alias("w")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "w").first()
     if width is None:
@@ -264,20 +269,15 @@ def neighbours(vectors: DataFrame, asked: Column, k: int = 20, curves: int = CUR
     points = held.join(wanted, "vector", "left").select(F.col("ids")[0].alias("point"), "ids", "vector", F.coalesce("asked", F.lit(False)).alias("asked"))
     points = saved(points, "points")
 
-    n, queries = points.agg(F.count("*"), F.count_if("asked")).first()
-    rows_wide, whole = (REACH if reach is None else reach) * block_rows, False
-    if reach is None:  # compare all rows where windows would be no fewer
-        whole = n + queries <= curves * (2 * REACH + 1) * block_rows
-    table, sizes = _numbered(_placed(points, width, longest, 1 if whole else curves, directions, bits))
-    if reach is None and not whole:
+    queries = points.where("asked").count()
+    curves = min(curves, MEASURED_CURVES) if reach is None else curves
+    table, sizes = _numbered(_placed(points, width, longest, curves, directions, bits))
+    if reach is None:
         used, rows_wide = _measured(points, table, k, curves, block_rows)
-        whole = n + queries <= used * (2 * rows_wide + block_rows)
-        used = 1 if whole else used
         table, sizes = table.where(F.col("curve") < used), {c: x for c, x in sizes.items() if c < used}
-    if reach is None:  # larger blocks where windows are wide: fewer copies of the query points
-        most = max(block_rows, min(WIDE_ROWS, (1 << 20) // width))
-        block_rows = min(most, max(block_rows, (n + queries) // 64 if whole else rows_wide // REACH))
-        reach = (n + queries if whole else rows_wide) // block_rows + 1
+        # larger blocks where windows are wide: fewer copies of the query points
+        block_rows = min(max(block_rows, min(WIDE_ROWS, (1 << 20) // width)), max(block_rows, rows_wide // REACH))
+        reach = -(-rows_wide // block_rows)
     table, ends = _blocks(table, sizes, block_rows)
     first, last = (_per_curve({c: e[i] for c, e in ends.items()}) for i in (0, 1))
     window = F.sequence(F.greatest(first, F.col("block") - reach), F.least(last, F.col("block") + reach))
@@ -286,7 +286,7 @@ def neighbours(vectors: DataFrame, asked: Column, k: int = 20, curves: int = CUR
     met = table.withColumn("to", F.explode(F.when(F.col("query"), window).otherwise(F.array("block"))))
     every = F.sequence(F.lit(0).cast("long"), F.lit(chunks - 1).cast("long"))
     met = met.withColumn("chunk", F.explode(F.when(F.col("query"), F.array(F.pmod(F.xxhash64("point"), F.lit(chunks).cast("long")))).otherwise(every)))
-    met = met.select("to", "chunk", "point", "ids", "vector", "query")
+    met = met.select("to", "chunk", "point", "query").join(points.select("point", "ids", "vector"), "point")
     found = met.groupBy("to", "chunk").applyInArrow(_compare(k), "point long, band long, ids array<long>, scores array<double>")
 
     def best(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
