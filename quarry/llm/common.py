@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.plans.storage import shared_dir
+from quarry.plans.storage import saved_table
 
 # ASCII white space and the A-Z lower-casing of the contracts, as byte tables.
 LOWER_AZ = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -43,10 +41,7 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     Cuts lineage: a lost executor then re-reads files and recomputes nothing
     upstream. The schema is the written one, so nothing is inferred.
     """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/quarry/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return saved_table(df, name)
 
 
 def spread_small(df: DataFrame) -> DataFrame:

@@ -7,6 +7,9 @@ one piece unchanged. All items' pieces go into one matcher that reads each
 whole document once; around a piece hit, the only place where the item can lie
 is searched with Myers' bit-parallel edit distance.
 
+Items of less than ``LEAST_CHARS`` characters say little: such an item is found
+only where it stands unchanged as whole words.
+
 The items are the small side: they travel to the tasks in blocks of at most
 ``BLOCK_CHARS`` characters, each one pass over the documents, so no broadcast
 grows with the benchmark.
@@ -24,6 +27,7 @@ from pyspark.sql import functions as F
 from quarry.llm.points import as_text, folded
 
 ERROR_RATE = 0.08  # edits allowed per character of an item
+LEAST_CHARS = 24  # of an item that is matched with edits and inside words
 BLOCK_CHARS = 8_000_000  # characters of items matched in one pass
 
 
@@ -68,7 +72,7 @@ class ItemMatcher:
         self.items = []
         by_piece: dict[str, list[tuple[int, int]]] = {}
         for number, text in items:
-            edits = int(error_rate * len(text))
+            edits = int(error_rate * len(text)) if len(text) >= LEAST_CHARS else 0
             peq: dict[str, int] = {}
             for i, c in enumerate(text):
                 peq[c] = peq.get(c, 0) | (1 << i)
@@ -93,10 +97,12 @@ class ItemMatcher:
         found = []
         for at, windows in places.items():
             number, item, edits, peq = self.items[at]
-            exact = text.find(item)
+            exact = text.find(item) if len(item) >= LEAST_CHARS else f" {text} ".find(f" {item} ")
             if exact >= 0:
                 found.append((number, 0, exact + len(item)))
                 continue
+            if len(item) < LEAST_CHARS:
+                continue
             best = None
             for w in sorted(windows):
                 start = max(0, w * (edits + 1) - edits)
@@ -113,7 +119,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RAT
     """One row per input row and benchmark item found in it: ``id_col``, ``item_col`` (long), ``distance``, ``end``.
 
     ``distance`` is the least edit distance, ``end`` where that occurrence ends
-    in the compared form. Items without a letter or digit, or with a null id or
+    in the compared form. Items shorter than ``LEAST_CHARS`` there are found as
+    whole words without edits. Items without a letter or digit, or with a null id or
     text, match nothing; null and empty documents hold nothing. Repeated
     documents and items repeat their rows. Other columns are ignored.
     """

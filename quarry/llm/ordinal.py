@@ -159,6 +159,8 @@ def fit(docs: DataFrame, ratings: DataFrame, grade_col: str = "grade", text_col:
         return None
     share = F.shiftrightunsigned(F.xxhash64("id"), 12) / F.lit(float(1 << 52))
     picked = rated.where(share < min(1.0, sample_rows / n))
+    if picked.count() <= 2 * sample_rows:  # proven small (unless one id holds most ratings): the texts stay where they are
+        picked = F.broadcast(picked)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(picked, "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -23,7 +23,10 @@ def brute(docs, items, rate):
         text = contamination.normal(text)
         for item, pattern in items:
             pattern = contamination.normal(pattern)
-            if item is not None and pattern and text:
+            if item is not None and pattern and len(pattern) < contamination.LEAST_CHARS:
+                if f" {pattern} " in f" {text} ":
+                    out.append((doc, item, 0))
+            elif item is not None and pattern and text:
                 d, _ = distance(pattern, text)
                 if d <= int(rate * len(pattern)):
                     out.append((doc, item, d))
@@ -66,12 +69,19 @@ def test_awkward_documents_and_items(spark, monkeypatch):
     leaking = {i for i, _, _ in want}
     kept = contamination.uncontaminated(df, bench)
     assert kept.columns == df.columns
-    assert sorted((r.doc_id for r in kept.collect() if r.doc_id is not None), key=repr) == sorted(i for i, _ in given if i is not None and i not in leaking)
+    assert sorted((r.doc_id for r in kept.collect() if r.doc_id is not None), key=repr) == sorted((i for i, _ in given if i is not None and i not in leaking), key=repr)
     assert contamination.matches(awkward.empty(spark), bench).count() == 0
     assert contamination.matches(df, bench.limit(0)).count() == 0
     assert contamination.uncontaminated(df, bench.limit(0)).count() == len(given)
 
 
+def test_short_items_are_whole_words(spark):
+    docs = spark.createDataFrame([(1, "Yesterday all my troubles"), (2, "Yes, it is"), (3, "say yes"), (4, "no yess no"), (5, "a b, c")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "yes"), (2, "B c"), (3, "yesterday all my trouble")], "item_id long, text string")
+    got = sorted((r.doc_id, r.item_id) for r in contamination.matches(docs, items).collect())
+    assert got == [(1, 3), (2, 1), (3, 1), (5, 2)]
+
+
 def test_query_finds_every_whole_item(spark):
     docs = {r.doc_id: contamination.normal(r.text) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}
     items = {r.item_id: contamination.normal(r.text) for r in spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").collect()}
