@@ -10,6 +10,7 @@ queries) name a folder themselves through :func:`use_local_folder`.
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,12 +51,19 @@ def saved_table(df: DataFrame, name: str) -> DataFrame:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder below the shared root for one written table; the innermost open :class:`Scratch` owns it."""
     path = f"{shared_dir(spark)}/quarry/{name}-{uuid.uuid4().hex}"
-    if _open_scopes:
-        _open_scopes[-1].paths.append(path)
+    if _scopes():
+        _scopes()[-1].paths.append(path)
     return path
 
 
-_open_scopes: list[Scratch] = []
+_threads = threading.local()  # queries that run side by side own their tables apart
+
+
+def _scopes() -> list[Scratch]:
+    """The open scopes of this thread, the innermost last."""
+    if not hasattr(_threads, "scopes"):
+        _threads.scopes = []
+    return _threads.scopes
 
 
 class Scratch:
@@ -72,7 +80,7 @@ class Scratch:
         self._kept: list[DataFrame] = []
 
     def __enter__(self) -> Scratch:
-        _open_scopes.append(self)
+        _scopes().append(self)
         return self
 
     def keep(self, df: DataFrame) -> DataFrame:
@@ -81,7 +89,7 @@ class Scratch:
         return df
 
     def __exit__(self, kind, *_) -> None:
-        _open_scopes.remove(self)
+        _scopes().remove(self)
         kept: set[str] = set()
         if kind is None:
             for df in self._kept:
@@ -90,8 +98,8 @@ class Scratch:
             own = _plain(self.spark, path)
             if not any(read == own or read.startswith(f"{own}/") for read in kept):
                 _delete(self.spark, path)
-            elif _open_scopes:
-                _open_scopes[-1].paths.append(path)
+            elif _scopes():
+                _scopes()[-1].paths.append(path)
 
 
 def _path(spark: SparkSession, path: str):

@@ -2,9 +2,10 @@
 
 The batch operators are plain DataFrame transformations, so they apply to a
 streaming DataFrame unchanged (pass ``sort=False``: a stream can only be
-sorted after a complete-mode aggregation). State and progress live in a
-checkpoint folder under the cluster's shared ``spark.checkpoint.dir``, so a
-restarted query resumes where it stopped.
+sorted after a complete-mode aggregation). State and progress live in the
+checkpoint folder that the caller names; a query restarted with the same folder
+resumes where it stopped. Without one, each start takes a new folder under the
+cluster's shared ``spark.checkpoint.dir`` and begins anew.
 """
 
 from __future__ import annotations
