@@ -1,4 +1,5 @@
 import hashlib
+import math
 import random
 import zlib
 from collections import defaultdict
@@ -23,7 +24,7 @@ def brute(rows):
     rebuilt = {}
     for c, own in talks.items():
         h = zlib.crc32(str(c).encode()) % 6
-        rebuilt[c] = talks.get(c - c % 100, [])[:h] + own[h:]
+        rebuilt[c] = talks.get(c - int(math.fmod(c, 100)), [])[:h] + own[h:]
     members, ends, children = defaultdict(list), defaultdict(list), defaultdict(set)
     for c, seq in rebuilt.items():
         for d in range(len(seq) + 1):
