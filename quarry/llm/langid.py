@@ -17,9 +17,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.llm.common import saved
 from quarry.llm.hashes import SortedHashes
 from quarry.llm.points import folded
 
@@ -28,8 +30,12 @@ DOCS_PER_LANG = 2000  # bound of the fitting sample, in documents a language (ex
 CALIBRATION_SHARE = 10  # one in so many sampled documents calibrates instead of fitting
 MAX_LANGS = 10_000
 REJECT_Z = 12.0
-LEAST_SD = 0.05  # nats per character: texts of one language and length differ by no less
+LEVEL_CHARS = 1000  # up to here the spread of cross-entropies falls with the length
+MEDIAN_SQUARE = 0.4549  # of a standard normal
+LEAST_SD = 0.1  # nats per character: texts of one language and length differ by no less
+MOST_PER_CHAR = 6.0  # variance of one character's nats, at most: a few short texts fit no steeper line
 CHUNK = 1 << 19  # characters scored at a time
+SLICE_BYTES = 4 << 20  # of texts judged, and rows handed on, at a time
 BITS = np.uint64(21)  # of a code point
 
 def letters(text: str | None) -> np.ndarray:
@@ -163,15 +169,19 @@ class LanguageModels:
 
 
 def _sample(docs: DataFrame, train: Column, text_col: str, lang_col: str, id_col: str, docs_per_lang: int) -> DataFrame:
-    """About ``docs_per_lang`` labelled rows a language, chosen by the hash of their id; ``calibrate`` marks the rows kept out of the fit."""
+    """About ``docs_per_lang`` labelled rows a language, chosen by the hash of their id and text; ``calibrate`` marks the rows kept out of the fit.
+
+    Rows without an id are chosen like others; of rows equal in id, text and language one is kept.
+    """
     rows = docs.where(train & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    rows = rows.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(F.col(id_col)).alias("pick"))
+    rows = rows.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.col(id_col).alias("id"))
     counts = rows.groupBy("lang").agg(F.count("*").alias("n")).limit(MAX_LANGS + 1).collect()
     if len(counts) > MAX_LANGS:
         raise ValueError(f"more than {MAX_LANGS} languages")
     counts = F.broadcast(docs.sparkSession.createDataFrame(counts, "lang string, n long"))  # texts are not shuffled
     share = F.shiftrightunsigned(F.col("pick"), 12) / F.lit(float(1 << 52))
-    kept = rows.join(counts, "lang").where(share * F.col("n") < docs_per_lang)
+    kept = rows.join(counts, "lang").withColumn("pick", F.xxhash64("id", "text")).where(share * F.col("n") < docs_per_lang)
+    kept = kept.groupBy("lang", "pick").agg(F.first("text").alias("text"))
     return kept.select("lang", "text", (F.pmod("pick", F.lit(CALIBRATION_SHARE)) == 0).alias("calibrate"))
 
 
@@ -180,11 +190,12 @@ def fit(docs: DataFrame, train: Column, text_col: str = "text", lang_col: str =
 
     The sample (and with it the model, which travels through the driver and a
     broadcast) is bounded by ``docs_per_lang`` documents a language, not by the
-    input. Returns the model as plain arrays; with no labelled rows it knows
+    input. It is written once, so ``docs`` is read for the languages' counts and
+    for the sample. Returns the model as plain arrays; with no labelled rows it knows
     no language and predicts ``und`` for everything.
     """
     spark = docs.sparkSession
-    sample = _sample(docs, train, text_col, lang_col, id_col, docs_per_lang)
+    sample = saved(_sample(docs, train, text_col, lang_col, id_col, docs_per_lang), "language-sample")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -201,25 +212,54 @@ def fit(docs: DataFrame, train: Column, text_col: str = "text", lang_col: str =
     grams = fitted.mapInArrow(count, "lang string, key long, n long").groupBy("lang", "key").agg(F.sum("n").alias("n")).toArrow().to_pandas()
     model = {"grams": {lang: (g["key"].to_numpy(np.int64).view(np.uint64), g["n"].to_numpy(np.int64)) for lang, g in grams.groupby("lang")}}
 
-    scored = _scored(sample.where(F.col("calibrate")), model, "text")
-    good = scored.where((F.col("found.lang") == F.col("lang")) & (F.col("found.n") > 0))
-    inv = 1.0 / F.col("found.n")
-    fresh = good.groupBy("lang").agg(F.avg("found.nats").alias("mean"), F.count("*").alias("docs")).toPandas().set_index("lang")
-    means = {k: float(v) for k, v in fresh["mean"].items()}
+    shipped = spark.sparkContext.broadcast(model["grams"])
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ready = LanguageModels(shipped.value)
+        for batch in batches:
+            for part in _slices(batch["text"]):
+                rows = batch.slice(*part)
+                yield pa.RecordBatch.from_arrays([rows["lang"], _judged(ready, rows["text"])], ["lang", "found"])
+
+    scored = sample.where(F.col("calibrate")).select("lang", "text").mapInArrow(judge, "lang string, found struct<lang:string,score:double,n:long,nats:double>")
+    good = saved(scored.where((F.col("found.lang") == F.col("lang")) & (F.col("found.n") > 0)).select("lang", "found.n", "found.nats"), "calibration")
+    middle = good.groupBy("lang").agg(F.median("nats").alias("mean"))
+    # junk among the labelled rows must not widen the limits: squares far above the language's median square are left out
+    squares = good.join(F.broadcast(middle), "lang").withColumn("y", F.pow(F.col("nats") - F.col("mean"), 2)).withColumn("level", F.col("y") * F.least("n", F.lit(LEVEL_CHARS)))
+    typical = squares.groupBy("lang").agg(F.greatest(F.median("level") / MEDIAN_SQUARE, F.lit(LEAST_SD**2 * LEVEL_CHARS)).alias("typical"))
+    inv = 1.0 / F.col("n")
+    usual = squares.join(F.broadcast(typical), "lang").where(F.col("level") <= REJECT_Z**2 * F.col("typical"))
+    sums = usual.groupBy("lang", "mean").agg(F.count("*").alias("m"), F.sum(inv).alias("x"), F.sum(inv * inv).alias("xx"), F.sum("y").alias("y"), F.sum(F.col("y") * inv).alias("xy")).toPandas()
     model["reject"] = {}
-    if means:
-        mean = F.element_at(F.create_map(*[F.lit(x) for kv in means.items() for x in kv]), F.col("lang"))
-        r2 = F.pow(F.col("found.nats") - mean, 2)
-        sums = good.groupBy("lang").agg(F.count("*").alias("m"), F.sum(inv).alias("x"), F.sum(inv * inv).alias("xx"), F.sum(r2).alias("y"), F.sum(r2 * inv).alias("xy")).toPandas()
-        for s in sums.itertuples():  # least squares: variance of the cross-entropy = a + b / length
-            det = s.m * s.xx - s.x * s.x
-            b = max(0.0, (s.m * s.xy - s.x * s.y) / det) if det > 1e-18 else 0.0
-            a = max(LEAST_SD**2, (s.y - b * s.x) / s.m)
-            model["reject"][s.lang] = (means[s.lang], a, b)
+    for s in sums.itertuples():  # least squares: variance of the cross-entropy = a + b / length
+        det = s.m * s.xx - s.x * s.x
+        b = min(MOST_PER_CHAR, max(0.0, (s.m * s.xy - s.x * s.y) / det)) if det > 1e-18 else 0.0
+        a = max(LEAST_SD**2, (s.y - b * s.x) / s.m)
+        model["reject"][s.lang] = (float(s.mean), a, b)
     return model
 
 
-_models: dict[int, LanguageModels] = {}  # the last model of a worker process
+def _slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Start and length of runs of rows with about ``SLICE_BYTES`` of text each."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(sizes.astype(np.int64) + 1)
+    at = 0
+    while at < len(ends):
+        size = max(1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + SLICE_BYTES, side="right")) - at)
+        yield at, size
+        at += size
+
+
+def _judged(models: LanguageModels, texts: pa.Array) -> pa.StructArray:
+    n, nats = models.cross_entropies([t.as_py() for t in texts])
+    best = nats.argmin(axis=1) if models.langs else np.zeros(len(n), np.int64)
+    # posterior of the best language under equal priors, tempered: characters are not independent
+    gap = nats - nats.min(axis=1, keepdims=True) if models.langs else np.zeros((len(n), 1))
+    score = 1.0 / np.exp(-gap * np.sqrt(n)[:, None] * 4.0).sum(axis=1)
+    score[n == 0] = 0.0
+    names = [models.langs[b] if m and models.langs else UND for b, m in zip(best, n, strict=True)]
+    least = nats.min(axis=1) if models.langs else np.zeros(len(n))
+    return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(score), pa.array(n), pa.array(least)], ["lang", "score", "n", "nats"])
 
 
 def _scored(docs: DataFrame, model: dict, text_col: str, out: str = "found") -> DataFrame:
@@ -228,15 +268,8 @@ def _scored(docs: DataFrame, model: dict, text_col: str, out: str = "found") ->
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         ready = LanguageModels(shipped.value["grams"])
         for texts in batches:
-            n, nats = ready.cross_entropies([t.as_py() for t in texts])
-            best = nats.argmin(axis=1) if ready.langs else np.zeros(len(n), np.int64)
-            # posterior of the best language under equal priors, tempered: characters are not independent
-            gap = nats - nats.min(axis=1, keepdims=True) if ready.langs else np.zeros((len(n), 1))
-            score = 1.0 / np.exp(-gap * np.sqrt(n)[:, None] * 4.0).sum(axis=1)
-            score[n == 0] = 0.0
-            names = [ready.langs[b] if m and ready.langs else UND for b, m in zip(best, n, strict=True)]
-            least = nats.min(axis=1) if ready.langs else np.zeros(len(n))
-            yield pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(score), pa.array(n), pa.array(least)], ["lang", "score", "n", "nats"])
+            parts = [_judged(ready, texts.slice(*part)) for part in _slices(texts)]
+            yield pa.concat_arrays(parts) if parts else _judged(ready, texts)
 
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return docs.withColumn(out, F.arrow_udf(run, "lang string, score double, n long, nats double")(F.col(text_col)))
@@ -256,3 +289,29 @@ def predict(docs: DataFrame, model: dict, text_col: str = "text", z: float = REJ
     for lang, (mean, a, b) in sorted(known.items()):
         reject = reject | ((found == lang) & (F.col(f"{out}.nats") - mean > z * F.sqrt(F.lit(a) + F.lit(b) / n)))
     return scored.withColumn(out, F.col(out).withField("rejected", reject))
+
+
+def recognised(docs: DataFrame, model: dict, text_col: str = "text", z: float = REJECT_Z) -> DataFrame:
+    """The rows of ``docs`` that :func:`predict` does not reject, with their columns as they are.
+
+    Rows stream through the judging tasks in slices of about ``SLICE_BYTES`` and
+    only kept ones come back, so a task holds one batch beside a slice however
+    long the texts are.
+    """
+    shipped = docs.sparkSession.sparkContext.broadcast(model)
+    known = model.get("reject", {})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ready = LanguageModels(shipped.value["grams"])
+        for batch in batches:
+            for at, size in _slices(batch[text_col]):
+                rows = batch.slice(at, size)
+                found = _judged(ready, rows[text_col])
+                lang = found.field("lang").to_pylist()
+                mean, a, b = np.array([known.get(x, (np.inf, 0.0, 0.0)) for x in lang]).T
+                n = np.maximum(found.field("n").to_numpy(), 1)
+                limit = mean + z * np.sqrt(a + b / n)  # infinite for a language without calibration
+                keep = (found.field("nats").to_numpy() <= limit) & (np.array(lang, dtype=object) != UND)
+                yield rows.filter(pa.array(keep.astype(bool)))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -92,6 +92,28 @@ def test_awkward_documents(spark):
     assert {r.language.lang for r in langid.predict(df, nothing).collect()} == {langid.UND}
 
 
+def test_the_sample_is_bounded_without_ids_and_with_copies(spark):
+    rows = [(None, f"text number {i} of many words in it {i * 7919}", "en") for i in range(3000)] + [(5, "one text that is copied", "en")] * 2000
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    sample = langid._sample(docs, F.lit(True), "text", "lang", "doc_id", 500).collect()
+    assert 150 < len(sample) < 600 and len({r.text for r in sample}) == len(sample)
+    assert 0 < sum(r.calibrate for r in sample) < 0.3 * len(sample)
+
+
+def test_recognised_rows_are_those_not_rejected(spark, monkeypatch):
+    df = awkward.documents(spark, long_words=3000)
+    model = langid.fit(df, F.lit(True))
+    judged = langid.predict(df.drop("language"), model)
+    want = sorted((r.doc_id, r.text) for r in judged.where("NOT language.rejected").collect() if r.doc_id is not None)
+    for size in (1, 3000, 4 << 20):
+        monkeypatch.setattr(langid, "SLICE_BYTES", size)
+        kept = langid.recognised(df, model)
+        assert kept.columns == df.columns
+        assert sorted((r.doc_id, r.text) for r in kept.collect() if r.doc_id is not None) == want
+    assert langid.recognised(awkward.empty(spark), model).count() == 0
+    assert langid.recognised(df, {"grams": {}}).count() == 0
+
+
 def test_foreign_letters_are_rejected_and_own_kept(spark):
     docs = spark.read.parquet(f"{SF_ORACLE}/documents.parquet")
     model = langid.fit(docs, F.lit(True))
