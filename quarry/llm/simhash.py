@@ -30,11 +30,13 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from quarry.llm.common import byte_words, saved, spread_small
 from quarry.llm.components import components
 
 SEED = 42
+SLICE = 500  # rows handed on at a time
 GROUP = 4096  # distinct fingerprints of one key compared in one task; beyond, the key is refined
 PIECES = 13  # of the refined segments
 
@@ -59,14 +61,23 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
     return int.from_bytes(np.packbits(ones * 2 > len(hashes)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3, text_col: str = "text", out_col: str = "simhash") -> DataFrame:
-    """Add ``out_col`` long: the fingerprint's 64 bits (as a signed long)."""
+def fingerprints(docs: DataFrame, shingle: int = 3, text_col: str = "text", out_col: str = "simhash", keep: list[str] | None = None) -> DataFrame:
+    """``docs`` with ``out_col`` long: the fingerprint's 64 bits (as a signed long).
 
-    def run(texts: pa.Array) -> pa.Array:
-        return pa.array(np.array([fingerprint(t.as_py(), shingle) for t in texts], np.uint64).view(np.int64))
+    ``keep`` names the columns to hand on (default: all); rows stream through
+    the tasks ``SLICE`` at a time.
+    """
+    kept = [c for c in (docs.columns if keep is None else keep) if c != out_col]
+    rows = docs.select(*dict.fromkeys([*kept, text_col]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, SLICE):
+                part = batch.slice(at, SLICE)
+                found = np.array([fingerprint(t.as_py(), shingle) for t in part[text_col]], np.uint64).view(np.int64)
+                yield pa.RecordBatch.from_arrays([*(part[c] for c in kept), pa.array(found)], [*kept, out_col])
 
-    run.__annotations__ = {"texts": pa.Array, "return": pa.Array}
-    return docs.withColumn(out_col, F.arrow_udf(run, "long")(F.col(text_col)))
+    return rows.mapInArrow(run, StructType([*(rows.schema[c] for c in kept), StructField(out_col, LongType())]))
 
 
 def segments(max_bits: int) -> list[tuple[int, int]]:
@@ -184,7 +195,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2, text_c
 
 def _classes(docs: DataFrame, shingle: int, max_bits: int, text_col: str, id_col: str) -> DataFrame:
     """Per row: ``id``, ``fp``, ``root`` (names its component, also where two have one least id) and ``component_id``."""
-    rows = saved(fingerprints(spread_small(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))), shingle, "text", "fp").drop("text"), "fingerprints")
+    rows = saved(fingerprints(spread_small(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))), shingle, "text", "fp", keep=["id"]), "fingerprints")
     classes = rows.groupBy("fp").agg(F.min("id").alias("least"))
     found = components(links(classes.select("fp"), max_bits))
     labelled = classes.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("component", "fp"))
