@@ -35,6 +35,7 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 ROOT = 0
 CACHE_WORDS = 200_000  # words whose ids a worker remembers; emptied when full
@@ -195,10 +196,35 @@ class WordEncoder:
         return b"".join(out)
 
 
+# What a tokenizer file must say for the parts that are built in here.
+NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+PRE_TOKENIZERS = [
+    {"type": "Split", "pattern": {"Regex": SPLIT}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+]
+MODEL = {"type": "BPE", "continuing_subword_prefix": None, "end_of_word_suffix": "</w>", "unk_token": None, "byte_fallback": False, "dropout": None, "ignore_merges": False}
+
+
 def load_spec(path: str) -> dict:
-    """The parts of a ``tokenizers`` JSON file that the automaton needs (read on the driver, a few MB)."""
+    """The parts of a ``tokenizers`` JSON file that the automaton needs (read on the driver, a few MB).
+
+    Normalisation, word split and word ends are built in. A file that asks for
+    others (a byte-level model without word ends, say) raises ``ValueError``.
+    """
     with open(path, encoding="utf-8") as f:
         j = json.load(f)
+    says = {
+        "normalizer": ((j["normalizer"] or {}).get("normalizers"), NORMALIZERS),
+        "pre_tokenizer": ((j["pre_tokenizer"] or {}).get("pretokenizers"), PRE_TOKENIZERS),
+        "post_processor": (j["post_processor"], None),
+        "decoder": (j["decoder"], None),
+        "model": ({k: j["model"].get(k) for k in MODEL}, MODEL),
+        "added_tokens": ([a["content"] for a in j["added_tokens"] if a["normalized"] or a["lstrip"] or a["rstrip"] or a["single_word"]], []),
+    }
+    for part, (found, built_in) in says.items():
+        if found != built_in:
+            raise ValueError(f"{path}: {part} {str(found)[:200]} is not supported, only {str(built_in)[:300]}")
     merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in j["model"]["merges"]]
     special = {a["content"]: a["id"] for a in j["added_tokens"] if a["special"]}
     return {"merges": merges, "vocab": j["model"]["vocab"] | special, "special": special}
@@ -213,30 +239,35 @@ def _encoder(path: str, shipped) -> WordEncoder:
     return _encoders[path]
 
 
-def encode(docs: DataFrame, path: str, text_col: str = "text", out_col: str = "ids", decoded_col: str | None = None) -> DataFrame:
-    """Add ``out_col`` array<int>: the token ids of every whole text.
+def encode(docs: DataFrame, path: str, text_col: str = "text", out_col: str = "ids", decoded_col: str | None = None, keep: list[str] | None = None) -> DataFrame:
+    """``docs`` with ``out_col`` array<int>: the token ids of every whole text.
 
     With ``decoded_col`` the same worker also decodes those ids (see
-    :func:`decode`), which saves a second trip of the ids through Python. A null
-    or empty text has no ids and decodes to an empty text. Rows are
-    independent: repeated rows give repeated results, an empty table an empty
-    one, and columns already named like an output are replaced. A worker keeps
-    one automaton and at most ``CACHE_WORDS`` encoded words.
+    :func:`decode`), which saves a second trip of the ids through Python.
+    ``keep`` names the columns to hand on (default: all), so that texts need not
+    travel back. A null or empty text has no ids and decodes to an empty text.
+    Rows are independent: repeated rows give repeated results, an empty table
+    an empty one, and columns already named like an output are replaced. A
+    worker keeps one automaton, at most ``CACHE_WORDS`` encoded words, a batch
+    of rows and the results of ``ROWS`` of them.
     """
     shipped = docs.sparkSession.sparkContext.broadcast(load_spec(path))  # one file, a few MB
+    outputs = [out_col, *([decoded_col] if decoded_col else [])]
+    kept = [c for c in (docs.columns if keep is None else keep) if c not in outputs]
+    rows = docs.select(*dict.fromkeys([*kept, text_col]))
 
-    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = _encoder(path, shipped)
-        for texts in batches:
-            made = [_encoded(enc, texts.slice(at, ROWS), decoded_col is not None) for at in range(0, len(texts), ROWS)]
-            fields = ["ids", "decoded"][: 1 + (decoded_col is not None)]
-            if made:
-                yield pa.StructArray.from_arrays([pa.concat_arrays([m[i] for m in made]) for i in range(len(fields))], fields)
-
-    shape = "ids array<int>" + (", decoded string" if decoded_col else "")
-    made = docs.withColumn("__bpe", F.arrow_udf(_typed(run), shape)(F.col(text_col)))
-    columns = {out_col: F.col("__bpe.ids")} | ({decoded_col: F.col("__bpe.decoded")} if decoded_col else {})
-    return made.withColumns(columns).drop("__bpe")
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS):
+                part = batch.slice(at, ROWS)
+                made = _encoded(enc, part[text_col], decoded_col is not None)
+                yield pa.RecordBatch.from_arrays([*(part[c] for c in kept), *made], [*kept, *outputs])
+            pa.default_memory_pool().release_unused()
+
+    types = [ArrayType(IntegerType()), StringType()]
+    shape = StructType([*(rows.schema[c] for c in kept), *(StructField(c, t) for c, t in zip(outputs, types, strict=False))])
+    return rows.mapInArrow(run, shape)
 
 
 def _encoded(enc: WordEncoder, texts: pa.Array, decode_too: bool) -> list[pa.Array]:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import os
+import zipfile
 from collections.abc import Callable
 from pathlib import Path
 
@@ -104,7 +105,7 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text by the tokenisation automaton, decoded again; their digests."""
     docs = spread_small(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    done = bpe.encode(docs, tokenizer_path(), decoded_col="decoded")
+    done = bpe.encode(docs, tokenizer_path(), decoded_col="decoded", keep=["doc_id"])
     return done.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
@@ -157,13 +158,32 @@ def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
 
 
+def packed(folder: str) -> str:
+    """This package as a zip file in ``folder``, for executors that do not share the driver's files."""
+    package = Path(__file__).resolve().parents[1]
+    target = Path(folder) / f"{package.name}.zip"
+    with zipfile.ZipFile(target, "w") as out:
+        for path in sorted(package.rglob("*.py")):
+            out.write(path, path.relative_to(package.parent))
+    return str(target)
+
+
 def importable(spark: SparkSession) -> None:
-    """Let Python workers import this package wherever the driver found it, and name a shared folder for local runs."""
+    """Let Python workers import this package, and name a shared folder for local runs.
+
+    Where driver and workers share this machine's files, they share the folder
+    the driver found it in. On a cluster the package is shipped, once a context.
+    """
     use_local_folder(spark)
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        if not any(name.endswith("quarry.zip") for name in context.listFiles):
+            context.addPyFile(packed(context._temp_dir))  # the driver's own folder, which its file server reads
+        return
     root = str(Path(__file__).resolve().parents[2])
-    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    paths = context.environment.get("PYTHONPATH", "").split(os.pathsep)
     if root not in paths:
-        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [*paths, root]))
+        context.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [*paths, root]))
 
 
 def _query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:

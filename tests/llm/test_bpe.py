@@ -88,3 +88,24 @@ def test_query_matches_the_library(spark, library):
         assert r.n_tokens == len(ids)
         assert r.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+
+
+def test_files_with_other_parts_are_refused(tmp_path):
+    import json
+
+    with pytest.raises(ValueError, match="normalizer"):
+        bpe.load_spec(tokenizer_path("byte_bpe_50k.json"))
+    with open(tokenizer_path(), encoding="utf-8") as f:
+        spec = json.load(f)
+    for part, change in (("pre_tokenizer", None), ("decoder", {"type": "ByteLevel"}), ("post_processor", {"type": "ByteLevel"}), ("model", spec["model"] | {"byte_fallback": True})):
+        path = tmp_path / f"{part}.json"
+        path.write_text(json.dumps(spec | {part: change}))
+        with pytest.raises(ValueError, match=part):
+            bpe.load_spec(str(path))
+
+
+def test_kept_columns_travel_and_others_stay_behind(spark):
+    df = spark.createDataFrame([(1, "Hello there", "x"), (2, None, "y")], "doc_id long, text string, ids string")
+    done = bpe.encode(df, tokenizer_path(), decoded_col="decoded", keep=["doc_id"])
+    assert done.columns == ["doc_id", "ids", "decoded"] and [len(r.ids) for r in done.orderBy("doc_id").collect()] == [2, 0]
+    assert bpe.encode(df, tokenizer_path()).columns == ["doc_id", "text", "ids"]
