@@ -1,13 +1,14 @@
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
-from quarry.llm import contamination
+from quarry.llm import contamination, langid
 from quarry.llm.common import saved
 from tests.conftest import SF_ORACLE, SF_SMALL
 from tests.llm import awkward
 from tests.llm.test_contamination import brute as brute_leaks
 from tests.llm.test_simhash import brute_classes, brute_fingerprint
-from tests.llm.test_substrings import brute as brute_cuts
+from tests.llm.test_substrings import brute_keeping_first
 
 
 @pytest.fixture(scope="module")
@@ -31,19 +32,26 @@ def test_each_stage_does_what_brute_force_does_to_its_input(spark, stages):
     (_, before, after) = stages[0]
     kept = {r.doc_id for r in after.collect()}
     assert len(kept) >= 0.98 * before.count()
+    judged = langid.predict(before, langid.fit(before, F.lit(True)))
+    assert kept == {r.doc_id for r in judged.where("NOT language.rejected").collect()}
     (_, before, after) = stages[1]
     rows = sorted(before.collect(), key=lambda r: r.doc_id)
     classes = brute_classes([brute_fingerprint(r.text) for r in rows], pipeline.MAX_BITS)
     assert sorted(r.doc_id for r in after.collect()) == sorted({rows[c].doc_id for c in classes})
     (_, before, after) = stages[2]
-    rows = before.collect()
+    rows = sorted(before.collect(), key=lambda r: r.doc_id)
     want = {}
-    for r, (n, removed, text) in zip(rows, brute_cuts([r.text for r in rows], pipeline.MIN_REPEAT_WORDS), strict=True):
+    for r, (n, removed, text) in zip(rows, brute_keeping_first([r.text for r in rows], pipeline.MIN_REPEAT_WORDS), strict=True):
         if not removed:
             want[r.doc_id] = (r.text, r.n_chars)
         elif removed < n:
             want[r.doc_id] = (text, len(text))
     assert {r.doc_id: (r.text, r.n_chars) for r in after.collect()} == want
+    left = " ".join(want[r.doc_id][0] for r in rows if r.doc_id in want)
+    for r in rows:  # what vanished or was cut stands whole elsewhere, window by window
+        words = r.text.split()
+        if r.doc_id not in want:
+            assert all(" ".join(words[i : i + pipeline.MIN_REPEAT_WORDS]) in left for i in range(0, len(words) - pipeline.MIN_REPEAT_WORDS + 1))
     (_, before, after) = stages[3]
     items = [tuple(r) for r in spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").select("item_id", "text").collect()]
     exact = [(i, p) for i, p in ((i, contamination.normal(t)) for i, t in items) if p]
@@ -71,8 +79,10 @@ def test_every_stage_survives_awkward_and_empty_documents(spark, stage):
     assert run(spark, df.limit(0), SF_ORACLE).count() == 0
 
 
-def test_cut_repeats_can_keep_the_first_copy(spark):
+def test_cut_repeats_keeps_the_first_copy(spark):
     near = " ".join(f"w{i}" for i in range(120))
     docs = spark.createDataFrame([(i, f"{near} tail{i}", "en", "s", 0) for i in (5, 3, 4)], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
-    kept = {r.doc_id: r.text for r in pipeline.cut_repeats(spark, docs, SF_SMALL, keep_first=True).collect()}
+    kept = {r.doc_id: r.text for r in pipeline.cut_repeats(spark, docs, SF_SMALL).collect()}
     assert kept == {3: f"{near} tail3", 4: "tail4", 5: "tail5"}
+    cut = {r.doc_id: r.text for r in pipeline.cut_repeats(spark, docs, SF_SMALL, keep_first=False).collect()}
+    assert cut == {3: "tail3", 4: "tail4", 5: "tail5"}
