@@ -26,9 +26,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     empty texts among them) go; repeated rows are judged alike.
     """
     importable(spark)
-    model = langid.fit(docs, F.lit(True))
-    judged = langid.predict(spread_small(docs.select(*COLUMNS)), model, out="__language")
-    return judged.where(~F.col("__language.rejected")).select(*COLUMNS)
+    return langid.recognised(spread_small(docs.select(*COLUMNS)), langid.fit(docs, F.lit(True)))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,13 +35,14 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return simhash.keep_one(docs.select(*COLUMNS), SHINGLE, MAX_BITS)
 
 
-def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str, keep_first: bool = False) -> DataFrame:
-    """Passages of ``MIN_REPEAT_WORDS`` or more words that occur again are cut wherever they occur.
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str, keep_first: bool = True) -> DataFrame:
+    """Passages of ``MIN_REPEAT_WORDS`` or more words that occur again are cut wherever they occur but first.
 
-    A document that loses words keeps the others joined by one space, and its
-    ``n_chars`` follows; one that loses all of them goes. Others, those without
-    a word among them, stay as they are. Repeated rows repeat each other. With ``keep_first`` the
-    first occurrence stays (see ``substrings.repeats``), so no passage is lost.
+    The first occurrence stays (see ``substrings.repeats``), so no passage is
+    lost; without ``keep_first`` it goes as well. A document that loses words
+    keeps the others joined by one space, and its ``n_chars`` follows; one that
+    loses all of them goes. Others, those without a word among them, stay as
+    they are. Repeated rows repeat each other.
     """
     importable(spark)
     numbered = docs.select(*COLUMNS).withColumn("__row", F.col("doc_id"))
@@ -69,7 +68,7 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     importable(spark)
     rows = spread_small(docs.select("doc_id", "text", "lang", "source"))
-    done = bpe.encode(rows, tokenizer_path(), decoded_col="decoded")
+    done = bpe.encode(rows, tokenizer_path(), decoded_col="decoded", keep=["doc_id", "lang", "source"])
     return done.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded")
 
 
