@@ -14,13 +14,15 @@ symbols have in the next shorter context, and any symbol's probability needs a
 few lookups. A symbol seen in its longest context needs one.
 
 Spark counts the longest contexts' grams and the words of all training rows
-(partial sums in each task, then one shuffle). The gram table goes to the
-tasks in parts of at most ``PART_GRAMS`` rows, each one pass over the texts,
-split by the last two context symbols: a context and its suffixes down to
-order 2 fall in one part, and orders 0 and 1 (under 70,000 rows) in every part. So a
-broadcast does not grow with the corpus (short of a single pair of symbols with
-more grams than that) and any table size gives the same scores. The unigram base model looks up its most frequent words (``HEAD_WORDS`` at
-most) in the tasks and all other words by a join.
+(partial sums in each task, then one shuffle) and makes each level of the trie,
+a written table, from the level of the next longer contexts by two windows of at
+most 258 rows a group. One pass over the texts, whatever the size of the model,
+looks up the most frequent grams (``HEAD_GRAMS`` at most) and words
+(``HEAD_WORDS`` at most) in the tasks; a text's other grams and words, each once
+with its count, meet their log probabilities in a join. Grams that the training
+rows do not hold are escaped once each, however many texts have them, by joins
+with the levels from the longest to the shortest. So nothing that grows with the
+corpus is broadcast or passes through the driver.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.llm.common import LOWER_AZ, numbered, saved
@@ -39,7 +41,8 @@ from quarry.llm.words import word_hashes
 ORDER = 5
 END, BEFORE, SYMBOLS = 256, 257, 257  # END is coded, BEFORE only stands in contexts
 WIDTH = np.uint64(9)  # bits of a symbol
-PART_GRAMS = 4_000_000
+MOST_ORDER = 6  # seven symbols of nine bits fit a long
+HEAD_GRAMS = 1 << 22
 HEAD_WORDS = 1 << 17
 CHUNK = 1 << 19  # symbols handled at a time: scratch of some 50 MB
 
@@ -95,97 +98,6 @@ def chunks(texts: list[bytes], order: int) -> Iterator[tuple[np.ndarray, np.ndar
         yield out()
 
 
-class Trie:
-    """Counts of every order from those of the longest, and the coding of any symbol."""
-
-    def __init__(self, keys: np.ndarray, counts: np.ndarray, low_keys: np.ndarray, low_counts: np.ndarray, order: int):
-        """``keys``, ``counts``: grams of ``order`` in this part. ``low_*``: all grams of order 1 (context, symbol)."""
-        self.order = order
-        self.symbol, self.count, self.context, self.stats = {}, {}, {}, {}
-        low = min(order, 1)
-        tables = {}
-        if order >= 2:
-            k, c = np.asarray(keys, np.uint64), np.asarray(counts, np.float64)
-            for o in range(order, 1, -1):
-                tables[o] = (k, c)
-                k, c = self._shorter(k, c, o)
-        k, c = np.asarray(low_keys, np.uint64), np.asarray(low_counts, np.float64)
-        for o in range(low, -1, -1):
-            tables[o] = (k, c)
-            k, c = self._shorter(k, c, o)
-        for o, (k, c) in tables.items():
-            self.symbol[o] = SortedHashes(k)
-            self.count[o] = c[self.symbol[o].order]
-        for o, (k, c) in tables.items():
-            contexts, inverse = np.unique(k >> WIDTH, return_inverse=True)
-            n, d = np.bincount(inverse, c), np.bincount(inverse).astype(np.float64)
-            below = np.zeros(len(contexts))
-            if o:
-                below = np.bincount(inverse, self._counts(o - 1, k & self._mask(o)))
-            self.context[o] = SortedHashes(contexts)
-            self.stats[o] = np.column_stack([n, d, below])[self.context[o].order]
-        top = self.stats[order][self.context[order].rows(tables[order][0] >> WIDTH)] if len(tables[order][0]) else np.ones((0, 3))
-        share = tables[order][1] / (top[:, 0] + top[:, 1])
-        self.seen = np.log10(share)[self.symbol[order].order]
-        for found in [*self.symbol.values(), *self.context.values()]:
-            found.order = None
-        self.count[order] = self.count[order][:0]  # what the longest context has seen is in ``seen``
-
-    @staticmethod
-    def _mask(order: int) -> np.uint64:
-        """Keeps the last ``order`` symbols: a gram of the next shorter order."""
-        return np.uint64((1 << (int(WIDTH) * order)) - 1)
-
-    def _shorter(self, keys: np.ndarray, counts: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
-        if order == 0:
-            return keys, counts
-        distinct, inverse = np.unique(keys & self._mask(order), return_inverse=True)
-        return distinct, np.bincount(inverse, counts, len(distinct))
-
-    def _counts(self, order: int, keys: np.ndarray) -> np.ndarray:
-        rows = self.symbol[order].rows(keys)
-        return np.where(rows < 0, 0.0, self.count[order][rows]) if len(self.count[order]) else np.zeros(len(keys))
-
-    def log10(self, keys: np.ndarray) -> np.ndarray:
-        """log10 probability of each packed gram's symbol after its context."""
-        out = np.empty(len(keys))
-        rows = self.symbol[self.order].rows(keys)
-        hit = rows >= 0
-        out[hit] = self.seen[rows[hit]]
-        miss = np.flatnonzero(~hit)
-        if len(miss):
-            distinct, inverse = np.unique(keys[miss], return_inverse=True)
-            out[miss] = self._escaped(distinct)[inverse]
-        return out
-
-    def _escaped(self, keys: np.ndarray) -> np.ndarray:
-        """The general case: escape down the orders, excluding what longer contexts have seen."""
-        out = np.zeros(len(keys))
-        excluded_n, excluded_d = np.zeros(len(keys)), np.zeros(len(keys))
-        left = np.arange(len(keys))
-        for o in range(self.order, -1, -1):
-            if not len(left):
-                return out
-            mine = keys[left] & self._mask(o + 1)
-            at = self.context[o].rows(mine >> WIDTH)
-            stats = np.where((at < 0)[:, None], 0.0, self.stats[o][at]) if len(self.stats[o]) else np.zeros((len(left), 3))
-            n, d = stats[:, 0] - excluded_n[left], stats[:, 1] - excluded_d[left]
-            counts = self._counts(o, mine) if o < self.order else np.zeros(len(left))
-            total = n + d
-            coded = counts > 0
-            out[left[coded]] += np.log10(counts[coded] / total[coded])
-            escape = ~coded & (d > 0)
-            out[left[escape]] += np.log10(d[escape] / total[escape])
-            known = at >= 0
-            excluded_n[left[known]] = stats[known, 2]
-            excluded_d[left[known]] = stats[known, 1]
-            if o == 0:
-                rest = left[~coded]
-                out[rest] -= np.log10(np.maximum(1, SYMBOLS - excluded_d[rest]))
-            left = left[~coded]
-        return out
-
-
 def _count(train: DataFrame, order: int) -> DataFrame:
     """``kind`` (0 gram, 1 word), ``key``, ``n`` over the training texts."""
 
@@ -212,42 +124,87 @@ def _count(train: DataFrame, order: int) -> DataFrame:
     return train.select("text").mapInArrow(run, "kind byte, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
 
 
-def _parts(grams_table: DataFrame, order: int, part_grams: int) -> list[np.ndarray]:
-    """The pairs of last context symbols in each part: greedily filled to ``part_grams`` rows (one pair may exceed it)."""
-    if order < 2:
-        return [np.arange(1)]
-    pair = F.shiftrightunsigned("key", int(WIDTH)).bitwiseAND(F.lit((1 << (2 * int(WIDTH))) - 1))
-    sizes = grams_table.groupBy(pair.alias("pair")).agg(F.count("*").alias("n")).orderBy("pair").toPandas()  # at most 258^2 rows
-    out, size = [[]], 0
-    for p, n in zip(sizes["pair"], sizes["n"], strict=True):
-        if size and size + n > part_grams:
-            out.append([])
-            size = 0
-        out[-1].append(p)
-        size += n
-    return [np.array(x, np.int64) for x in out]
-
-
-def _head_count(words: DataFrame, head_words: int) -> int:
-    """The least power of two such that no more than ``head_words`` words are that frequent."""
-    power = F.length(F.bin("n")) - 1
-    sizes = {r["p"]: r["m"] for r in words.groupBy(power.alias("p")).agg(F.count("*").alias("m")).collect()}  # 63 rows at most
-    most = max(sizes, default=0) + 1
+def _suffix(symbols: int) -> Column:
+    """The last ``symbols`` symbols of a packed gram."""
+    return F.col("key").bitwiseAND(F.lit((1 << (int(WIDTH) * symbols)) - 1))
+
+
+def _context(gram: Column) -> Column:
+    return F.shiftrightunsigned(gram, int(WIDTH))
+
+
+def _levels(grams: DataFrame, order: int) -> dict[int, DataFrame]:
+    """The trie's level of every order, made from ``key``, ``c`` of the longest grams.
+
+    Per gram: its count ``c``; ``n``, ``d`` and ``below`` of its context (symbols,
+    distinct ones, and what these count in the next shorter context). ``first``
+    marks one gram of every context. A group of either window differs in one symbol.
+    """
+    levels = {}
+    for o in range(order, -1, -1):
+        ending, context = Window.partitionBy(_suffix(o)), Window.partitionBy(_context(F.col("key")))
+        parent = F.sum("c").over(ending) if o else F.lit(0).cast("long")
+        leads = F.col("key") == F.min("key").over(ending) if o else F.lit(False)
+        linked = grams.select("key", "c", parent.alias("parent"), leads.alias("leads"))
+        levels[o] = saved(
+            linked.select(
+                "*",
+                F.sum("c").over(context).alias("n"),
+                F.count("*").over(context).alias("d"),
+                F.sum("parent").over(context).alias("below"),
+                (F.col("key") == F.min("key").over(context)).alias("first"),
+            ),
+            f"lm-order-{o}",
+        )
+        grams = levels[o].where("leads").select(_suffix(o).alias("key"), F.col("parent").alias("c"))
+    return levels
+
+
+def _escaped(missing: DataFrame, levels: dict[int, DataFrame], order: int) -> DataFrame:
+    """``key``, ``log``: distinct grams that their longest context has not seen, escaped down the orders."""
+    left = missing.select("key", F.lit(0.0).alias("log"), F.lit(0).cast("long").alias("gone_n"), F.lit(0).cast("long").alias("gone_d"), F.lit(False).alias("done"))
+    for o in range(order, -1, -1):
+        contexts = levels[o].where("first").select(_context(F.col("key")).alias("context"), "n", "d", "below")
+        left = left.join(contexts, _context(_suffix(o + 1)) == F.col("context"), "left")
+        if o < order:
+            left = left.join(levels[o].select(F.col("key").alias("gram"), "c"), _suffix(o + 1) == F.col("gram"), "left")
+        else:
+            left = left.withColumn("c", F.lit(None).cast("long"))
+        known, coded = F.col("context").isNotNull(), F.col("c").isNotNull()
+        n, d = (F.coalesce(x, F.lit(0)) - gone for x, gone in ((F.col("n"), F.col("gone_n")), (F.col("d"), F.col("gone_d"))))
+        step = F.when(coded, F.log10(F.col("c") / (n + d))).when(d > 0, F.log10(d / (n + d))).otherwise(0.0)
+        gone_d = F.when(known, F.col("d")).otherwise(F.col("gone_d"))
+        if o == 0:
+            step -= F.when(coded, 0.0).otherwise(F.log10(F.greatest(F.lit(1), F.lit(SYMBOLS) - gone_d)))
+        left = left.select(
+            "key",
+            (F.col("log") + F.when(F.col("done"), 0.0).otherwise(step)).alias("log"),
+            F.when(known, F.col("below")).otherwise(F.col("gone_n")).alias("gone_n"),
+            gone_d.alias("gone_d"),
+            (F.col("done") | coded).alias("done"),
+        )
+    return left.select("key", "log")
+
+
+def _head_count(table: DataFrame, count: str, most: int) -> int:
+    """The least power of two such that no more than ``most`` rows have a ``count`` that high."""
+    power = F.length(F.bin(count)) - 1
+    sizes = {r["p"]: r["m"] for r in table.groupBy(power.alias("p")).agg(F.count("*").alias("m")).collect()}  # 63 rows at most
     held = 0
-    for p in range(most, -1, -1):
+    for p in range(max(sizes, default=0) + 1, -1, -1):
         held += sizes.get(p, 0)
-        if held > head_words:
+        if held > most:
             return 1 << (p + 1)
     return 1
 
 
-def _arrays(table: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The ``key`` and ``n`` columns of a bounded table."""
-    got = table.select("key", "n").toArrow().combine_chunks()
-    return got["key"].to_numpy().view(np.uint64), got["n"].to_numpy().astype(np.float64)
+def _arrays(head: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The ``key`` and ``log`` columns of a bounded table."""
+    got = head.select("key", "log").toArrow().combine_chunks()
+    return got["key"].to_numpy().view(np.uint64), got["log"].to_numpy()
 
 
-def score(docs: DataFrame, train: Column, order: int = ORDER, part_grams: int = PART_GRAMS, head_words: int = HEAD_WORDS, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+def score(docs: DataFrame, train: Column, order: int = ORDER, head_grams: int = HEAD_GRAMS, head_words: int = HEAD_WORDS, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """Score every whole text with a model of the rows where ``train`` holds.
 
     Returns per input row: ``id_col``, ``n_tokens`` (words and one end),
@@ -255,10 +212,13 @@ def score(docs: DataFrame, train: Column, order: int = ORDER, part_grams: int =
     (add-one unigram log10 probability of the tokens) and ``score`` (PPM log10
     probability). A null or empty text is just its end. Null and repeated ids
     and repeated rows are scored row by row; with no training rows the model is
-    uniform. Other columns are ignored.
+    uniform. Other columns are ignored. ``order`` is 0 to 6; ``head_grams`` and
+    ``head_words`` bound what is broadcast and change no result.
     """
+    if not 0 <= order <= MOST_ORDER:
+        raise ValueError(f"order must be 0 to {MOST_ORDER}, not {order}")
     spark = docs.sparkSession
-    texts = numbered(docs.withColumn("__train", train), id_col, text_col, "__train")
+    texts = numbered(docs.withColumn("__train", F.coalesce(train, F.lit(False))), id_col, text_col, "__train")
     trained = texts.where("__train").select("text")
     counts = saved(_count(trained, order), "lm-counts")
     ends = trained.count()
@@ -266,39 +226,27 @@ def score(docs: DataFrame, train: Column, order: int = ORDER, part_grams: int =
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     total, distinct = int(total) + ends, int(distinct) + (ends > 0)
     spread = float(np.log10(total + distinct + 1))  # log10 of N + 1 * (V + 1)
-    least = _head_count(words, head_words)
-    head_keys, head_n = _arrays(words.where(F.col("n") >= least))  # at most ``head_words`` rows
-    head_logs = np.log10(head_n + 1)
-    table = counts.where("kind = 0").select("key", "n")
-    mask = (1 << (2 * int(WIDTH))) - 1
-    low = table.groupBy(F.col("key").bitwiseAND(F.lit(mask if order else (1 << int(WIDTH)) - 1)).alias("k")).agg(F.sum("n").alias("n"))
-    low = _arrays(low.select(F.col("k").alias("key"), "n"))  # at most 258^2 rows
-    pair = F.shiftrightunsigned("key", int(WIDTH)).bitwiseAND(F.lit(mask))
-
-    passes = None
-    parts = _parts(table, order, part_grams)
-    for number, pairs in enumerate(parts):
-        mine = table
-        if len(parts) > 1:
-            chosen = spark.createDataFrame([(int(p),) for p in pairs], "pair long")
-            mine = table.join(F.broadcast(chosen), pair == F.col("pair"), "left_semi")  # at most 258^2 rows
-        last = number == len(parts) - 1
-        model = {
-            "grams": (*(_arrays(mine) if order >= 2 else low), *low, order),  # at most ``part_grams`` rows
-            "pairs": pairs, "others": np.concatenate(parts[:-1]) if len(parts) > 1 else pairs[:0],
-            "alone": len(parts) == 1, "last": last, "head": (head_keys, head_logs),
-        }
-        part = _one_pass(texts, spark.sparkContext.broadcast(model), order)
-        passes = part if passes is None else passes.unionByName(part)
-
-    tail = words.where(F.col("n") < least).select(F.col("kind").alias("k"), F.col("key").alias("w"), F.col("n").alias("c"))
-    looked = passes.join(tail, (F.col("kind") == F.col("k")) & (F.col("key") == F.col("w")), "left")
-    found = F.col("c").isNotNull()
+    levels = _levels(counts.where("kind = 0").select("key", F.col("n").alias("c")), order)
+
+    grams = levels[order].select("key", "c", F.log10(F.col("c") / (F.col("n") + F.col("d"))).alias("log"))
+    words = words.select("key", F.col("n").alias("c"), F.log10(F.col("n") + 1.0).alias("log"))
+    gram_least, word_least = _head_count(grams, "c", head_grams), _head_count(words, "c", head_words)
+    heads = _arrays(grams.where(F.col("c") >= gram_least)), _arrays(words.where(F.col("c") >= word_least))  # at most ``head_grams`` and ``head_words`` rows
+    told = saved(_one_pass(texts, spark.sparkContext.broadcast(heads), order), "lm-told")
+
+    rare = grams.where(F.col("c") < gram_least)
+    missing = told.where("kind = 0 AND NOT learned").select("key").distinct().join(rare, "key", "left_anti")  # training rows miss none
+    tail = words.where(F.col("c") < word_least).select(F.lit(1).alias("k"), F.col("key").alias("w"), "log")
+    for some in (rare, _escaped(missing, levels, order)):
+        tail = tail.unionByName(some.select(F.lit(0).alias("k"), F.col("key").alias("w"), "log"))
+    looked = told.join(tail, (F.col("kind") == F.col("k")) & (F.col("key") == F.col("w")), "left")
+    found = F.coalesce(F.col("n") * F.col("log"), F.lit(0.0))
+    word = (F.col("kind") == 1) & F.col("k").isNotNull()
     summed = looked.groupBy("row").agg(
-        F.sum("score").alias("score"),
-        (F.sum("head_log") + F.sum(F.when(found, F.col("n") * F.log10(F.col("c") + 1.0)).otherwise(0.0))).alias("known_log"),
+        (F.sum("score") + F.sum(F.when(F.col("kind") == 0, found).otherwise(0.0))).alias("score"),
+        (F.sum("head_log") + F.sum(F.when(word, found).otherwise(0.0))).alias("known_log"),
         F.sum("n_tokens").alias("n_tokens"),
-        (F.sum("head_known") + F.sum(F.when(found, F.col("n")).otherwise(0))).alias("n_known"),
+        (F.sum("head_known") + F.sum(F.when(word, F.col("n")).otherwise(0))).alias("n_known"),
     )
     end_log, end_known = float(np.log10(ends + 1)), int(ends > 0)
     done = texts.select("row", "id").join(summed, "row")
@@ -312,61 +260,76 @@ def score(docs: DataFrame, train: Column, order: int = ORDER, part_grams: int =
     )
 
 
-_tries: dict[int, Trie] = {}  # the last trie of a worker process
+class Head:
+    """Log probabilities of the most frequent keys, looked up in the tasks."""
+
+    def __init__(self, keys: np.ndarray, logs: np.ndarray):
+        self.found = SortedHashes(keys)
+        self.logs = np.append(logs[self.found.order], 0.0)  # an absent key's row is -1
+        self.found.order = None
+
+    def look(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of every key, its log probability (0 if absent) and whether it is absent."""
+        rows = self.found.rows(keys)
+        return self.logs[rows], rows < 0
+
+
+_heads: dict[int, tuple[Head, Head]] = {}  # the last heads of a worker process
+
+
+def _tallied(owner: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs of owner and key, and how often each occurs."""
+    order = np.lexsort((keys, owner))
+    owner, keys = owner[order], keys[order]
+    starts = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (keys[1:] != keys[:-1])])) if len(keys) else np.empty(0, np.int64)
+    return owner[starts], keys[starts], np.diff(np.append(starts, len(keys)))
 
 
 def _one_pass(texts: DataFrame, shipped, order: int) -> DataFrame:
-    """Per text a summary row (kind 0); in the last pass also a row (kind 1) per distinct word outside the head."""
+    """Per text a summary row (kind -1), and a row per distinct gram (kind 0) and word (kind 1) outside the heads.
+
+    ``learned`` tells whether a row's text is a training row.
+    """
     stamp = shipped._jbroadcast.id()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shipped.value
-        if stamp not in _tries:
-            _tries.clear()
-            _tries[stamp] = Trie(*model["grams"])
-        trie = _tries[stamp]
-        head = SortedHashes(model["head"][0])
-        head_log = np.append(model["head"][1][head.order], 0.0)
-        mask = np.uint64((1 << (2 * int(WIDTH))) - 1)
-
-        def made(kind, rows, keys, n, scores, logs, n_tokens, known) -> pa.RecordBatch:
-            arrays = [pa.array(np.full(len(rows), kind, np.int8)), *[pa.array(np.asarray(x, t)) for x, t in ((rows, np.int64), (keys, np.int64), (n, np.int64), (scores, np.float64), (logs, np.float64), (n_tokens, np.int64), (known, np.int64))]]
-            return pa.RecordBatch.from_arrays(arrays, ["kind", "row", "key", "n", "score", "head_log", "n_tokens", "head_known"])
+        if stamp not in _heads:
+            _heads.clear()
+            _heads[stamp] = tuple(Head(*arrays) for arrays in shipped.value)
+        gram_head, word_head = _heads[stamp]
+
+        def made(kind, rows, learned, keys, n=0, scores=0.0, logs=0.0, n_tokens=0, known=0) -> pa.RecordBatch:
+            kinds = np.full(len(rows), kind, np.int8)
+            numbers = [(rows, np.int64), (keys, np.int64), (n, np.int64), (scores, np.float64), (logs, np.float64), (n_tokens, np.int64), (known, np.int64)]
+            arrays = [pa.array(np.broadcast_to(np.asarray(x, t), len(rows))) for x, t in numbers]
+            return pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(learned), *arrays], ["kind", "learned", "row", "key", "n", "score", "head_log", "n_tokens", "head_known"])
 
         for batch in batches:
             rows = batch["row"].to_numpy()
+            learned = batch["learned"].to_numpy(zero_copy_only=False).astype(bool)
             data = [tokens(t.as_py()) for t in batch["text"]]
             scores = np.zeros(len(rows))
             for keys, owner in chunks(data, order):
-                if not model["alone"]:
-                    pairs = ((keys >> WIDTH) & mask).astype(np.int64)
-                    mine = ~np.isin(pairs, model["others"]) if model["last"] else np.isin(pairs, model["pairs"])
-                    keys, owner = keys[mine], owner[mine]
-                scores += np.bincount(owner, trie.log10(keys), len(rows))
+                logs, absent = gram_head.look(keys)
+                scores += np.bincount(owner, logs, len(rows))
+                owner, keys, n = _tallied(owner[absent], keys[absent])
+                if len(n):
+                    yield made(0, rows[owner], learned[owner], keys.view(np.int64), n)
             logs, sizes, known = np.zeros(len(rows)), np.zeros(len(rows), np.int64), np.zeros(len(rows), np.int64)
-            tail_rows, tail_keys, tail_n, size = [], [], [], 0
-            for i, text in enumerate(data if model["last"] else []):
+            tail, size = [], 0
+            for i, text in enumerate(data):
                 hashes = word_hashes(text) if text else np.empty(0, np.uint64)
-                sizes[i] = len(hashes)
-                at = head.rows(hashes)
-                logs[i] = head_log[at].sum()
-                known[i] = (at >= 0).sum()
-                distinct, n = np.unique(hashes[at < 0], return_counts=True)
-                if len(n):
-                    tail_rows.append(np.full(len(n), rows[i]))
-                    tail_keys.append(distinct.view(np.int64))
-                    tail_n.append(n)
-                    size += len(n)
-                if size >= CHUNK // 4:
-                    tail = [np.concatenate(x) for x in (tail_rows, tail_keys, tail_n)]
-                    zero = np.zeros(size)
-                    yield made(1, *tail, zero, zero, zero, zero)
-                    tail_rows, tail_keys, tail_n, size = [], [], [], 0
-            if size:
-                tail = [np.concatenate(x) for x in (tail_rows, tail_keys, tail_n)]
-                zero = np.zeros(size)
-                yield made(1, *tail, zero, zero, zero, zero)
+                found, absent = word_head.look(hashes)
+                sizes[i], logs[i], known[i] = len(hashes), found.sum(), (~absent).sum()
+                distinct, n = np.unique(hashes[absent], return_counts=True)
+                tail.append((np.full(len(n), i), distinct, n))
+                size += len(n)
+                if size >= CHUNK // 4 or (size and i == len(data) - 1):
+                    owner, distinct, n = (np.concatenate(x) for x in zip(*tail, strict=True))
+                    yield made(1, rows[owner], learned[owner], distinct.view(np.int64), n)
+                    tail, size = [], 0
             # the summary rows' key only spreads them over the join's tasks
-            yield made(0, rows, rows, np.zeros(len(rows)), scores, logs, sizes, known)
+            yield made(-1, rows, learned, rows, 0, scores, logs, sizes, known)
 
-    return texts.select("row", "text").mapInArrow(run, "kind byte, row long, key long, n long, score double, head_log double, n_tokens long, head_known long")
+    given = texts.select("row", "text", F.col("__train").alias("learned"))
+    return given.mapInArrow(run, "kind byte, learned boolean, row long, key long, n long, score double, head_log double, n_tokens long, head_known long")

@@ -53,20 +53,57 @@ def corpus(seed, letters, n):
     return [ppm.tokens(awkward.words(rng, rng.randint(0, 12), letters)) for _ in range(n)]
 
 
-@pytest.mark.parametrize("order", [0, 1, 2, 4, 5])
-def test_trie_matches_symbol_by_symbol_coding(order):
+@pytest.mark.parametrize("order,head_grams", [(0, 1000), (1, 0), (2, 30), (4, 0), (5, 1000), (5, 30), (6, 0)])
+def test_scores_match_symbol_by_symbol_coding(spark, order, head_grams):
     train, test = corpus(1, "abcd", 30), [*corpus(2, "abcdef", 30), b""]
-    keys, n = np.unique(np.concatenate([k for k, _ in ppm.chunks(train, order)]), return_counts=True)
-    mask = np.uint64((1 << 18) - 1) if order else np.uint64(511)
-    low, inverse = np.unique(keys & mask, return_inverse=True)
-    trie = ppm.Trie(keys, n, low, np.bincount(inverse, n), order)
+    rows = [(i, t.decode(), i < len(train)) for i, t in enumerate([*train, *test])]
+    df = spark.createDataFrame(rows, "doc_id long, text string, learn boolean")
+    got = {r.doc_id: r.score for r in ppm.score(df, F.col("learn"), order=order, head_grams=head_grams).collect()}
     probability, score = naive(train, order)
-    for t in test:
-        got = np.concatenate([trie.log10(k) for k, _ in ppm.chunks([t], order)]).sum()
-        assert math.isclose(got, score(t), rel_tol=1e-9)
+    assert len(got) == len(rows)
+    for i, t, _ in rows:
+        assert math.isclose(got[i], score(t.encode()), rel_tol=1e-9)
     assert math.isclose(sum(probability([97] * order, x) for x in range(ppm.SYMBOLS)), 1.0)
 
 
+def test_levels_hold_every_order_and_its_contexts(spark):
+    train, order = corpus(1, "abcd", 30), 4
+    counts = [Counter() for _ in range(order + 1)]
+    for t in train:
+        s = [ppm.BEFORE] * order + list(t) + [ppm.END]
+        for i in range(order, len(s)):
+            for o in range(order + 1):
+                counts[o][tuple(s[i - o : i + 1])] += 1
+    packed = lambda gram: sum(x << (9 * (len(gram) - 1 - i)) for i, x in enumerate(gram))
+    grams = spark.createDataFrame([(packed(g), n) for g, n in counts[order].items()], "key long, c long")
+    for o, level in ppm._levels(grams, order).items():
+        rows = level.collect()
+        assert {r.key: r.c for r in rows} == {packed(g): n for g, n in counts[o].items()}
+        contexts = defaultdict(dict)
+        for g, n in counts[o].items():
+            contexts[packed(g[:-1])][g] = n
+        assert sorted(r.key >> 9 for r in rows if r.first) == sorted(contexts)
+        for r in rows:
+            seen = contexts[r.key >> 9]
+            below = sum(counts[o - 1][g[1:]] for g in seen) if o else 0
+            assert (r.n, r.d, r.below) == (sum(seen.values()), len(seen), below)
+
+
+def test_refuses_orders_that_do_not_fit(spark):
+    with pytest.raises(ValueError):
+        ppm.score(awkward.empty(spark), F.lit(True), order=7)
+
+
+def test_no_broadcast_grows_with_the_model(spark, monkeypatch):
+    """Only the heads reach the driver: nothing of the gram table beyond ``head_grams`` rows."""
+    sent = []
+    arrays = ppm._arrays
+    monkeypatch.setattr(ppm, "_arrays", lambda head: sent.append(arrays(head)) or sent[-1])
+    df = awkward.documents(spark, long_words=2000)
+    ppm.score(df, F.lit(True), order=3, head_grams=50, head_words=20).count()
+    assert [len(keys) <= most for (keys, _), most in zip(sent, (50, 20), strict=True)] == [True, True]
+
+
 def test_long_texts_in_pieces_keep_their_contexts(monkeypatch):
     text = corpus(3, "abc", 1)[0] * 40
     whole = np.concatenate([k for k, _ in ppm.chunks([text], 3)])
@@ -74,11 +111,11 @@ def test_long_texts_in_pieces_keep_their_contexts(monkeypatch):
     assert np.concatenate([k for k, _ in ppm.chunks([text], 3)]).tolist() == whole.tolist()
 
 
-@pytest.mark.parametrize("part_grams,head_words", [(ppm.PART_GRAMS, ppm.HEAD_WORDS), (60, 4)])
-def test_awkward_documents_in_one_part_or_many(spark, part_grams, head_words):
+@pytest.mark.parametrize("head_grams,head_words", [(ppm.HEAD_GRAMS, ppm.HEAD_WORDS), (60, 4)])
+def test_awkward_documents_in_the_heads_or_joined(spark, head_grams, head_words):
     df = awkward.documents(spark, long_words=2000)
     train = F.coalesce(F.col("doc_id") % 3 != 1, F.lit(False))
-    rows = ppm.score(df, train, order=2, part_grams=part_grams, head_words=head_words).collect()
+    rows = ppm.score(df, train, order=2, head_grams=head_grams, head_words=head_words).collect()
     given = df.select("doc_id", "text").collect()
     texts = [ppm.tokens(g.text) for g in given]
     trained = [t for g, t in zip(given, texts, strict=True) if g.doc_id is not None and g.doc_id % 3 != 1]
