@@ -5,6 +5,7 @@ from quarry.plans import jobs
 from quarry.sources.files import lines_frame
 from tests.conftest import plan_text
 
+# The sample sentences whose word counts are known.
 SAMPLE = [
     "Apache Spark is a distributed computing framework",
     "Spark provides high-level APIs in Java Scala Python",
