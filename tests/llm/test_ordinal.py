@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -76,3 +77,19 @@ def test_query_keeps_good_and_drops_toxic_documents(spark):
     toxic = [r.doc_id for r in labels if r.toxic == 1]
     assert sum(i in kept for i in good) >= 0.95 * len(good)
     assert sum(i in kept for i in toxic) <= 0.1 * len(toxic)
+
+
+def test_scores_match_adding_weights_one_by_one(spark):
+    data = rows(5, 200)
+    model = ordinal.CumulativeLink.fit([(g, *ordinal.features(t)) for g, t in data], min_rows=1)
+    weight = dict(zip(model.keys.tolist(), model.weights.tolist(), strict=True))
+    texts = [*[t for _, t in data[:50]], "splendid unseen words", "", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.quality for r in ordinal.score(df, model).collect()}
+    for i, text in enumerate(texts):
+        keys, values = ordinal.features(text)
+        eta = math.fsum(weight.get(k, 0.0) * v for k, v in zip(keys.tolist(), values.tolist(), strict=True))
+        tails = [1 / (1 + math.exp(cut - eta)) for cut in model.thresholds.tolist()]
+        chances = [a - b for a, b in zip([1.0, *tails], [*tails, 0.0], strict=True)]
+        assert all(math.isclose(a, b, rel_tol=1e-6) for a, b in zip(got[i].tails, tails, strict=True))
+        assert math.isclose(got[i].expected, sum(g * c for g, c in zip(model.grades, chances, strict=True)), rel_tol=1e-6)
